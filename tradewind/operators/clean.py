@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.quantiles import quantile_values
+from tradewind.functions.quantiles import exact_quantiles, quantile_values
 from tradewind.functions.shaping import ROW_ORDER, keep_first, materialize, unpivot_row
 from tradewind.schemas import ORDER_DATES, PRODUCT_MEASURES, REVIEW_DATES
 
@@ -64,13 +64,23 @@ def positive_only(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column) > 0)
 
 
+def iqr_fence_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Quartiles and fences per column, as rows."""
+    q1 = F.max(F.when(F.col("probability") == 0.25, F.col("value")))
+    q3 = F.max(F.when(F.col("probability") == 0.75, F.col("value")))
+    quartiles = (
+        exact_quantiles(df, {c: [0.25, 0.75] for c in columns})
+        .groupBy(F.col("column").alias("column_name"))
+        .agg(q1.alias("q1"), q3.alias("q3"))
+    )
+    reach = (F.col("q3") - F.col("q1")) * FENCE_WIDTH
+    return quartiles.withColumns({"lower_fence": F.col("q1") - reach, "upper_fence": F.col("q3") + reach})
+
+
 def iqr_fences(df: DataFrame, column: str) -> tuple[float, float] | None:
-    """Lower and upper fence of a column, or None when it has no values."""
-    q1, q3 = quantile_values(df, {column: [0.25, 0.75]})[column]
-    if q1 is None:
-        return None
-    reach = FENCE_WIDTH * (q3 - q1)
-    return q1 - reach, q3 + reach
+    """Lower and upper fence of a column as numbers, or None when it has no values."""
+    row = iqr_fence_table(df, [column]).first()
+    return None if row is None else (row["lower_fence"], row["upper_fence"])
 
 
 def iqr_filter(df: DataFrame, column: str) -> DataFrame:

@@ -6,13 +6,6 @@ Orders and reviews arrive with text timestamps; cleaning turns the columns liste
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
-
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
-
-
 ORDER_DATES = [
     "order_purchase_timestamp",
     "order_approved_at",
@@ -32,37 +25,38 @@ PRODUCT_MEASURES = [
     "product_width_cm",
 ]
 
-RAW_SCHEMAS: dict[str, StructType] = {
-    "customers": _schema(
+# column definitions as the CSV files have them
+RAW_SCHEMAS: dict[str, str] = {
+    "customers": (
         "customer_id string, customer_unique_id string, customer_zip_code_prefix string,"
         " customer_city string, customer_state string"
     ),
-    "geolocation": _schema(
+    "geolocation": (
         "geolocation_zip_code_prefix string, geolocation_lat double, geolocation_lng double,"
         " geolocation_city string, geolocation_state string"
     ),
-    "orders": _schema(
+    "orders": (
         "order_id string, customer_id string, order_status string," + ",".join(f" {c} string" for c in ORDER_DATES)
     ),
-    "order_items": _schema(
+    "order_items": (
         "order_id string, order_item_id bigint, product_id string, seller_id string,"
         " shipping_limit_date string, price double, freight_value double"
     ),
-    "order_payments": _schema(
+    "order_payments": (
         "order_id string, payment_sequential bigint, payment_type string,"
         " payment_installments bigint, payment_value double"
     ),
-    "order_reviews": _schema(
+    "order_reviews": (
         "review_id string, order_id string, review_score bigint, review_comment_title string,"
         " review_comment_message string," + ",".join(f" {c} string" for c in REVIEW_DATES)
     ),
-    "products": _schema(
+    "products": (
         "product_id string, product_category_name string," + ",".join(f" {c} double" for c in PRODUCT_MEASURES)
     ),
-    "sellers": _schema(
+    "sellers": (
         "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string"
     ),
-    "product_category_translation": _schema(
+    "product_category_translation": (
         "product_category_name string, product_category_name_english string"
     ),
 }

@@ -13,7 +13,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 from tradewind.functions.shaping import ROW_ORDER
 
@@ -28,6 +27,7 @@ BASE_SCHEMAS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
     " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
     " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
@@ -177,12 +177,20 @@ class StarRetail:
         self._folder = folder.rstrip("/")
         self._views: dict[str, DataFrame] = {}
 
+    @property
+    def spark(self) -> SparkSession:
+        return self._spark
+
+    def path(self, name: str) -> str:
+        """Where a star-schema table lies."""
+        return f"{self._folder}/{name}.parquet"
+
     def base(self, name: str) -> DataFrame:
         """A star-schema table."""
         key = f"base.{name}"
         if key not in self._views:
-            reader = self._spark.read.schema(StructType.fromDDL(BASE_SCHEMAS[name]))
-            self._views[key] = reader.parquet(f"{self._folder}/{name}.parquet")
+            reader = self._spark.read.schema(BASE_SCHEMAS[name])
+            self._views[key] = reader.parquet(self.path(name))
         return self._views[key]
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -198,6 +206,11 @@ class StarRetail:
         return {n.removeprefix(prefix): self[n] for n in names}
 
 
+def over_star(spark: SparkSession, view: str, **frames: DataFrame) -> DataFrame:
+    """A retail view over given star-schema frames, which may be streams."""
+    return spark.sql(VIEWS[view], **frames)
+
+
 def with_views(sql: str) -> str:
     """SQL text over ``ec_*`` names, completed with the view definitions it uses."""
     needed: list[str] = []

@@ -14,7 +14,7 @@ from tradewind.functions.shaping import ROW_ORDER, unpivot_row
 from tradewind.schemas import RAW_SCHEMAS
 
 
-def load_csv(spark: SparkSession, path: str, schema: StructType, row_order: bool = False) -> DataFrame:
+def load_csv(spark: SparkSession, path: str, schema: StructType | str, row_order: bool = False) -> DataFrame:
     """A headered CSV file or folder with a fixed schema.
 
     Review texts hold quotes and line breaks, hence the multi-line reader.  With
@@ -37,7 +37,7 @@ def load_csv(spark: SparkSession, path: str, schema: StructType, row_order: bool
 def load_tables(
     spark: SparkSession,
     paths: Mapping[str, str],
-    schemas: Mapping[str, StructType] = RAW_SCHEMAS,
+    schemas: Mapping[str, StructType | str] = RAW_SCHEMAS,
     row_order: bool = False,
 ) -> tuple[dict[str, DataFrame], list[str]]:
     """Load every CSV table in ``paths``; also returns the names that were not found.
