@@ -20,12 +20,14 @@ BRACKET_MARGIN = 4
 
 
 def _brackets(values: DataFrame, wanted: Mapping[str, Sequence[float]], accuracy: int) -> DataFrame:
-    """One row per wanted quantile: bracket ends and the exact 0-based position."""
+    """One row per wanted quantile: bracket ends, exact 0-based position and last rank."""
     margin = BRACKET_MARGIN / accuracy
     sketch = values.agg(
         *[
             F.struct(
                 F.count(c).alias("n"),
+                F.min(c).alias("min"),
+                F.max(c).alias("max"),
                 F.percentile_approx(
                     c,
                     [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs],
@@ -42,9 +44,13 @@ def _brackets(values: DataFrame, wanted: Mapping[str, Sequence[float]], accuracy
             F.lit(slot).alias("slot"),
             F.lit(c).alias("column"),
             F.lit(float(p)).alias("probability"),
-            F.col(c)["edges"][j].alias("low"),
-            F.col(c)["edges"][j + len(wanted[c])].alias("high"),
+            # in ranks the margin is below one for a short column, so that is ranked whole
+            F.when(F.col(c)["n"] < accuracy, F.col(c)["min"]).otherwise(F.col(c)["edges"][j]).alias("low"),
+            F.when(F.col(c)["n"] < accuracy, F.col(c)["max"])
+            .otherwise(F.col(c)["edges"][j + len(wanted[c])])
+            .alias("high"),
             (F.lit(float(p)) * (F.col(c)["n"] - 1)).alias("position"),
+            (F.col(c)["n"] - 1).alias("last"),
         )
         for slot, (i, c, j, p) in enumerate(wanted_rows)
     ]
@@ -76,15 +82,19 @@ def exact_quantiles(
     rank = F.floor("position")
     ends = (
         counted.withColumn("through", F.sum("rows").over(upward))
-        .join(F.broadcast(brackets.select("slot", "column", "probability", "position")), "slot")
-        .groupBy("column", "probability", "position")
+        .join(F.broadcast(brackets.select("slot", "column", "probability", "position", "last")), "slot")
+        .groupBy("column", "probability", "position", "last")
         .agg(
             F.min(F.when(F.col("through") > rank, F.col("v"))).alias("lower"),
             F.min(F.when(F.col("through") > rank + 1, F.col("v"))).alias("upper"),
             F.max(F.when(F.col("v").isNull(), F.col("through"))).alias("below"),
         )
     )
-    bracketed = (F.coalesce("below", F.lit(0)) <= rank) & F.col("lower").isNotNull()
+    bracketed = (
+        (F.coalesce("below", F.lit(0)) <= rank)
+        & F.col("lower").isNotNull()
+        & (F.col("upper").isNotNull() | (rank == F.col("last")))
+    )
     value = F.col("lower") + (F.coalesce("upper", "lower") - F.col("lower")) * (F.col("position") - rank)
     return ends.select(
         "column",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +24,8 @@ QUINTILES = [0.2, 0.4, 0.6, 0.8]
 SEED = 42
 RESTARTS = 10
 MAX_ITERATIONS = 300
+CONCURRENT_FITS = 8
+PERSONS_PER_PARTITION = 250_000
 
 
 def order_value(payments: DataFrame) -> DataFrame:
@@ -102,27 +106,53 @@ def rfm_score_distribution(scored: DataFrame) -> DataFrame:
     return scored.groupBy("rfm_score").agg(F.count("*").alias("persons")).orderBy("rfm_score")
 
 
-def standardize(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
-    """Adds z-scores (population deviation); a constant column becomes zero."""
-    stats = df.agg(*[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("dev")).alias(c) for c in columns]).first()
-    return df.withColumns(
+def _z_scores(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int]:
+    stats = df.agg(
+        F.count("*").alias("rows"),
+        *[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("dev")).alias(c) for c in columns],
+    ).first()
+    scaled = df.withColumns(
         {f"z_{c}": (F.col(c) - F.lit(stats[c]["mean"])) / F.lit(stats[c]["dev"] or 1.0) for c in columns}
     )
+    return scaled, stats["rows"]
+
+
+def standardize(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
+    """Adds z-scores (population deviation); a constant column becomes zero."""
+    return _z_scores(df, columns)[0]
 
 
 def feature_vectors(rfm: DataFrame) -> DataFrame:
-    """Standardized features as vectors, in a layout that does not depend on the input files."""
-    scaled = standardize(rfm).repartition(PERSON).sortWithinPartitions(PERSON)
-    return VectorAssembler(inputCols=SCALED, outputCol="features").transform(scaled)
+    """Standardized features as vectors.
 
+    The layout follows the number of persons and their ids only, not the input files
+    or the cluster, because k-means starts depend on it.
+    """
+    scaled, rows = _z_scores(rfm, FEATURES)
+    partitions = max(1, math.ceil(rows / PERSONS_PER_PARTITION))
+    laid_out = scaled.repartition(partitions, PERSON).sortWithinPartitions(PERSON)
+    return VectorAssembler(inputCols=SCALED, outputCol="features").transform(laid_out)
 
-def fit_kmeans(vectors: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED) -> KMeansModel:
-    """The cheapest of several k-means fits with different starts."""
-    fits = (
-        KMeans(k=k, seed=seed + i, maxIter=MAX_ITERATIONS, predictionCol="cluster").fit(vectors)
-        for i in range(restarts)
-    )
-    return min(fits, key=lambda model: model.summary.trainingCost)
+
+def fit_kmeans(
+    vectors: DataFrame, ks: Sequence[int], restarts: int = RESTARTS, seed: int = SEED
+) -> dict[int, KMeansModel]:
+    """Per k the cheapest of several k-means fits with different starts.
+
+    The fits are independent Spark jobs, so a few are submitted at a time.
+    """
+
+    def fit(k: int, start: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + start, maxIter=MAX_ITERATIONS, predictionCol="cluster").fit(vectors)
+
+    with ThreadPool(CONCURRENT_FITS) as pool:
+        starts = [(k, i) for k in ks for i in range(restarts)]
+        fits = pool.starmap(inheritable_thread_target(vectors.sparkSession)(fit), starts)
+    best: dict[int, KMeansModel] = {}
+    for (k, _), model in zip(starts, fits):
+        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
+            best[k] = model
+    return best
 
 
 def elbow(rfm: DataFrame, max_k: int = 10, restarts: int = RESTARTS) -> DataFrame:
@@ -131,8 +161,8 @@ def elbow(rfm: DataFrame, max_k: int = 10, restarts: int = RESTARTS) -> DataFram
     try:
         squares = sum(F.col(z) * F.col(z) for z in SCALED)
         costs = [(1, vectors.agg(F.sum(squares)).first()[0])]
-        for k in range(2, max_k + 1):
-            costs.append((k, float(fit_kmeans(vectors, k, restarts).summary.trainingCost)))
+        models = fit_kmeans(vectors, range(2, max_k + 1), restarts)
+        costs += [(k, float(model.summary.trainingCost)) for k, model in models.items()]
     finally:
         vectors.unpersist()
     return rfm.sparkSession.createDataFrame(costs, "k int, inertia double")
@@ -142,7 +172,7 @@ def kmeans_segments(scored: DataFrame, k: int = len(SEGMENTS), restarts: int = R
     """Adds the cluster number of the best of several k-means fits."""
     vectors = feature_vectors(scored).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = fit_kmeans(vectors, k, restarts)
+        model = fit_kmeans(vectors, [k], restarts)[k]
     finally:
         vectors.unpersist()
     return model.transform(vectors).select(*scored.columns, "cluster")

@@ -590,8 +590,8 @@ AVERAGES = {
     "avg_delivery_days": "delivery_days", "avg_delivery_delay": "delivery_delay",
 }
 WEEKLY_COLUMNS = (
-    "round(coalesce(sum(price), 0), 4) AS total_revenue, count(DISTINCT order_id) AS order_count, "
-    + ", ".join(f"round(avg({e}), 4) AS {n}" for n, e in AVERAGES.items())
+    "round(coalesce(sum(price), 0) + 1e-7, 4) AS total_revenue, count(DISTINCT order_id) AS order_count, "
+    + ", ".join(f"round(avg({e}) + 1e-7, 4) AS {n}" for n, e in AVERAGES.items())
 )
 COMPLETE = " AND ".join(f"{n} IS NOT NULL" for n in AVERAGES)
 WEEKLY = f"""{FEATURE_ROWS},
