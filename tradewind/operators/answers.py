@@ -217,34 +217,40 @@ def _matches(text: Column, rule: list[list[list[str]]]) -> Column:
     return reduce(lambda a, b: a | b, alternatives)
 
 
-def mentioned_state(text: Column, whole_word: bool = False) -> Column:
+def mentioned_state(padded: Column, whole_word: bool = False) -> Column:
     """The first state code that stands between blanks or ends the text.
 
-    Any ending counts, also that of a longer word ("orders" ends in RS); with
-    ``whole_word`` the code must follow a blank there too.
+    Takes the upper-cased text with a blank on both sides.  Any ending counts, also
+    that of a longer word ("orders" ends in RS); with ``whole_word`` it does not.
     """
-    upper = F.upper(text)
-    padded = F.concat(F.lit(" "), upper, F.lit(" "))
 
     def found(code: str) -> Column:
         between = padded.contains(f" {code} ")
-        return between if whole_word else between | upper.endswith(code)
+        return between if whole_word else between | padded.endswith(f"{code} ")
 
     return F.coalesce(*[F.when(found(code), F.lit(code)) for code in STATE_CODES])
 
 
 def tag_questions(questions: DataFrame, text: str = "text", whole_word: bool = False) -> DataFrame:
-    """Adds ``intent`` and, for questions about one state, ``state`` to every question."""
-    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
-    state = mentioned_state(lowered, whole_word)
-    about_state = state.isNotNull() & _contains_any(lowered, STATE_WORDS)
+    """Adds ``intent`` and, for questions about one state, ``state`` to every question.
+
+    Texts are prepared in columns of their own, so each is computed once per row.
+    """
+    lowered, padded, code = F.col("_lowered"), F.col("_padded"), F.col("_code")
+    about_state = code.isNotNull() & _contains_any(lowered, STATE_WORDS)
     intent = F.when(about_state, "state_orders_revenue")
     for name, rule in INTENT_RULES:
         intent = intent.when(_matches(lowered, rule), name)
     # blanks here include line breaks and tabs
     stripped = F.regexp_replace(lowered, r"^\s+|\s+$", "")
     intent = intent.when(stripped.isin(GREETINGS), "greeting").otherwise("fallback")
-    return questions.withColumns({"intent": intent, "state": F.when(about_state, state)})
+    return (
+        questions.withColumn("_lowered", F.lower(F.coalesce(F.col(text), F.lit(""))))
+        .withColumn("_padded", F.concat(F.lit(" "), F.upper(lowered), F.lit(" ")))
+        .withColumn("_code", mentioned_state(padded, whole_word))
+        .withColumns({"intent": intent, "state": F.when(about_state, code)})
+        .drop("_lowered", "_padded", "_code")
+    )
 
 
 def question_counts(tagged: DataFrame) -> DataFrame:

@@ -29,6 +29,11 @@ def percent(num: str, den: str, digits: int = 2) -> str:
     return ratio(f"(({num}) * 100)", den, digits)
 
 
+def settled(value: str, digits: int) -> str:
+    """A double rounded after a shift that settles exact ties."""
+    return f"round({value} + {10.0 ** -(digits + 3):.1e}, {digits})"
+
+
 def floor_days(later: str, earlier: str) -> str:
     return f"CAST(floor(epoch_us({later} - {earlier}) / 86400000000.0e0) AS BIGINT)"
 
@@ -140,8 +145,8 @@ def fences(column: str, source: str) -> str:
 check(
     "iqr_fences",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, round(q1, 6) AS q1, round(q3, 6) AS q3, round(low, 6) AS lower_fence,"
-        f" round(high, 6) AS upper_fence FROM ({fences(c, 'ec_order_items')})"
+        f"SELECT '{c}' AS column_name, {settled('q1', 6)} AS q1, {settled('q3', 6)} AS q3,"
+        f" {settled('low', 6)} AS lower_fence, {settled('high', 6)} AS upper_fence FROM ({fences(c, 'ec_order_items')})"
         for c in ("price", "freight_value")
     ),
 )
@@ -400,14 +405,20 @@ check("explore_bounds", "SELECT min(price) AS min_price, max(price) AS max_price
 
 
 def describe(source: str, columns: dict[str, str], digits: int = 4, dates: bool = False) -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count({e}) AS value_count, round(avg({e}), {digits}) AS mean,"
-        f" {'CAST(NULL AS DOUBLE)' if dates else f'round(stddev_samp({e}), {digits})'} AS std,"
-        f" round(CAST(min({e}) AS DOUBLE), {digits}) AS min, round(quantile_cont({e}, 0.25), {digits}) AS q25,"
-        f" round(quantile_cont({e}, 0.5), {digits}) AS q50, round(quantile_cont({e}, 0.75), {digits}) AS q75,"
-        f" round(CAST(max({e}) AS DOUBLE), {digits}) AS max FROM {source}"
-        for c, e in columns.items()
-    )
+    def one(column: str, e: str) -> str:
+        stats = {
+            "mean": f"avg({e})",
+            "std": "CAST(NULL AS DOUBLE)" if dates else f"stddev_samp({e})",
+            "min": f"CAST(min({e}) AS DOUBLE)",
+            "q25": f"quantile_cont({e}, 0.25)",
+            "q50": f"quantile_cont({e}, 0.5)",
+            "q75": f"quantile_cont({e}, 0.75)",
+            "max": f"CAST(max({e}) AS DOUBLE)",
+        }
+        cells = ", ".join(f"{settled(value, digits)} AS {name}" for name, value in stats.items())
+        return f"SELECT '{column}' AS column_name, count({e}) AS value_count, {cells} FROM {source}"
+
+    return " UNION ALL ".join(one(c, e) for c, e in columns.items())
 
 
 check("describe_orders", describe("ec_orders", {c: f"epoch_us({c}) / 1000000.0e0" for c in ORDER_DATES}, dates=True))
@@ -428,17 +439,17 @@ check(
 )
 check(
     "state_revenue_stats",
-    """
-    SELECT customer_state, count(o.order_id) AS total_orders, round(coalesce(sum(price), 0), 4) AS total_revenue,
-           round(avg(price), 4) AS avg_price, round(avg(freight_value), 4) AS avg_freight
+    f"""
+    SELECT customer_state, count(o.order_id) AS total_orders, {settled('coalesce(sum(price), 0)', 4)} AS total_revenue,
+           {settled('avg(price)', 4)} AS avg_price, {settled('avg(freight_value)', 4)} AS avg_freight
     FROM ec_orders o JOIN ec_customers c ON o.customer_id = c.customer_id
     LEFT JOIN ec_order_items i ON o.order_id = i.order_id WHERE customer_state IS NOT NULL GROUP BY 1""",
 )
 check(
     "payment_type_stats",
-    """
-    SELECT payment_type, count(order_id) AS total_transactions, round(sum(payment_value), 4) AS total_value,
-           round(avg(payment_value), 4) AS avg_value FROM ec_order_payments GROUP BY 1""",
+    f"""
+    SELECT payment_type, count(order_id) AS total_transactions, {settled('sum(payment_value)', 4)} AS total_value,
+           {settled('avg(payment_value)', 4)} AS avg_value FROM ec_order_payments GROUP BY 1""",
 )
 check(
     "status_by_year_pivot",
@@ -475,9 +486,10 @@ for query_name, column in (("box_stats", "freight_value"), ("price_box_stats", "
         f"""
     WITH f AS ({fences(column, 'ec_order_items')}),
     m AS (SELECT quantile_cont({column}, 0.5) AS med FROM ec_order_items)
-    SELECT round(any_value(q1), 6) AS q1, round(any_value(med), 6) AS median, round(any_value(q3), 6) AS q3,
-           round(min({column}) FILTER (WHERE {column} BETWEEN low AND high), 6) AS whisker_low,
-           round(max({column}) FILTER (WHERE {column} BETWEEN low AND high), 6) AS whisker_high,
+    SELECT {settled('any_value(q1)', 6)} AS q1, {settled('any_value(med)', 6)} AS median,
+           {settled('any_value(q3)', 6)} AS q3,
+           {settled(f'(min({column}) FILTER (WHERE {column} BETWEEN low AND high))', 6)} AS whisker_low,
+           {settled(f'(max({column}) FILTER (WHERE {column} BETWEEN low AND high))', 6)} AS whisker_high,
            count(*) FILTER (WHERE {column} NOT BETWEEN low AND high) AS outliers
     FROM ec_order_items, f, m""",
     )
@@ -590,8 +602,8 @@ AVERAGES = {
     "avg_delivery_days": "delivery_days", "avg_delivery_delay": "delivery_delay",
 }
 WEEKLY_COLUMNS = (
-    "round(coalesce(sum(price), 0) + 1e-7, 4) AS total_revenue, count(DISTINCT order_id) AS order_count, "
-    + ", ".join(f"round(avg({e}) + 1e-7, 4) AS {n}" for n, e in AVERAGES.items())
+    f"{settled('coalesce(sum(price), 0)', 4)} AS total_revenue, count(DISTINCT order_id) AS order_count, "
+    + ", ".join(f"{settled(f'avg({e})', 4)} AS {n}" for n, e in AVERAGES.items())
 )
 COMPLETE = " AND ".join(f"{n} IS NOT NULL" for n in AVERAGES)
 WEEKLY = f"""{FEATURE_ROWS},

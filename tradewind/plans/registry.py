@@ -23,7 +23,6 @@ from tradewind.sources.star_views import StarRetail, over_star
 from tradewind.streaming import live
 
 STATUSES = ["canceled", "delivered", "shipped"]
-NUDGE = 1e-7
 
 
 class Retail(StarRetail):
@@ -61,6 +60,10 @@ class Retail(StarRetail):
     def predictions(self) -> DataFrame:
         return forecast.predict(self.forest, self.weekly_split.filter("is_test"))
 
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return materialize(answers.answer_metrics(self.all()), "answers")
+
     @cached_property
     def reviews_full(self) -> DataFrame:
         categorised = ratings.item_category(
@@ -72,14 +75,20 @@ class Retail(StarRetail):
         return clean.CLEANERS[name](self[f"raw_{name}"])
 
 
-def rounded(df: DataFrame, digits: int = 6, nudge: float = 0.0) -> DataFrame:
-    """Doubles rounded for comparison: the order of additions is not fixed.
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles rounded for comparison: the order of additions is not fixed."""
+    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def settled(df: DataFrame, digits: int) -> DataFrame:
+    """Doubles rounded for comparison where exact ties are common.
 
-    Averages of cents often lie exactly between two rounded values, where the last bit
-    decides; a ``nudge`` far below the rounding step decides for it.
+    Averages and quantiles of cents often lie exactly between two rounded values, where
+    the last bit decides.  A shift by a thousandth of the last digit decides instead.
     """
+    shift = 10.0 ** -(digits + 3)
     return df.select(
-        *[F.round(F.col(c) + nudge, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
+        *[F.round(F.col(c) + shift, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
     )
 
 
@@ -188,7 +197,7 @@ def positive_only(r: Retail) -> DataFrame:
 
 @query
 def iqr_fences(r: Retail) -> DataFrame:
-    return rounded(clean.iqr_fence_table(r["order_items"], ["price", "freight_value"]))
+    return settled(clean.iqr_fence_table(r["order_items"], ["price", "freight_value"]), 6)
 
 
 @query
@@ -374,22 +383,22 @@ def explore_bounds(r: Retail) -> DataFrame:
 
 @query
 def describe_orders(r: Retail) -> DataFrame:
-    return rounded(explore.describe_numeric(r["orders"], ORDER_DATES), 4)
+    return settled(explore.describe_numeric(r["orders"], ORDER_DATES), 4)
 
 
 @query
 def describe_items(r: Retail) -> DataFrame:
-    return rounded(explore.describe_numeric(r["order_items"], ["price", "freight_value"]), 4)
+    return settled(explore.describe_numeric(r["order_items"], ["price", "freight_value"]), 4)
 
 
 @query
 def describe_payments(r: Retail) -> DataFrame:
-    return rounded(explore.describe_numeric(r["order_payments"], ["payment_value", "payment_installments"]), 4)
+    return settled(explore.describe_numeric(r["order_payments"], ["payment_value", "payment_installments"]), 4)
 
 
 @query
 def describe_rfm(r: Retail) -> DataFrame:
-    return rounded(explore.describe_numeric(r.rfm, rfm.FEATURES), 2)
+    return settled(explore.describe_numeric(r.rfm, rfm.FEATURES), 2)
 
 
 @query
@@ -404,12 +413,12 @@ def items_payments(r: Retail) -> DataFrame:
 
 @query
 def state_revenue_stats(r: Retail) -> DataFrame:
-    return rounded(explore.state_revenue_stats(r["orders"], r["customers"], r["order_items"]), 4)
+    return settled(explore.state_revenue_stats(r["orders"], r["customers"], r["order_items"]), 4)
 
 
 @query
 def payment_type_stats(r: Retail) -> DataFrame:
-    return rounded(explore.payment_type_stats(r["order_payments"]), 4)
+    return settled(explore.payment_type_stats(r["order_payments"]), 4)
 
 
 @query
@@ -439,12 +448,12 @@ def score_value_counts(r: Retail) -> DataFrame:
 
 @query
 def box_stats(r: Retail) -> DataFrame:
-    return rounded(explore.box_stats(r["order_items"], "freight_value"))
+    return settled(explore.box_stats(r["order_items"], "freight_value"), 6)
 
 
 @query
 def price_box_stats(r: Retail) -> DataFrame:
-    return rounded(explore.box_stats(r["order_items"], "price"))
+    return settled(explore.box_stats(r["order_items"], "price"), 6)
 
 
 @query
@@ -557,12 +566,12 @@ def order_feature_rows(r: Retail) -> DataFrame:
 
 @query
 def weekly_features(r: Retail) -> DataFrame:
-    return as_text(rounded(r.weekly(), 4, NUDGE))
+    return as_text(settled(r.weekly(), 4))
 
 
 @query
 def weekly_features_by_state(r: Retail) -> DataFrame:
-    return as_text(rounded(r.weekly("customer_state"), 4, NUDGE))
+    return as_text(settled(r.weekly("customer_state"), 4))
 
 
 @query
@@ -771,7 +780,7 @@ def tag_questions(r: Retail) -> DataFrame:
 def answer_questions(r: Retail) -> DataFrame:
     asked = r.base("conversations").filter(F.col("role") == "user")
     tagged = answers.tag_questions(asked).select("conv_id", "turn", "intent", "state")
-    return rounded(answers.answer_questions(tagged, answers.answer_metrics(r.all())), 4)
+    return rounded(answers.answer_questions(tagged, r.metrics), 4)
 
 
 # --- streams and the whole pipeline ----------------------------------------------
