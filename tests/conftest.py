@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        "spark.sql.maxMetadataStringLength": "2000",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
     }
     session = get_session("tests", "local[4]", **conf)

@@ -86,3 +86,18 @@ def test_pipeline_writes_every_stage(spark, r, tmp_path, monkeypatch):
     }
     assert rows["raw/customers"] == 2 * rows["clean/customers"] > 0
     assert rows["segments/clusters"] == 3 and rows["explore/correlation"] == 10
+
+
+def test_command_line_from_csv_files(spark, r, tmp_path, monkeypatch, capsys):
+    from tradewind.__main__ import main
+
+    monkeypatch.setattr(rfm, "elbow", lambda df: df.groupBy().count())
+    for name, df in r.all().items():
+        df.write.option("header", True).option("escape", '"').csv(str(tmp_path / "in" / f"{name}.csv"))
+    extra = str(tmp_path / "absent.csv")
+    with pytest.raises(KeyError):  # a table nobody knows
+        main(["--file", f"unknown={extra}", "--output", str(tmp_path / "none")])
+    main(["--input", str(tmp_path / "in"), "--file", f"geolocation={extra}", "--output", str(tmp_path / "out")])
+    assert "not found: geolocation" in capsys.readouterr().out
+    sellers = spark.read.parquet(str(tmp_path / "out" / "insights" / "top_sellers")).collect()
+    assert len(sellers) >= 10 and isinstance(sellers[0]["seller_id"], str)

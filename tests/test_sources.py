@@ -26,6 +26,13 @@ def test_csv_keeps_quotes_and_line_breaks(spark, tmp_path):
     assert second["review_score"] is None and second["review_creation_date"] == "not a date"
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "payments.csv").write_text("payment_value,extra,order_id,payment_installments\n1.5,x,o1,3.0\nbad,,o2,2\n")
+    loaded, _ = tables.load_tables(spark, {"order_payments": str(tmp_path / "payments.csv")})
+    found = loaded["order_payments"].select("order_id", "payment_value", "payment_installments", "extra")
+    assert rows(found) == [("o1", 1.5, 3, "x"), ("o2", None, 2, None)]
+
+
 def test_row_order_remembers_the_file(spark, tmp_path):
     from tradewind.operators.clean import clean_customers
 
@@ -66,6 +73,6 @@ def test_workspace_is_new_and_shared(spark):
     assert first != second and first.startswith(base) and second.startswith(base)
 
 
-@pytest.mark.parametrize("size, expected", [(0, 8), (1 << 30, 8), (100 << 40, 100_000), (1 << 40, 8192)])
+@pytest.mark.parametrize("size, expected", [(0, 8), (1 << 28, 8), (100 << 40, 100_000), (1 << 40, 16_384)])
 def test_shuffle_width_follows_the_input(size, expected):
     assert shuffle_partitions(size, cores=8) == expected

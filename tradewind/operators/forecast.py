@@ -155,11 +155,17 @@ def time_split(weekly: DataFrame) -> DataFrame:
 
 
 def train_forest(
-    train: DataFrame, features: Sequence[str] = FEATURES, trees: int = 100, depth: int = 5, seed: int = SEED
+    train: DataFrame,
+    features: Sequence[str] = FEATURES,
+    group_cols: Sequence[str] = (),
+    trees: int = 100,
+    depth: int = 5,
+    seed: int = SEED,
 ) -> PipelineModel:
     """A random forest that considers every feature at each split.
 
-    Rows are laid out by week so that the bootstrap does not depend on the input files.
+    Rows are laid out by week (and group) so that the bootstrap does not depend on the
+    input files.
     """
     forest = RandomForestRegressor(
         labelCol=TARGET,
@@ -172,7 +178,8 @@ def train_forest(
         seed=seed,
     )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    laid_out = train.select("week", *features, TARGET).repartition("week").sortWithinPartitions("week", *features)
+    keys = ["week", *group_cols]
+    laid_out = train.select(*keys, *features, TARGET).repartition(*keys).sortWithinPartitions(*keys)
     return Pipeline(stages=[assembler, forest]).fit(laid_out)
 
 

@@ -593,7 +593,7 @@ def train_forest(r: Retail) -> DataFrame:
 @query
 def train_forest_by_state(r: Retail) -> DataFrame:
     """The same forest over one weekly series per state, scored on the last weeks."""
-    model = forecast.train_forest(r.panel_split.filter("NOT is_test"))
+    model = forecast.train_forest(r.panel_split.filter("NOT is_test"), group_cols=["customer_state"])
     return rounded(forecast.evaluate(forecast.predict(model, r.panel_split.filter("is_test"))))
 
 

@@ -25,6 +25,9 @@ PRODUCT_MEASURES = [
     "product_width_cm",
 ]
 
+# their cells may hold line breaks
+FREE_TEXT_TABLES = {"order_reviews"}
+
 # column definitions as the CSV files have them
 RAW_SCHEMAS: dict[str, str] = {
     "customers": (

@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+TARGET_PARTITION_BYTES = 64 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 100_000
 
 RUNTIME_CONF = {
@@ -22,6 +22,8 @@ RUNTIME_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # merge up to the target size below, not just until every core has a task
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
     # split a hot join key even when that costs one more shuffle afterwards
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -6,32 +6,50 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, IntegralType, StringType, StructType
 
 from tradewind.functions.shaping import ROW_ORDER, unpivot_row
-from tradewind.schemas import RAW_SCHEMAS
+from tradewind.schemas import FREE_TEXT_TABLES, RAW_SCHEMAS
 
 
-def load_csv(spark: SparkSession, path: str, schema: StructType | str, row_order: bool = False) -> DataFrame:
-    """A headered CSV file or folder with a fixed schema.
+def _typed(name: str, kind: DataType) -> Column:
+    """Text to a type; unreadable text becomes NULL, and '5.0' is read as the integer 5."""
+    cell = F.col(name)
+    if isinstance(kind, StringType):
+        return cell
+    if isinstance(kind, IntegralType):
+        return F.coalesce(cell.try_cast(kind), cell.try_cast("double").try_cast(kind)).alias(name)
+    return cell.try_cast(kind).alias(name)
 
-    Review texts hold quotes and line breaks, hence the multi-line reader.  With
+
+def load_csv(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str,
+    row_order: bool = False,
+    multi_line: bool = False,
+) -> DataFrame:
+    """A headered CSV file or folder; columns are found by name and typed by the schema.
+
+    Columns the schema does not know stay text.  ``multi_line`` accepts line breaks in
+    quoted text, at the price that a file cannot be split over tasks.  With
     ``row_order`` each row remembers its place in the files, for "first row" rules.
     """
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+    # headers of further files must agree with the first instead of being skipped
+    lines = reader.option("enforceSchema", False).csv(path)
+    kinds = {f.name: f.dataType for f in (StructType.fromDDL(schema) if isinstance(schema, str) else schema)}
+    cells = [_typed(c, kinds[c]) if c in kinds else F.col(c) for c in lines.columns]
     if row_order:
-        place = F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
-        df = df.select("*", place.alias(ROW_ORDER))
-    return df
+        place = F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+        cells.append(place.alias(ROW_ORDER))
+    return lines.select(*cells)
 
 
 def load_tables(
@@ -47,7 +65,7 @@ def load_tables(
     tables, missing = {}, []
     for name, path in paths.items():
         try:
-            tables[name] = load_csv(spark, path, schemas[name], row_order)
+            tables[name] = load_csv(spark, path, schemas[name], row_order, name in FREE_TEXT_TABLES)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
