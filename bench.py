@@ -12,9 +12,10 @@ import json
 import os
 import statistics
 import time
+from pathlib import Path
 
 from tradewind.plans.registry import run
-from tradewind.session import get_session
+from tradewind.session import configure, get_session
 
 HEADLINE = [
     "top_sellers_ranked", "top_sellers_limit", "monthly_growth", "monthly_orders_lag", "delivery_delay_by_state",
@@ -41,6 +42,7 @@ def main() -> None:
     }
     spark = get_session("bench", f"local[{cpus}]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
+    configure(spark, sum(f.stat().st_size for f in Path(folder).rglob("*.parquet") if f.is_file()))
 
     def once(name: str) -> float:
         start = time.perf_counter()

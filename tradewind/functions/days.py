@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MICROS_PER_DAY = 86_400_000_000
-
 
 def trunc_days(later: Column, earlier: Column) -> Column:
     """Whole days between two timestamps, cut towards zero (-1.5 days -> -1)."""
@@ -19,7 +17,13 @@ def trunc_days(later: Column, earlier: Column) -> Column:
 
 def floor_days(later: Column, earlier: Column) -> Column:
     """Whole days between two timestamps, rounded down (-1.5 days -> -2)."""
-    return F.floor(F.timestamp_diff("MICROSECOND", earlier, later) / F.lit(MICROS_PER_DAY))
+    whole = trunc_days(later, earlier)
+    return whole - (later - earlier < F.make_dt_interval(whole.cast("int"))).cast("bigint")
+
+
+def epoch_seconds(ts: Column) -> Column:
+    """Seconds since 1970 as a double (the session runs in UTC)."""
+    return F.unix_micros(ts.cast("timestamp")) / F.lit(1e6)
 
 
 def month_label(ts: Column) -> Column:

@@ -8,8 +8,10 @@ quantile, then only the values inside the narrow brackets are counted and ranked
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The sketch is off by at most n / SKETCH_ACCURACY ranks, so a bracket holds a few
@@ -19,8 +21,19 @@ SKETCH_ACCURACY = 50_000
 BRACKET_MARGIN = 4
 
 
-def _brackets(values: DataFrame, wanted: Mapping[str, Sequence[float]], accuracy: int) -> DataFrame:
-    """One row per wanted quantile: bracket ends, exact 0-based position and last rank."""
+class Bracket(NamedTuple):
+    """Two values around a wanted quantile, and its exact 0-based position."""
+
+    column: str
+    probability: float
+    low: float
+    high: float
+    position: float
+    last: int
+
+
+def _brackets(values: DataFrame, wanted: Mapping[str, Sequence[float]], accuracy: int) -> list[Bracket]:
+    """Brackets of all wanted quantiles, from one pass; runs a job that returns one row."""
     margin = BRACKET_MARGIN / accuracy
     sketch = values.agg(
         *[
@@ -36,25 +49,17 @@ def _brackets(values: DataFrame, wanted: Mapping[str, Sequence[float]], accuracy
             ).alias(c)
             for c, probs in wanted.items()
         ]
-    )
-    wanted_rows = [(i, c, j, p) for i, (c, probs) in enumerate(wanted.items()) for j, p in enumerate(probs)]
-    rows = [
-        F.struct(
-            F.lit(i).alias("field"),
-            F.lit(slot).alias("slot"),
-            F.lit(c).alias("column"),
-            F.lit(float(p)).alias("probability"),
+    ).first()
+    found = []
+    for c, probs in wanted.items():
+        n = sketch[c]["n"]
+        for j, p in enumerate(probs if n else ()):
             # in ranks the margin is below one for a short column, so that is ranked whole
-            F.when(F.col(c)["n"] < accuracy, F.col(c)["min"]).otherwise(F.col(c)["edges"][j]).alias("low"),
-            F.when(F.col(c)["n"] < accuracy, F.col(c)["max"])
-            .otherwise(F.col(c)["edges"][j + len(wanted[c])])
-            .alias("high"),
-            (F.lit(float(p)) * (F.col(c)["n"] - 1)).alias("position"),
-            (F.col(c)["n"] - 1).alias("last"),
-        )
-        for slot, (i, c, j, p) in enumerate(wanted_rows)
-    ]
-    return sketch.select(F.inline(F.array(*rows))).filter("low IS NOT NULL")
+            short = n < accuracy
+            low = sketch[c]["min"] if short else sketch[c]["edges"][j]
+            high = sketch[c]["max"] if short else sketch[c]["edges"][j + len(probs)]
+            found.append(Bracket(c, float(p), low, high, float(p) * (n - 1), n - 1))
+    return found
 
 
 def exact_quantiles(
@@ -63,27 +68,49 @@ def exact_quantiles(
     """Linearly interpolated quantiles as rows (column, probability, value).
 
     NULLs are skipped, and a column without values has no rows.  The input is read
-    twice: once for the sketches, once to count the rows below each bracket and the
-    distinct values inside it.  The broadcast side has one row per wanted quantile.
+    three times: for the sketches, to count the rows below each bracket, and, with the
+    brackets as pushed-down filters, for the distinct values inside them.
     """
     values = df.select(*[F.col(c).cast("double").alias(c) for c in wanted])
     brackets = _brackets(values, wanted, accuracy)
+    if not brackets:
+        return df.sparkSession.createDataFrame([], "column string, probability double, value double")
 
-    cells = F.array(*[F.struct(F.lit(i).alias("field"), F.col(c).alias("v")) for i, c in enumerate(wanted)])
-    counted = (
-        values.select(F.inline(cells))
-        .join(F.broadcast(brackets.select("field", "slot", "low", "high")), "field")
-        .filter(F.col("v") <= F.col("high"))
-        # NULL = "somewhere below the bracket"; those rows only need counting
-        .groupBy("slot", F.when(F.col("v") >= F.col("low"), F.col("v")).alias("v"))
+    inside = [F.col(b.column).between(b.low, b.high) for b in brackets]
+    cells = [
+        F.when(hit, F.struct(F.lit(i).alias("slot"), F.col(b.column).alias("v")))
+        for i, (b, hit) in enumerate(zip(brackets, inside))
+    ]
+    candidates = (
+        values.filter(reduce(Column.__or__, inside))
+        .select(F.inline(F.array_compact(F.array(*cells))))
+        .groupBy("slot", "v")
         .agg(F.count("*").alias("rows"))
     )
+    # one row per bracket, with NULL for "somewhere below it"
+    below = values.agg(*[F.count_if(F.col(b.column) < b.low).alias(str(i)) for i, b in enumerate(brackets)]).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(i).alias("slot"), F.lit(None).cast("double").alias("v"), F.col(str(i)).alias("rows"))
+                    for i in range(len(brackets))
+                ]
+            )
+        )
+    )
     upward = Window.partitionBy("slot").orderBy(F.col("v").asc_nulls_first())
-    rank = F.floor("position")
+    targets = F.array(
+        *[
+            F.struct(*[F.lit(x).alias(n) for n, x in zip(Bracket._fields, b) if n not in ("low", "high")])
+            for b in brackets
+        ]
+    )
+    rank = F.floor("target.position")
     ends = (
-        counted.withColumn("through", F.sum("rows").over(upward))
-        .join(F.broadcast(brackets.select("slot", "column", "probability", "position", "last")), "slot")
-        .groupBy("column", "probability", "position", "last")
+        below.unionByName(candidates)
+        .withColumn("through", F.sum("rows").over(upward))
+        .withColumn("target", F.get(targets, F.col("slot")))
+        .groupBy("target")
         .agg(
             F.min(F.when(F.col("through") > rank, F.col("v"))).alias("lower"),
             F.min(F.when(F.col("through") > rank + 1, F.col("v"))).alias("upper"),
@@ -91,14 +118,15 @@ def exact_quantiles(
         )
     )
     bracketed = (
-        (F.coalesce("below", F.lit(0)) <= rank)
+        (F.col("below") <= rank)
         & F.col("lower").isNotNull()
-        & (F.col("upper").isNotNull() | (rank == F.col("last")))
+        & (F.col("upper").isNotNull() | (rank == F.col("target.last")))
     )
-    value = F.col("lower") + (F.coalesce("upper", "lower") - F.col("lower")) * (F.col("position") - rank)
+    step = F.col("target.position") - rank
+    value = F.col("lower") + (F.coalesce("upper", "lower") - F.col("lower")) * step
     return ends.select(
-        "column",
-        "probability",
+        "target.column",
+        "target.probability",
         F.when(bracketed, value)
         .otherwise(F.raise_error(F.lit("quantile bracket missed its target")).cast("double"))
         .alias("value"),

@@ -112,8 +112,8 @@ def clean_orders(orders: DataFrame) -> DataFrame:
 def clean_order_items(items: DataFrame) -> DataFrame:
     """Identical rows dropped, then price and freight outliers.
 
-    The distinct rows are written out once because the two fences read them four
-    times, each time only one narrow column.
+    The distinct rows are written out once because the two fences read them several
+    times, each time only one or two narrow columns.
     """
     unique = materialize(dedup_full_row(items), "distinct-items")
     return iqr_filter_chain(unique, ["price", "freight_value"])

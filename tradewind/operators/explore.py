@@ -9,6 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind.functions.days import epoch_seconds
 from tradewind.functions.quantiles import exact_quantiles, quantile_values
 from tradewind.functions.shaping import unpivot_row
 from tradewind.operators.clean import FENCE_WIDTH
@@ -38,11 +39,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Timestamps are described as seconds since 1970 and have no deviation.
     """
     types = dict(df.dtypes)
-    seconds = {
-        c: F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(c)) / F.lit(1e6)
-        for c in columns
-        if types[c].startswith("timestamp")
-    }
+    seconds = {c: epoch_seconds(F.col(c)) for c in columns if types[c].startswith("timestamp")}
     values = df.select(*[seconds.get(c, F.col(c).cast("double")).alias(c) for c in columns])
     stats = values.agg(
         *[

@@ -89,7 +89,7 @@ def quantile_bucket(df: DataFrame, column: str, alias: str, probabilities: Seque
 def rfm_scores(rfm: DataFrame) -> DataFrame:
     """Adds scores 1 to 5 (recent, frequent, spending = 5) and their sum.
 
-    Reads ``rfm`` three times, so pass a written table.
+    Reads ``rfm`` several times, so pass a written table.
     """
     edges = quantile_values(rfm, {"recency": QUINTILES, "monetary": QUINTILES})
     return rfm.withColumns(

@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 TARGET_PARTITION_BYTES = 64 * 1024 * 1024
+SMALLEST_PARTITION_BYTES = 2 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 100_000
 
 RUNTIME_CONF = {
@@ -22,9 +23,8 @@ RUNTIME_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # merge up to the target size below, not just until every core has a task
+    # merge up to the advisory size, not just until every core has a task
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
     # split a hot join key even when that costs one more shuffle afterwards
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -41,14 +41,18 @@ def shuffle_partitions(input_bytes: int, cores: int) -> int:
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply the runtime settings to a running session.
 
-    With ``input_bytes`` the initial shuffle width follows the size of the input;
-    adaptive execution then merges partitions that turn out small.
+    With ``input_bytes`` the initial shuffle width follows the size of the input, and
+    adaptive execution merges small partitions up to the target size; for an input that
+    would not fill the cores at that size, up to an even share per core.
     """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     if input_bytes is not None:
-        width = shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism)
+        cores = spark.sparkContext.defaultParallelism
+        share = max(SMALLEST_PARTITION_BYTES, min(input_bytes // cores, TARGET_PARTITION_BYTES))
+        width = shuffle_partitions(input_bytes, cores)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(share))
     return spark
 
 
