@@ -787,6 +787,7 @@ METRIC_ROWS = " UNION ALL ".join(
         for m in metrics
     ]
 )
+check("answer_metrics", METRIC_ROWS)
 check(
     "answer_questions",
     f"""WITH {TAGGED}, metrics AS ({METRIC_ROWS})

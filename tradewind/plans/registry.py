@@ -767,7 +767,7 @@ def product_count(r: Retail) -> DataFrame:
 
 @query
 def answer_metrics(r: Retail) -> DataFrame:
-    return rounded(answers.answer_metrics(r.all(), r.segments), 4)
+    return rounded(answers.answer_metrics(r.all()), 4)
 
 
 @query
