@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import importance, language_id, mixing, near_duplicates, packing, quality_rules, topk_search
+from tradewind.llm import (
+    importance, language_id, mixing, near_duplicates, packing, quality_rules, substring, suffix_dedup,
+    topk_search,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -80,3 +83,13 @@ WHERE rank <= 20
 @query
 def op6_super_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), words=2, percent=80)
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.substring_dedup(table(spark, folder, "documents"))
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, folder, "documents"))
