@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import (
-    importance, language_id, mixing, near_duplicates, packing, quality_rules, substring, suffix_dedup,
+    importance, language_id, mixing, near_duplicates, packing, personal_data, quality_rules,
+    substring, suffix_dedup,
     topk_search,
 )
 
@@ -93,3 +94,8 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(table(spark, folder, "documents"))
+
+
+@query
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.personal_data(table(spark, folder, "documents"))
