@@ -216,16 +216,20 @@ def new_window(h: np.ndarray, h2: np.ndarray) -> np.ndarray:
 
 
 def sent_windows(lot: list[list], buckets: int, length: int) -> tuple[pa.RecordBatch, pa.Table]:
-    """Windows of a lot as rows, each once; and the spans of the others, which are not first."""
-    h, h2, key, at = (np.concatenate(part) for part in lot)
+    """Windows of a lot as rows, each once; and the spans of the others, which are not first.
+
+    The last part of the lot is a hash that equal windows share, and neighbouring ones often do: it
+    chooses the bucket, so that neighbours stay together and their spans join.
+    """
+    h, h2, key, at, home = (np.concatenate(part) for part in lot)
     by = np.lexsort((at, key, h2, h))
-    h, h2, key, at = h[by], h2[by], key[by], at[by]
+    h, h2, key, at, home = h[by], h2[by], key[by], at[by], home[by]
     begins = new_window(h, h2)
     late = later(begins, key, at)
     spans = merged(key[late], at[late], at[late] + length)
     send = np.flatnonzero(begins)
     send = send[np.lexsort((at[send], key[send]))]
-    return dealt(h[send], buckets, [h[send], h2[send], key[send], at[send].astype("<i4")]), spans
+    return dealt(home[send], buckets, [h[send], h2[send], key[send], at[send].astype("<i4")]), spans
 
 
 def merged(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Table:

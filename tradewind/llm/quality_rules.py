@@ -12,7 +12,6 @@ fails them is rejected whatever its histograms say.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -28,6 +27,8 @@ from tradewind.llm.common import store, table_batches, words_of
 SYMBOLS = "#*$%&|<>"
 BLANK = " \t\n\v\f\r"
 CLASSES = ["lower", "upper", "letter", "digit", "blank", "stop", "mark", "symbol", "other"]
+#: Different words that a task counts before it sends the counts on.
+HELD_WORDS = 400_000
 STRIP = ".,;:!?()\"'"
 
 
@@ -121,23 +122,28 @@ def corpus_histograms(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = class_table()
-        for rows in table_batches(batches, 4000):
-            words: dict[str, Counter] = {}
-            classes: dict[str, np.ndarray] = {}
+        words: dict[str, Counter] = {}
+        classes: dict[str, np.ndarray] = {}
+        for rows in table_batches(batches):
             for lang, text in zip(rows["lang"], rows["text"], strict=True):
                 if lang is not None and text:
                     words.setdefault(lang, Counter()).update(words_of(text))
                     classes[lang] = classes.get(lang, 0) + class_counts(text, table)
-            out = [(lang, "class", CLASSES[k], int(n)) for lang, c in classes.items() for k, n in enumerate(c) if n]
-            for lang, counter in words.items():
-                plain: Counter = Counter()
-                for word, n in counter.items():
-                    plain[plain_word(word)] += n
-                out += [(lang, "word", word, n) for word, n in plain.items() if word]
-            columns = list(zip(*out, strict=True)) or [[], [], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["lang", "kind", "item", "n"]
-            )
+            if sum(map(len, words.values())) > HELD_WORDS:
+                yield counted(words, classes)
+                words, classes = {}, {}
+        yield counted(words, classes)
+
+    def counted(words: dict[str, Counter], classes: dict[str, np.ndarray]) -> pa.RecordBatch:
+        out = [(lang, "class", CLASSES[k], int(n)) for lang, c in classes.items() for k, n in enumerate(c) if n]
+        for lang, counter in words.items():
+            plain: Counter = Counter()
+            for word, n in counter.items():
+                plain[plain_word(word)] += n
+            out += [(lang, "word", word, n) for word, n in plain.items() if word]
+        columns = list(zip(*out, strict=True)) or [[], [], [], []]
+        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=["lang", "kind", "item", "n"])
 
     types = [pa.string(), pa.string(), pa.string(), pa.int64()]
     counts = docs.select("lang", "text").mapInArrow(count, "lang string, kind string, item string, n long")
@@ -227,13 +233,3 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa
     schema += ", base_failed boolean, kept boolean, class_distance double, word_distance double"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(judge, schema)
 
-
-BASE_SQL = re.sub(r"\s+", " ", r"""
-WITH w AS (
-  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
-)
-SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
-  CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
-  CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols
-FROM w
-""").strip()

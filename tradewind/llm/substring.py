@@ -131,7 +131,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     rest = judged.filter("n > 0").groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("places"))
 
     def third_level(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, lot, held = hash_cache(), [[], [], [], []], 0
+        cache, lot, held = hash_cache(), [[] for _ in range(5)], 0
         for rows in table_batches(batches):
             for key, text, found in zip(rows["key"], rows["text"], rows["places"], strict=True):
                 hashes = word_hashes(words_of(text), cache)
@@ -139,10 +139,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 starts = starts[starts <= len(hashes) - window]
                 lot[0].append(fold(hashes, window)[starts]), lot[1].append(fold(hashes, window, 7)[starts])
                 lot[2].append(np.full(len(starts), key, "<i8")), lot[3].append(starts.astype("<i4"))
+                grams = fold(hashes, quarter)
+                anchors, first, _ = anchored(grams, window - quarter + 1)
+                lot[4].append(grams[anchors[np.searchsorted(first, starts, "right") - 1]])
                 held += len(starts)
             if held >= LOT:
                 yield from packed_windows(lot)
-                lot, held = [[], [], [], []], 0
+                lot, held = [[] for _ in range(5)], 0
         if held:
             yield from packed_windows(lot)
 

@@ -183,7 +183,7 @@ def deal_ranges(blocks: DataFrame, bounds: list[bytes], hot: set[bytes], buckets
     depth = shared_depth(length)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lot: list[list] = [[], [], [], []]
+        lot: list[list] = [[] for _ in range(5)]
         held = 0
         for rows in table_batches(batches, 20):
             out: dict[str, list] = {name: [] for name in DEALT_RUNS.names}
@@ -204,7 +204,7 @@ def deal_ranges(blocks: DataFrame, bounds: list[bytes], hot: set[bytes], buckets
                     add(out, place, run, seq, encode_block(some))
             if held >= LOT:
                 yield from hot_rows(lot)
-                lot, held = [[], [], [], []], 0
+                lot, held = [[] for _ in range(5)], 0
             yield pa.RecordBatch.from_pydict(out, schema=DEALT_RUNS)
         if held:
             yield from hot_rows(lot)
@@ -218,6 +218,7 @@ def deal_ranges(blocks: DataFrame, bounds: list[bytes], hot: set[bytes], buckets
         sums = [xxhash.xxh3_128_intdigest(text[j : j + length]) for j in range(n)]
         lot[0].append(np.array([s >> 64 for s in sums], "<u8")), lot[1].append(np.array([s & (2**64 - 1) for s in sums], "<u8"))
         lot[2].append(np.full(n, key, "<i8")), lot[3].append(np.arange(start, start + n, dtype="<i4"))
+        lot[4].append(lot[0][-1])  # one hot suffix must not meet in one bucket
         return n
 
     def hot_rows(lot: list[list]) -> Iterator[pa.RecordBatch]:
