@@ -75,4 +75,14 @@ def store(df: DataFrame, purpose: str) -> DataFrame:
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    stored = spark.read.schema(schema).parquet(path)
+    stored.stored_path = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete intermediates of ``store`` that nothing reads any more."""
+    for df in stored:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -35,6 +35,6 @@ def connected(links: DataFrame) -> DataFrame:
         if state == seen or state[0] == 0:
             break
         seen = state
-        edges = store(_star(store(_star(edges, larger=True), "links"), larger=False), "links")
+        edges = store(_star(_star(edges, larger=True), larger=False), "links")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

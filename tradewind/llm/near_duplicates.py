@@ -7,9 +7,10 @@ slots, offering ``step + random`` to the slot of each step, and a document's wal
 later step can lower a slot.  Equal bands make candidates; a sketch of one bit per slot
 drops hopeless ones; the others are confirmed on full sets.
 
-Members of a bucket are first compared with its smallest member only.  Where that leaves
-a bucket in several components, all pairs across them are compared as well, so a group of
-near copies needs about as many comparisons as members, and no link that could join two
+In each of a few rounds a bucket has one pivot, another one each time, and every member outside
+the pivot's component is compared with the most promising pivot of its buckets.  Where that leaves
+a bucket in several components, all pairs across them are compared as well.  So a group of
+near copies needs a few comparisons per member, and no link that could join two
 components is left untested.
 """
 
@@ -22,10 +23,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import Cache, mix, store, table_batches, word_hashes
+from tradewind.llm.common import Cache, discard, mix, store, table_batches, word_hashes
 from tradewind.llm.components import connected
 
 BYTE_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -34,6 +35,8 @@ SLOTS = BANDS * ROWS
 # Sets of similarity 0.8 differ in 16 of 160 bits, give or take 3.8: six deviations away.
 MOST_BITS = 39
 CHUNK_SHINGLES = 100_000
+#: Ids are ordered by their bits against these patterns to choose the pivot of each round.
+ORDERS = (0, 0x5DEECE66D5DEECE6, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85)
 
 
 def shingle_set(text: str | None, words: int, cache: Cache) -> np.ndarray:
@@ -108,24 +111,29 @@ def signed_documents(docs: DataFrame, words: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, schema)
 
 
-def hopeful(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) whose sizes and sketches allow the similarity."""
-    for side in "ab":
-        names = [F.col(c).alias(f"{side}_{c}") for c in ("n_shingles", "s0", "s1", "s2")]
-        pairs = pairs.join(sketches.select(F.col("node").alias(side), *names), side)
-    return pairs.filter(likely(percent)).select("a", "b").distinct()
+def unequal_bits() -> Column:
+    return sum((F.bit_count(F.col(f"a_{s}").bitwiseXOR(F.col(f"b_{s}"))) for s in ("s0", "s1", "s2")), F.lit(0))
 
 
-def likely(percent: int):
-    bits = sum((F.bit_count(F.col(f"a_{s}").bitwiseXOR(F.col(f"b_{s}"))) for s in ("s0", "s1", "s2")), F.lit(0))
+def likely(percent: int) -> Column:
+    """Whether sizes and sketches of a pair allow the similarity."""
     least, most = F.least("a_n_shingles", "b_n_shingles"), F.greatest("a_n_shingles", "b_n_shingles")
-    return (100 * least >= percent * most) & (bits <= MOST_BITS)
+    return (100 * least >= percent * most) & (unequal_bits() <= MOST_BITS)
+
+
+def described(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sketch columns of both, prefixed a_ and b_."""
+    for side in "ab":
+        names = [F.col(c).alias(f"{side}_{c}") for c in sketches.columns if c != "node"]
+        pairs = pairs.join(sketches.select(F.col("node").alias(side), *names), side)
+    return pairs
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of document ids whose full sets are similar enough."""
-    pairs = store(pairs, "pairs")
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, items): the shingle sets of the given documents.
+
+    The merge hint keeps the plan, and so the disk a run needs, the same at every size.
+    """
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Cache(xxhash.xxh3_64_intdigest)
@@ -135,15 +143,18 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
                 [pa.array(rows["node"], pa.int64()), pa.array(sets, pa.binary())], names=["node", "items"]
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node", "left_semi")
-    sets = store(texts.mapInArrow(build, "node long, items binary"), "sets")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes.hint("merge"), "node", "left_semi")
+    return store(texts.mapInArrow(build, "node long, items binary"), "sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, hint: str | None = None) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in table_batches(batches, 200):
             keep = []
             for k, (x, y) in enumerate(zip(rows["a_items"], rows["b_items"], strict=True)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([x, y])
+                both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
                 if 100 * common >= percent * (len(both) - common):
@@ -152,11 +163,16 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
             yield pa.RecordBatch.from_arrays(out, names=["a", "b"])
 
     for side in "ab":
+        pairs = pairs.hint(hint) if hint else pairs
         pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("items").alias(f"{side}_items")), side)
     links = pairs.select("a", "b", "a_items", "b_items").mapInArrow(compare, "a long, b long")
     return store(links.distinct(), "similar")
 
 
+def with_components(nodes: DataFrame, parts: DataFrame) -> DataFrame:
+    return nodes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -172,31 +188,43 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # the class's row with the smallest id stands for it
     chosen = signed.join(classes.withColumnRenamed("set_key", "key"), (F.col("set_key") == F.col("key")) & (F.col("doc_id") == F.col("node")))
     nodes = store(chosen.select("node", "n_shingles", "bands", "s0", "s1", "s2"), "nodes")
-    sketches = nodes.drop("bands")
     banded = nodes.select("node", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-    members = store(banded.join(shared.filter("pivot < last").select("band", "pivot"), "band"), "members")
-
-    stars = members.filter("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = confirmed(hopeful(stars, sketches, percent), docs, words, percent)
-    parts = store(connected(links), "parts")
-
-    # buckets that still span several components: all pairs across them that are not tested yet
-    placed = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    shared = banded.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+    members = store(banded.join(shared.filter("first < last").select("band"), "band"), "members")
+    sets = full_sets(docs, members.select("node").distinct(), words)
+
+    parts = docs.sparkSession.createDataFrame([], "node long, component long")
+    links = None
+    for order in ORDERS:
+        placed, sketches = with_components(members, parts), with_components(nodes.drop("bands"), parts)
+        pivot = F.min(F.col("node").bitwiseXOR(F.lit(order))).bitwiseXOR(F.lit(order)).alias("a")
+        pivots = placed.groupBy("band").agg(pivot, F.min("component").alias("low"), F.max("component").alias("high"))
+        stars = members.join(pivots.filter("low < high").select("band", "a"), "band").filter("a <> node")
+        pairs = described(stars.select("a", F.col("node").alias("b")).distinct(), sketches)
+        pairs = pairs.filter(likely(percent) & (F.col("a_component") != F.col("b_component")))
+        best = pairs.groupBy("b").agg(F.min(F.struct(unequal_bits().alias("bits"), "a")).alias("best"))
+        chosen = store(best.select(F.col("best.a").alias("a"), "b"), "pairs")
+        if links is not None and chosen.isEmpty():
+            break
+        found = confirmed(chosen, sets, percent, "merge" if links is None else None)
+        links = found if links is None else links.unionByName(found)
+        parts = store(connected(links), "parts")
+
+    # buckets that still span several components: all pairs across them
+    placed = with_components(members, parts)
     mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = placed.join(mixed.filter("low < high").select("band"), "band").join(sketches, "node")
+    placed = placed.join(mixed.filter("low < high").select("band"), "band").join(nodes.drop("bands"), "node")
     placed = store(placed, "mixed")
     left, right = (
-        placed.select("band", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "pivot", "component", "n_shingles", "s0", "s1", "s2")])
+        placed.select("band", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "component", "n_shingles", "s0", "s1", "s2")])
         for s in "ab"
     )
-    across = left.join(right, "band").filter(
-        (F.col("a_component") < F.col("b_component")) & likely(percent)
-        & (F.col("a_node") != F.col("a_pivot")) & (F.col("b_node") != F.col("b_pivot"))
-    )
-    pairs = across.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
-    more = confirmed(pairs, docs, words, percent)
-    parts = store(connected(links.unionByName(more)), "parts")
+    across = left.join(right, "band").filter((F.col("a_component") < F.col("b_component")) & likely(percent))
+    pairs = store(across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), "pairs")
+    if not pairs.isEmpty():
+        links = links.unionByName(confirmed(pairs, sets, percent))
+        parts = store(connected(links), "parts")
+    discard(members, sets, nodes)
 
     found = signed.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left").join(parts, "node", "left")
     component = F.coalesce("component", "node", "doc_id")
