@@ -23,7 +23,12 @@ from tradewind.llm.common import mix
 LOT = 1_500_000
 BUCKET_RECORDS = 750_000
 DEALT = pa.schema([("bucket", pa.int32()), ("payload", pa.binary())])
-SPANS = "key long, start int, end int"
+DEALT_SCHEMA = "bucket int, payload binary"
+#: Packed rows of several kinds, one after the other: what meets next, spans, and places.
+KINDED = pa.schema([("kind", pa.int32()), *DEALT])
+KINDED_SCHEMA = "kind int, bucket int, payload binary"
+MEET, SPAN, PLACE = 0, 1, 2
+SPAN_KINDS = ["<i8", "<i4", "<i4"]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -62,7 +67,7 @@ def dealt(hashes: np.ndarray, buckets: int, columns: list[np.ndarray]) -> pa.Rec
     bucket = (hashes % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     found, starts = np.unique(bucket[order], return_index=True)
-    ends = np.append(starts[1:], len(order))
+    ends = np.append(starts[1:], len(order))[: len(starts)]
     rows = [packed([c[order[a:b]] for c in columns]) for a, b in zip(starts, ends, strict=True)]
     return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(rows, pa.binary())], schema=DEALT)
 
@@ -95,9 +100,34 @@ def later(begins: np.ndarray, key: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (key != key[first]) | (at != at[first])
 
 
-def spans_table(key, start, end) -> pa.Table:
-    return pa.table([pa.array(key, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32())],
-                    names=["key", "start", "end"])
+def by_key(buckets: int, key: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """Records on their way to the bucket of their key."""
+    kinds = ["<i8", *["<i4"] * len(columns)]
+    return dealt(mix(key.astype("<i8").view("<u8"), 0), buckets, [c.astype(k) for c, k in zip((key, *columns), kinds, strict=True)])
+
+
+def kinded(kind: int, rows: pa.RecordBatch) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(rows.num_rows, kind, "<i4")), *rows.columns], schema=KINDED)
+
+
+def of_kind(rows: DataFrame, kind: int) -> DataFrame:
+    return rows.filter(F.col("kind") == kind).select("bucket", "payload")
+
+
+def lists_per_key(rows: DataFrame, names: list[str], join=None) -> DataFrame:
+    """One row per key with its records as arrays of integers, from rows of ``by_key``."""
+
+    def gather(columns: list[np.ndarray]) -> pa.Table:
+        if join:
+            columns = join(*columns)
+        by, begins = first_of(columns[0], columns[1])  # one group per key, in order
+        starts = np.flatnonzero(begins)
+        edges = pa.array(np.append(starts, len(by)), pa.int32())
+        lists = [pa.ListArray.from_arrays(edges, pa.array(c[by], pa.int32())) for c in columns[1:]]
+        return pa.table([pa.array(columns[0][by][starts], pa.int64()), *lists], names=["key", *names])
+
+    schema = "key long" + "".join(f", {n} array<int>" for n in names)
+    return meet(rows, ["<i8", *["<i4"] * len(names)], gather, schema)
 
 
 def sliding_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -185,27 +215,22 @@ def repeated_anchors(
         by, begins = first_of(h)
         keep = by[(sizes_of(begins) > 1) | (flag[by] == 1)]
         out.append((key[keep], at[keep]))
-        key, at = (np.concatenate(c) for c in zip(*out, strict=True))
-        by, begins = first_of(key, at)
-        starts = np.flatnonzero(begins)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(by)), pa.int32()), pa.array(at[by], pa.int32()))
-        return pa.table([pa.array(key[by][starts], pa.int64()), lists], names=["key", "at"])
+        return pa.Table.from_batches([by_key(buckets, *(np.concatenate(c) for c in zip(*out, strict=True)))])
 
-    rows = docs.mapInArrow(send, "bucket int, payload binary")
-    found = meet(rows, kinds, judge, "key long, at array<int>")
-    return found.groupBy("key").agg(F.flatten(F.collect_list("at")).alias("anchors"))
+    rows = docs.mapInArrow(send, DEALT_SCHEMA)
+    return lists_per_key(meet(rows, kinds, judge, DEALT_SCHEMA), ["anchors"])
 
 
-def first_windows(rows: DataFrame, length: int) -> DataFrame:
-    """Spans of the windows (two hashes, key, start), sent as packed records, that start earlier elsewhere."""
+def first_windows(rows: DataFrame, length: int, buckets: int) -> DataFrame:
+    """Packed spans of the windows (two hashes, key, start), sent as packed records, that start earlier elsewhere."""
 
     def judge(columns: list[np.ndarray]) -> pa.Table:
         h, h2, key, at = columns
         by = np.lexsort((at, key, h2, h))
         late = by[later(new_window(h[by], h2[by]), key[by], at[by])]
-        return merged(key[late], at[late], at[late] + length)
+        return pa.Table.from_batches([by_key(buckets, *merged(key[late], at[late], at[late] + length))])
 
-    return meet(rows, WINDOW_KINDS, judge, SPANS)
+    return meet(rows, WINDOW_KINDS, judge, DEALT_SCHEMA)
 
 
 WINDOW_KINDS = ["<u8", "<u8", "<i8", "<i4"]
@@ -215,8 +240,8 @@ def new_window(h: np.ndarray, h2: np.ndarray) -> np.ndarray:
     return np.append(True, (h[1:] != h[:-1]) | (h2[1:] != h2[:-1]))[: len(h)]
 
 
-def sent_windows(lot: list[list], buckets: int, length: int) -> tuple[pa.RecordBatch, pa.Table]:
-    """Windows of a lot as rows, each once; and the spans of the others, which are not first.
+def sent_windows(lot: list[list], buckets: int, length: int) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+    """Windows of a lot as rows, each once; and packed spans of the others, which are not first.
 
     The last part of the lot is a hash that equal windows share, and neighbouring ones often do: it
     chooses the bucket, so that neighbours stay together and their spans join.
@@ -226,16 +251,16 @@ def sent_windows(lot: list[list], buckets: int, length: int) -> tuple[pa.RecordB
     h, h2, key, at, home = h[by], h2[by], key[by], at[by], home[by]
     begins = new_window(h, h2)
     late = later(begins, key, at)
-    spans = merged(key[late], at[late], at[late] + length)
+    spans = by_key(buckets, *merged(key[late], at[late], at[late] + length))
     send = np.flatnonzero(begins)
     send = send[np.lexsort((at[send], key[send]))]
     return dealt(home[send], buckets, [h[send], h2[send], key[send], at[send].astype("<i4")]), spans
 
 
-def merged(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Table:
+def merged(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Spans of each key with overlapping and touching ones joined."""
     if not len(key):
-        return spans_table([], [], [])
+        return key, start, end
     by = np.lexsort((start, key))
     key, start, end = key[by], start[by].astype(np.int64), end[by].astype(np.int64)
     group = np.cumsum(np.append(False, key[1:] != key[:-1]))
@@ -244,11 +269,12 @@ def merged(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Table:
     begins = np.append(True, (start + base)[1:] > reach[:-1])
     starts = np.flatnonzero(begins)
     last = np.append(starts[1:], len(by)) - 1
-    return spans_table(key[starts], start[starts], reach[last] - base[last])
+    return key[starts], start[starts], reach[last] - base[last]
 
 
-def spans_per_key(spans: DataFrame) -> DataFrame:
-    return spans.groupBy("key").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
+def spans_per_key(rows: DataFrame) -> DataFrame:
+    """(key, starts, ends) from packed spans."""
+    return lists_per_key(rows, ["starts", "ends"], merged)
 
 
 def covered(length: int, starts, ends) -> np.ndarray:

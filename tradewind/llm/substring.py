@@ -28,29 +28,12 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.common import hash_cache, mix, store, table_batches, word_hashes, words_of
 from tradewind.llm.exchange import (
-    LOT, SPANS, anchored, buckets_for, covered, dealt, first_of, first_windows, fold, keyed, later, meet, merged,
-    repeated_anchors, sent_windows, sizes_of, spans_per_key,
+    KINDED_SCHEMA, LOT, MEET, PLACE, SPAN, anchored, buckets_for, by_key, covered, dealt, first_of, first_windows, fold,
+    keyed, kinded, later, lists_per_key, meet, merged, of_kind, repeated_anchors, sent_windows, sizes_of, spans_per_key,
 )
 
 WINDOW = 20
 PLACE_KINDS = ["<u8", "<u8", "<i8", "<i4", "<i4"]
-#: Rows that carry either a packed bucket, a removed span, or a place for the next level.
-MIXED = pa.schema([("bucket", pa.int32()), ("payload", pa.binary()), ("key", pa.int64()), ("start", pa.int32()),
-                   ("end", pa.int32()), ("n", pa.int32())])
-MIXED_SCHEMA = "bucket int, payload binary, key long, start int, end int, n int"
-
-
-def span_rows(spans: pa.Table, n: int | list = 0) -> pa.RecordBatch:
-    size = spans.num_rows
-    columns = [pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary()), *[c.combine_chunks() for c in spans.columns]]
-    columns.append(pa.array(np.broadcast_to(n, size), pa.int32()))
-    return pa.RecordBatch.from_arrays(columns, schema=MIXED)
-
-
-def bucket_rows(rows: pa.RecordBatch) -> pa.RecordBatch:
-    size = rows.num_rows
-    empty = [pa.nulls(size, t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int32())]
-    return pa.RecordBatch.from_arrays([*rows.columns, *empty], schema=MIXED)
 
 
 def short_windows(quarter: int) -> Callable[[], Callable[[str], np.ndarray]]:
@@ -80,7 +63,7 @@ def places(hashes: np.ndarray, window: int, anchors: set[int]) -> Iterator[tuple
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Spans (key, start, end) of words covered by a window that also starts earlier."""
+    """Packed spans (key, start, end) of words covered by a window that also starts earlier."""
     if window % 4:
         raise ValueError("the window must be a multiple of four words")
     quarter = window // 4
@@ -103,10 +86,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         h, c, key, at, n = (np.array(x, kind) for x, kind in zip(zip(*lot, strict=True), PLACE_KINDS, strict=True))
         by, begins = first_of(mix(h, c), key, at)
         late = by[later(begins, key[by], at[by])]
-        yield span_rows(merged(key[late], at[late], at[late] + n[late] - 1 + window))
+        yield kinded(SPAN, by_key(buckets, *merged(key[late], at[late], at[late] + n[late] - 1 + window)))
         by = by[begins]
         by = by[np.lexsort((at[by], key[by]))]
-        yield bucket_rows(dealt(h[by], buckets, [x[by] for x in (h, c, key, at, n)]))
+        yield kinded(MEET, dealt(h[by], buckets, [x[by] for x in (h, c, key, at, n)]))
 
     def judge(columns: list[np.ndarray]) -> pa.Table:
         h, c, key, at, n = columns
@@ -117,25 +100,20 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         alike = np.logical_and.reduceat(c == c[starts][group], starts) if len(starts) else np.empty(0, bool)
         several = sizes_of(begins) > 1
         late = several & alike[group] & later(begins, key, at) if len(starts) else several
-        spans = merged(key[late], at[late], at[late] + n[late] - 1 + window)
+        spans = by_key(buckets, *merged(key[late], at[late], at[late] + n[late] - 1 + window))
         open_ = several & ~alike[group] if len(starts) else several
-        rows = [span_rows(spans)]
-        rows.append(span_rows(pa.table([pa.array(key[open_], pa.int64()), pa.array(at[open_], pa.int32()),
-                                        pa.array(at[open_], pa.int32())], names=["key", "start", "end"]), n[open_]))
-        return pa.Table.from_batches(rows).drop_columns(["bucket", "payload"])
+        return pa.Table.from_batches([kinded(SPAN, spans), kinded(PLACE, by_key(buckets, key[open_], at[open_], n[open_]))])
 
-    halves = store(docs.join(survivors, "key").mapInArrow(second_level, MIXED_SCHEMA), "halves")
-    judged = store(
-        meet(halves.filter("bucket IS NOT NULL").select("bucket", "payload"), PLACE_KINDS, judge, SPANS + ", n int"), "places"
-    )
-    rest = judged.filter("n > 0").groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("places"))
+    halves = store(docs.join(survivors, "key").mapInArrow(second_level, KINDED_SCHEMA), "halves")
+    judged = store(meet(of_kind(halves, MEET), PLACE_KINDS, judge, KINDED_SCHEMA), "places")
+    rest = lists_per_key(of_kind(judged, PLACE), ["starts", "counts"])
 
     def third_level(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, lot, held = hash_cache(), [[] for _ in range(5)], 0
         for rows in table_batches(batches):
-            for key, text, found in zip(rows["key"], rows["text"], rows["places"], strict=True):
+            for key, text, begin, count in zip(*(rows[c] for c in ("key", "text", "starts", "counts")), strict=True):
                 hashes = word_hashes(words_of(text), cache)
-                starts = np.unique(np.concatenate([np.arange(p["start"], p["start"] + p["n"]) for p in found]))
+                starts = np.unique(np.concatenate([np.arange(a, a + n) for a, n in zip(begin, count, strict=True)]))
                 starts = starts[starts <= len(hashes) - window]
                 lot[0].append(fold(hashes, window)[starts]), lot[1].append(fold(hashes, window, 7)[starts])
                 lot[2].append(np.full(len(starts), key, "<i8")), lot[3].append(starts.astype("<i4"))
@@ -151,14 +129,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def packed_windows(lot: list[list]) -> Iterator[pa.RecordBatch]:
         rows, spans = sent_windows(lot, buckets, window)
-        yield bucket_rows(rows)
-        yield span_rows(spans)
-
-    full = store(docs.join(rest, "key").mapInArrow(third_level, MIXED_SCHEMA), "windows")
-    windows = first_windows(full.filter("bucket IS NOT NULL").select("bucket", "payload"), window)
-    parts = [x.filter("bucket IS NULL AND n = 0").select("key", "start", "end") for x in (halves, full)]
-    parts.append(judged.filter("n = 0").select("key", "start", "end"))
-    return store(windows.unionByName(parts[0]).unionByName(parts[1]).unionByName(parts[2]), "spans")
+        yield kinded(MEET, rows)
+        yield kinded(SPAN, spans)
+
+    full = store(docs.join(rest, "key").mapInArrow(third_level, KINDED_SCHEMA), "windows")
+    windows = first_windows(of_kind(full, MEET), window, buckets)
+    for part in (halves, judged, full):
+        windows = windows.unionByName(of_kind(part, SPAN))
+    return windows
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, *, with_text: bool = False) -> DataFrame:

@@ -30,10 +30,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import store, table_batches
+from tradewind.llm.common import discard, store, table_batches
 from tradewind.llm.exchange import (
-    LOT, SPANS, anchored, buckets_for, covered, first_windows, keyed, merged, packed, repeated_anchors, sent_windows,
-    spans_per_key,
+    DEALT_SCHEMA, KINDED_SCHEMA, LOT, MEET, SPAN, anchored, buckets_for, by_key, covered, first_windows, keyed, merged,
+    of_kind, packed, repeated_anchors, sent_windows, spans_per_key,
 )
 
 LENGTH = 100
@@ -42,10 +42,10 @@ RUN_RECORDS = 400_000
 BLOCK_RECORDS = 4_096
 RANGE_RECORDS = 200_000
 SAMPLES = 200_000
-RUNS = pa.schema([("run", pa.int64()), ("seq", pa.int32()), ("first", pa.binary()), ("last", pa.binary()),
-                  ("n", pa.int32()), ("payload", pa.binary()), ("key", pa.int64()), ("start", pa.int32()),
-                  ("end", pa.int32())])
-RUNS_SCHEMA = "run long, seq int, first binary, last binary, n int, payload binary, key long, start int, end int"
+RUNS = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary()), ("run", pa.int64()),
+                  ("seq", pa.int32()), ("first", pa.binary()), ("last", pa.binary()), ("n", pa.int32())])
+RUNS_SCHEMA = KINDED_SCHEMA + ", run long, seq int, first binary, last binary, n int"
+BLOCK = 3  # kind of a row with a block of a run; its bucket is the range
 #: Odd multipliers for the doubling steps of the gram hash, and one number per byte value.
 STEPS = [int(x) | 1 for x in np.random.default_rng(5).integers(2**63, size=8)]
 BYTES = np.random.default_rng(6).integers(2**63, size=256, dtype=np.uint64)
@@ -115,24 +115,29 @@ def decode_block(payload: bytes) -> Iterator[tuple[int, Record]]:
         left_at += left
 
 
-def block_rows(run: int, some: list[Record], spans: pa.Table | None, depth: int) -> pa.RecordBatch:
-    """Sorted records as rows of front-coded blocks, and removed spans as rows of their own."""
-    out: dict[str, list] = {name: [] for name in RUNS.names}
-    for seq, at in enumerate(range(0, len(some), BLOCK_RECORDS)):
-        block = some[at : at + BLOCK_RECORDS]
-        values = (run, seq, block[0][0][:depth], block[-1][0][:depth], len(block), encode_block(block), None, None, None)
-        for name, value in zip(RUNS.names, values, strict=True):
-            out[name].append(value)
-    rows = pa.RecordBatch.from_pydict(out, schema=RUNS)
-    if spans is None or not spans.num_rows:
-        return rows
-    size = spans.num_rows
-    empty = [pa.nulls(size, f.type) for f in list(RUNS)[:6]]
-    more = pa.RecordBatch.from_arrays([*empty, *[c.combine_chunks() for c in spans.columns]], schema=RUNS)
-    return pa.Table.from_batches([rows, more]).combine_chunks().to_batches()[0]
-
-
-def sorted_runs(docs: DataFrame, survivors: DataFrame, length: int) -> DataFrame:
+def run_rows(columns: dict[str, list]) -> pa.RecordBatch:
+    size = len(columns["kind"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in RUNS], schema=RUNS
+    )
+
+
+def packed_rows(kind: int, rows: pa.RecordBatch) -> pa.RecordBatch:
+    bucket, payload = (c.to_pylist() for c in rows.columns)
+    return run_rows({"kind": [kind] * len(bucket), "bucket": bucket, "payload": payload})
+
+
+def block_rows(run: int, some: list[Record], depth: int) -> pa.RecordBatch:
+    """Sorted records as rows of front-coded blocks."""
+    blocks = [some[at : at + BLOCK_RECORDS] for at in range(0, len(some), BLOCK_RECORDS)]
+    return run_rows({
+        "kind": [BLOCK] * len(blocks), "run": [run] * len(blocks), "seq": list(range(len(blocks))),
+        "first": [b[0][0][:depth] for b in blocks], "last": [b[-1][0][:depth] for b in blocks],
+        "n": [len(b) for b in blocks], "payload": [encode_block(b) for b in blocks],
+    })
+
+
+def sorted_runs(docs: DataFrame, survivors: DataFrame, buckets: int, length: int) -> DataFrame:
     """Sorted, front-coded runs of all candidate suffixes.
 
     Records of a run that stand for the same bytes are one: the first; the others are removed spans.
@@ -155,14 +160,15 @@ def sorted_runs(docs: DataFrame, survivors: DataFrame, length: int) -> DataFrame
                             held[place], record = record, other
                         late.append((record[2], record[3], record[3] + record[4] - 1 + length))
             if len(held) >= RUN_RECORDS:
-                yield run_rows(task + runs, held, late)
+                yield from finished(task + runs, held, late)
                 held, late, runs = {}, [], runs + 1
         if held:
-            yield run_rows(task + runs, held, late)
+            yield from finished(task + runs, held, late)
 
-    def run_rows(run: int, held: dict, late: list) -> pa.RecordBatch:
-        spans = merged(*np.array(late, np.int64).T) if late else None
-        return block_rows(run, sorted(held.values(), key=lambda r: r[0]), spans, depth)
+    def finished(run: int, held: dict, late: list) -> Iterator[pa.RecordBatch]:
+        yield block_rows(run, sorted(held.values(), key=lambda r: r[0]), depth)
+        if late:
+            yield packed_rows(SPAN, by_key(buckets, *merged(*np.array(late, np.int64).T)))
 
     return docs.join(survivors, "key").select("key", "text", "anchors").mapInArrow(build, RUNS_SCHEMA)
 
@@ -186,12 +192,12 @@ def deal_ranges(blocks: DataFrame, bounds: list[bytes], hot: set[bytes], buckets
         lot: list[list] = [[] for _ in range(5)]
         held = 0
         for rows in table_batches(batches, 20):
-            out: dict[str, list] = {name: [] for name in DEALT_RUNS.names}
+            out: dict[str, list] = {name: [] for name in ("kind", "bucket", "payload", "run", "seq")}
             for run, seq, first, last, payload in zip(*(rows[c] for c in ("run", "seq", "first", "last", "payload")), strict=True):
                 low, high = bisect_right(bounds, first), bisect_right(bounds, last)
                 between = bounds[bisect_left(bounds, first) : high]
                 if low == high and not hot.intersection(between):
-                    add(out, low, run, seq, payload)
+                    add(out, low, payload, run, seq)
                     continue
                 parts: dict[int, list[Record]] = {}
                 for _, record in decode_block(payload):
@@ -201,17 +207,17 @@ def deal_ranges(blocks: DataFrame, bounds: list[bytes], hot: set[bytes], buckets
                     else:
                         parts.setdefault(bisect_right(bounds, head), []).append(record)
                 for place, some in parts.items():
-                    add(out, place, run, seq, encode_block(some))
+                    add(out, place, encode_block(some), run, seq)
             if held >= LOT:
                 yield from hot_rows(lot)
                 lot, held = [[] for _ in range(5)], 0
-            yield pa.RecordBatch.from_pydict(out, schema=DEALT_RUNS)
+            yield run_rows(out)
         if held:
             yield from hot_rows(lot)
 
-    def add(out: dict, place: int, run: int, seq: int, payload: bytes) -> None:
-        for name, value in zip(DEALT_RUNS.names, (place, run, seq, payload, None, None, None, None), strict=True):
-            out[name].append(value)
+    def add(out: dict, *values) -> None:
+        for column, value in zip(out.values(), (BLOCK, *values), strict=True):
+            column.append(value)
 
     def windows(record: Record, lot: list[list]) -> int:
         text, (_, _, key, start, n) = record[1] + record[0], record
@@ -222,20 +228,10 @@ def deal_ranges(blocks: DataFrame, bounds: list[bytes], hot: set[bytes], buckets
         return n
 
     def hot_rows(lot: list[list]) -> Iterator[pa.RecordBatch]:
-        rows, spans = sent_windows(lot, buckets, length)
-        for table, names in ((pa.Table.from_batches([rows.rename_columns(["bucket", "payload"])]), ("bucket", "payload")),
-                             (spans, ("key", "start", "end"))):
-            columns = [
-                table.column(f.name).combine_chunks() if f.name in names else pa.nulls(table.num_rows, f.type)
-                for f in DEALT_RUNS
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema=DEALT_RUNS)
-
-    return blocks.mapInArrow(cut, "range int, run long, seq int, payload binary, bucket int, key long, start int, end int")
-
+        for kind, rows in zip((MEET, SPAN), sent_windows(lot, buckets, length), strict=True):
+            yield packed_rows(kind, rows)
 
-DEALT_RUNS = pa.schema([("range", pa.int32()), ("run", pa.int64()), ("seq", pa.int32()), ("payload", pa.binary()),
-                        ("bucket", pa.int32()), ("key", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+    return blocks.mapInArrow(cut, RUNS_SCHEMA)
 
 
 def common_prefix(x: bytes, y: bytes, known: int) -> int:
@@ -320,8 +316,8 @@ def group_spans(group: list[Record], length: int) -> Iterator[tuple[int, int, in
             yield key, start + begin, start + n - 1 + length
 
 
-def merged_spans(ranges: DataFrame, length: int) -> DataFrame:
-    """Merge the runs of every range and compare neighbours."""
+def merged_spans(ranges: DataFrame, buckets: int, length: int) -> DataFrame:
+    """Merge the runs of every range and compare neighbours; packed spans."""
     depth = shared_depth(length)
 
     def merge(table: pa.Table) -> pa.Table:
@@ -348,13 +344,13 @@ def merged_spans(ranges: DataFrame, length: int) -> DataFrame:
             group.append(record)
         if len(group) > 1:
             spans.extend(group_spans(group, length))
-        return merged(*np.array(spans, np.int64).reshape(-1, 3).T)
+        return pa.Table.from_batches([by_key(buckets, *merged(*np.array(spans, np.int64).reshape(-1, 3).T))])
 
-    return ranges.groupBy("range").applyInArrow(merge, SPANS)
+    return ranges.groupBy("bucket").applyInArrow(merge, DEALT_SCHEMA)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Spans (key, start, end) of bytes covered by a string of the given length that also starts earlier."""
+    """Packed spans (key, start, end) of bytes covered by a string of the given length that also starts earlier."""
     if length < 2 * GRAM:
         raise ValueError(f"strings must have at least {2 * GRAM} bytes")
     buckets = buckets_for(docs, 30)
@@ -363,14 +359,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return lambda text: gram_hashes(text.encode())
 
     survivors = store(repeated_anchors(docs, grams, length - GRAM + 1, buckets), "anchors")
-    runs = store(sorted_runs(docs, survivors, length), "runs")
-    blocks = runs.filter("payload IS NOT NULL").select("run", "seq", "first", "last", "n", "payload")
+    runs = store(sorted_runs(docs, survivors, buckets, length), "runs")
+    discard(survivors)
+    blocks = runs.filter(F.col("kind") == BLOCK).select("run", "seq", "first", "last", "n", "payload")
     bounds, hot = splitters_of(blocks)
-    dealt = store(deal_ranges(blocks, bounds, hot, buckets, length), "ranges")
-    spans = merged_spans(dealt.filter("range IS NOT NULL").select("range", "run", "seq", "payload"), length)
-    windows = first_windows(dealt.filter("bucket IS NOT NULL").select("bucket", "payload"), length)
-    early = [x.filter("key IS NOT NULL").select("key", "start", "end") for x in (runs, dealt)]
-    return store(spans.unionByName(windows).unionByName(early[0]).unionByName(early[1]), "spans")
+    cut = deal_ranges(blocks, bounds, hot, buckets, length)
+    spans = merged_spans(cut.filter(F.col("kind") == BLOCK).select("bucket", "run", "seq", "payload"), buckets, length)
+    spans = spans.unionByName(of_kind(runs, SPAN))
+    if hot:
+        strings = store(cut.filter(F.col("kind") != BLOCK).select("kind", "bucket", "payload"), "hot")
+        spans = spans.unionByName(first_windows(of_kind(strings, MEET), length, buckets)).unionByName(of_kind(strings, SPAN))
+    spans = store(spans, "spans")
+    discard(runs)
+    return spans
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, *, with_bytes: bool = False) -> DataFrame:
