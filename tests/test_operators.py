@@ -220,6 +220,23 @@ def test_pivot_fills_missing_and_drops_unknown_years(spark):
     )
     pivot = explore.status_by_year_pivot(orders, items, ["delivered", "shipped"])
     assert [tuple(r) for r in pivot.collect()] == [(2017, 0, 2), (2018, 1, 0)]
+    found = explore.status_by_year_pivot(orders, items)  # columns from the data
+    assert found.columns == ["order_year", "delivered", "shipped"] and found.collect() == pivot.collect()
+    with pytest.raises(Exception, match="unknown order status: delivered"):
+        explore.status_by_year_pivot(orders, items, ["shipped"]).collect()
+
+
+def test_score_pivot_keeps_unusual_scores(spark):
+    full = spark.createDataFrame(
+        [(1, 7, day("2017-01-01")), (2, 1, day("2017-02-01"))], "order_id int, review_score int, order_purchase_timestamp timestamp_ntz"
+    )
+    pivot = ratings.score_by_year_pivot(full)
+    assert pivot.columns == ["year", "Score_1", "Score_7"] and [tuple(r) for r in pivot.collect()] == [(2017, 1, 1)]
+
+
+def test_median_of_integers_may_be_a_half(spark):
+    frame = spark.createDataFrame([(1,), (2,), (None,)], "v int")
+    assert sorted(r["v"] for r in clean.fill_median(frame, ["v"]).collect()) == [1.0, 1.5, 2.0]
 
 
 def test_box_stats(spark):

@@ -3,6 +3,7 @@
 import pytest
 
 from tradewind.operators import answers
+from tradewind.plans.registry import retail
 
 QUESTIONS = [
     ("Orders in SP please", "state_orders_revenue", "SP"),
@@ -65,3 +66,14 @@ def test_questions_without_metric_keep_a_row(spark, tagged):
     values = {r["text"]: r["value"] for r in answered}
     assert values["Orders in SP please"] == 3.0 and values["number of orders?"] == 9.0 and values["weather?"] is None
     assert values["how many orders"] is None  # tagged RS, which has no metric here
+
+
+def test_state_questions_have_numbers(spark, small):
+    r = retail(spark, small)
+    metrics = answers.answer_metrics(r.all()).filter("intent = 'state_orders_revenue'").collect()
+    found = {(m["state"], m["metric"]): m["value"] for m in metrics}
+    assert found["SP", "orders"] == 0 and found["SP", "revenue"] == 0
+    assert sum(v for (_, m), v in found.items() if m == "orders") > 0
+    asked = spark.createDataFrame([("how much revenue in SP",)], "text string")
+    (row,) = answers.answer_questions(answers.tag_questions(asked), answers.answer_metrics(r.all())).filter("metric = 'revenue'").collect()
+    assert row["value"] == 0.0

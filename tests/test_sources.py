@@ -73,6 +73,12 @@ def test_workspace_is_new_and_shared(spark):
     assert first != second and first.startswith(base) and second.startswith(base)
 
 
-@pytest.mark.parametrize("size, expected", [(0, 8), (1 << 28, 8), (100 << 40, 100_000), (1 << 40, 16_384)])
+@pytest.mark.parametrize("size, expected", [(0, 8), (1 << 28, 8), (100 << 40, 1_638_400), (1 << 40, 16_384)])
 def test_shuffle_width_follows_the_input(size, expected):
     assert shuffle_partitions(size, cores=8) == expected
+
+
+def test_marks_for_missing_cells_are_null(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\nNaN,NA\n1.5,null\n2,x\n")
+    found = tables.load_csv(spark, str(tmp_path / "t.csv"), "a double, b string")
+    assert rows(found) == sorted([(None, None), (1.5, None), (2.0, "x")], key=repr)

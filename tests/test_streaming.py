@@ -19,23 +19,36 @@ def write(spark, folder, rows):
     spark.createDataFrame(rows, ORDERS).coalesce(1).write.mode("append").parquet(folder)
 
 
-def test_windows_survive_a_restart_and_drop_late_rows(spark, tmp_path):
+def test_windows_survive_a_restart_and_count_late_rows(spark, tmp_path):
     folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
 
     def advance():
         arriving = live.read_arriving(spark, folder, ORDERS, files_per_batch=1)
-        live.append_final(live.live_order_volume(arriving, "1 day", "1 day"), out, state).awaitTermination()
-        found = spark.read.parquet(out).collect()
+        live.keep_snapshot(live.live_order_volume(arriving, "1 day"), out, state).awaitTermination()
+        found = live.snapshot(spark, out).collect()
         return sorted((r["window_start"].date().isoformat(), r["orders"]) for r in found)
 
     write(spark, folder, [(1, day("2017-01-01 10:00:00")), (2, day("2017-01-01 11:00:00")), (3, day("2017-01-02 09:00:00"))])
-    assert advance() == []
-    # a repeated id, and enough progress to finish the first day
+    assert advance() == [("2017-01-01", 2), ("2017-01-02", 1)]
+    # a repeated id, and a later day
     write(spark, folder, [(2, day("2017-01-01 11:00:00")), (4, day("2017-01-03 08:00:00"))])
-    assert advance() == [("2017-01-01", 2)]
-    # a row for the finished day comes too late and must not reopen it
-    write(spark, folder, [(9, day("2017-01-01 12:00:00")), (5, day("2017-01-05 00:00:00"))])
     assert advance() == [("2017-01-01", 2), ("2017-01-02", 1), ("2017-01-03", 1)]
+    # a late row corrects its day
+    write(spark, folder, [(9, day("2017-01-01 12:00:00")), (5, day("2017-01-05 00:00:00"))])
+    assert advance() == [("2017-01-01", 3), ("2017-01-02", 1), ("2017-01-03", 1), ("2017-01-05", 1)]
+
+
+def test_batch_size_does_not_change_the_volume(spark, small, tmp_path):
+    orders = retail(spark, small)["orders"]
+    folder = str(tmp_path / "orders")
+    orders.repartition(4, "order_id").write.parquet(folder)
+    totals = []
+    for files in (1, 4):
+        arriving = live.read_arriving(spark, folder, orders.schema, files_per_batch=files)
+        out = str(tmp_path / f"out{files}")
+        live.keep_snapshot(live.live_order_volume(arriving), out, str(tmp_path / f"c{files}")).awaitTermination()
+        totals.append(sorted(map(tuple, live.snapshot(spark, out).collect())))
+    assert totals[0] == totals[1] and sum(t[2] for t in totals[0]) == orders.count()
 
 
 def test_running_kpis_equal_the_batch(spark, small, tmp_path):
@@ -49,6 +62,7 @@ def test_running_kpis_equal_the_batch(spark, small, tmp_path):
             halves[n][part].repartition(2).write.mode("append").parquet(folders[n])
         streams = [live.read_arriving(spark, folders[n], r[n].schema) for n in names]
         live.keep_snapshot(live.live_kpis(live.kpi_feed(*streams)), state, checkpoint).awaitTermination()
-    (found,) = spark.read.parquet(state).select(*[F.round(c, 2) for c in spark.read.parquet(state).columns]).collect()
+    result = live.snapshot(spark, state)
+    (found,) = result.select(*[F.round(c, 2) for c in result.columns]).collect()
     (expected,) = kpis.kpi_dashboard(r["orders"], r["order_items"], r["order_reviews"]).collect()
     assert list(found) == [round(v, 2) for v in expected]

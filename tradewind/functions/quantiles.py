@@ -1,145 +1,114 @@
-"""Exact quantiles that never bring a whole column into one task.
-
-``percentile`` keeps every distinct value of a column in a single buffer, which
-does not survive a large table.  Here a mergeable sketch first brackets each
-quantile, then only the values inside the narrow brackets are counted and ranked.
+"""Exact quantiles by narrowing histograms, without a column in one task.
+
+``percentile`` keeps every distinct value of a column in a single buffer, and sketches of
+all tasks meet in one reducer.  Here every wanted order statistic has a range that holds it.
+A round counts the values of each range in a fixed number of cells, with a hash
+aggregation whose partial results have at most that many rows a task, and keeps the cell that
+holds the rank.  Cells remember their least and greatest value, so the ranges shrink to one
+value.  Every size of input takes the same path.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The sketch is off by at most n / SKETCH_ACCURACY ranks, so a bracket holds a few
-# times that share of the rows.
-SKETCH_ACCURACY = 50_000
-# Bracket half-width, in multiples of the sketch error.
-BRACKET_MARGIN = 4
+CELLS = 1024
 
 
-class Bracket(NamedTuple):
-    """Two values around a wanted quantile, and its exact 0-based position."""
+class Range(NamedTuple):
+    """Values of a column between two bounds, both included."""
 
     column: str
-    probability: float
     low: float
     high: float
-    position: float
-    last: int
-
-
-def _brackets(values: DataFrame, wanted: Mapping[str, Sequence[float]], accuracy: int) -> list[Bracket]:
-    """Brackets of all wanted quantiles, from one pass; runs a job that returns one row."""
-    margin = BRACKET_MARGIN / accuracy
-    sketch = values.agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"),
-                F.min(c).alias("min"),
-                F.max(c).alias("max"),
-                F.percentile_approx(
-                    c,
-                    [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs],
-                    accuracy,
-                ).alias("edges"),
-            ).alias(c)
-            for c, probs in wanted.items()
-        ]
-    ).first()
-    found = []
-    for c, probs in wanted.items():
-        n = sketch[c]["n"]
-        for j, p in enumerate(probs if n else ()):
-            # in ranks the margin is below one for a short column, so that is ranked whole
-            short = n < accuracy
-            low = sketch[c]["min"] if short else sketch[c]["edges"][j]
-            high = sketch[c]["max"] if short else sketch[c]["edges"][j + len(probs)]
-            found.append(Bracket(c, float(p), low, high, float(p) * (n - 1), n - 1))
-    return found
 
 
-def exact_quantiles(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], accuracy: int = SKETCH_ACCURACY
-) -> DataFrame:
-    """Linearly interpolated quantiles as rows (column, probability, value).
-
-    NULLs are skipped, and a column without values has no rows.  The input is read
-    three times: for the sketches, to count the rows below each bracket, and, with the
-    brackets as pushed-down filters, for the distinct values inside them.
-    """
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in wanted])
-    brackets = _brackets(values, wanted, accuracy)
-    if not brackets:
-        return df.sparkSession.createDataFrame([], "column string, probability double, value double")
-
-    inside = [F.col(b.column).between(b.low, b.high) for b in brackets]
-    cells = [
-        F.when(hit, F.struct(F.lit(i).alias("slot"), F.col(b.column).alias("v")))
-        for i, (b, hit) in enumerate(zip(brackets, inside))
-    ]
-    candidates = (
+def _cell(value: Column, low: float, high: float, cells: int) -> Column:
+    """Number of the cell of a value; the two bounds have cells of their own."""
+    width = high / 2 - low / 2  # halves do not overflow
+    inner = F.lit(1).cast("long")
+    if math.isfinite(width) and width > 0:
+        share = (value / 2 - F.lit(low / 2)) / F.lit(width)
+        inner = F.least(F.greatest(F.floor(share * (cells - 2)) + 1, F.lit(1)), F.lit(cells - 2)).cast("long")
+    return F.when(value == F.lit(low), 0).when(value == F.lit(high), cells - 1).otherwise(inner).cast("int")
+
+
+def _counts(values: DataFrame, ranges: Sequence[Range], cells: int) -> dict[int, list]:
+    """Per range the filled cells in order: rows of (cell, n, low, high)."""
+    inside = [F.col(r.column).between(F.lit(r.low), F.lit(r.high)) for r in ranges]
+    hits = [
+        F.when(hit, F.struct(F.lit(i).alias("slot"), _cell(F.col(r.column), r.low, r.high, cells).alias("cell"),
+                             F.col(r.column).alias("v")))
+        for i, (r, hit) in enumerate(zip(ranges, inside, strict=True))
+    ]
+    counted = (
         values.filter(reduce(Column.__or__, inside))
-        .select(F.inline(F.array_compact(F.array(*cells))))
-        .groupBy("slot", "v")
-        .agg(F.count("*").alias("rows"))
-    )
-    # one row per bracket, with NULL for "somewhere below it"
-    below = values.agg(*[F.count_if(F.col(b.column) < b.low).alias(str(i)) for i, b in enumerate(brackets)]).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("slot"), F.lit(None).cast("double").alias("v"), F.col(str(i)).alias("rows"))
-                    for i in range(len(brackets))
-                ]
-            )
-        )
-    )
-    upward = Window.partitionBy("slot").orderBy(F.col("v").asc_nulls_first())
-    targets = F.array(
-        *[
-            F.struct(*[F.lit(x).alias(n) for n, x in zip(Bracket._fields, b) if n not in ("low", "high")])
-            for b in brackets
-        ]
-    )
-    rank = F.floor("target.position")
-    ends = (
-        below.unionByName(candidates)
-        .withColumn("through", F.sum("rows").over(upward))
-        .withColumn("target", F.get(targets, F.col("slot")))
-        .groupBy("target")
-        .agg(
-            F.min(F.when(F.col("through") > rank, F.col("v"))).alias("lower"),
-            F.min(F.when(F.col("through") > rank + 1, F.col("v"))).alias("upper"),
-            F.max(F.when(F.col("v").isNull(), F.col("through"))).alias("below"),
-        )
-    )
-    bracketed = (
-        (F.col("below") <= rank)
-        & F.col("lower").isNotNull()
-        & (F.col("upper").isNotNull() | (rank == F.col("target.last")))
-    )
-    step = F.col("target.position") - rank
-    value = F.col("lower") + (F.coalesce("upper", "lower") - F.col("lower")) * step
-    return ends.select(
-        "target.column",
-        "target.probability",
-        F.when(bracketed, value)
-        .otherwise(F.raise_error(F.lit("quantile bracket missed its target")).cast("double"))
-        .alias("value"),
+        .select(F.inline(F.array_compact(F.array(*hits))))
+        .groupBy("slot", "cell")
+        .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
+    found: dict[int, list] = {i: [] for i in range(len(ranges))}
+    for row in sorted(counted.collect()):
+        found[row["slot"]].append(row)
+    return found
 
 
 def quantile_values(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], accuracy: int = SKETCH_ACCURACY
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], cells: int = CELLS
 ) -> dict[str, list[float | None]]:
-    """The same quantiles as plain numbers (one per wanted probability).
+    """Linearly interpolated quantiles, one per wanted probability; NULL and NaN are skipped.
 
-    Runs a job and brings those few numbers to the driver, so that callers can use
-    them as literals in filters that reach the Parquet scan.
+    A column without values has None.  A round reads the input once, with the ranges as filters
+    that reach a Parquet scan, and brings at most ``cells`` rows per range to the driver.
     """
-    found = {(r["column"], r["probability"]): r["value"] for r in exact_quantiles(df, wanted, accuracy).collect()}
-    return {c: [found.get((c, float(p))) for p in probs] for c, probs in wanted.items()}
+    doubles = {c: F.col(c).cast("double") for c in wanted}
+    values = df.select(*[F.when(~F.isnan(v), v).alias(c) for c, v in doubles.items()])
+    ends = values.agg(
+        *[F.struct(F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in wanted]
+    ).first()
+    open_: dict[tuple[str, int], tuple[Range, int]] = {}  # order statistic -> its range, and the rows below it
+    for c, probs in wanted.items():
+        n = ends[c]["n"]
+        for p in probs if n else ():
+            rank = math.floor(p * (n - 1))
+            for k in {rank, min(rank + 1, n - 1)}:
+                open_[c, k] = Range(c, ends[c]["low"], ends[c]["high"]), 0
+    solved: dict[tuple[str, int], float] = {}
+    while True:
+        solved |= {key: r.low for key, (r, _) in open_.items() if r.low == r.high}
+        open_ = {key: state for key, state in open_.items() if key not in solved}
+        if not open_:
+            break
+        ranges = sorted({r for r, _ in open_.values()})
+        counts = _counts(values, ranges, cells)
+        for (c, k), (r, below) in list(open_.items()):
+            for row in counts[ranges.index(r)]:
+                if k < below + row["n"]:
+                    open_[c, k] = Range(c, row["low"], row["high"]), below
+                    break
+                below += row["n"]
+            else:
+                raise RuntimeError("the input changed between two rounds")
+
+    def at(c: str, p: float) -> float | None:
+        n = ends[c]["n"]
+        if not n:
+            return None
+        rank = math.floor(p * (n - 1))
+        low, high = solved[c, rank], solved[c, min(rank + 1, n - 1)]
+        return low if low == high else low + (high - low) * (p * (n - 1) - rank)
+
+    return {c: [at(c, float(p)) for p in probs] for c, probs in wanted.items()}
+
+
+def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], cells: int = CELLS) -> DataFrame:
+    """The same quantiles as rows (column, probability, value); a column without values has none."""
+    found = quantile_values(df, wanted, cells)
+    rows = [(c, float(p), v) for c, probs in wanted.items() for p, v in zip(probs, found[c], strict=True) if v is not None]
+    return df.sparkSession.createDataFrame(rows, "column string, probability double, value double")

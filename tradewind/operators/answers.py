@@ -261,8 +261,8 @@ def question_counts(tagged: DataFrame) -> DataFrame:
 def answer_metrics(tables: dict[str, DataFrame], segments: DataFrame | None = None) -> DataFrame:
     """Every answer as rows (intent, state, metric, label, value).
 
-    At most a handful of rows per intent and state code.  Segment answers need the
-    segment table.
+    Every state of the customers has rows, and so has every state code that can be asked for:
+    zero orders and revenue where there are none.  Segment answers need the segment table.
     """
     orders, customers, items = tables["orders"], tables["customers"], tables["order_items"]
     reviews, products, payments = tables["order_reviews"], tables["products"], tables["order_payments"]
@@ -280,10 +280,12 @@ def answer_metrics(tables: dict[str, DataFrame], segments: DataFrame | None = No
         )
 
     known_state = F.col("customer_state")
-    coded = customers.filter(known_state.isin(STATE_CODES))
+    states = state_orders_revenue(orders, customers.filter(known_state.isNotNull()), items)
+    codes = orders.sparkSession.createDataFrame([(c, 0, 0.0) for c in STATE_CODES], states.schema)
+    states = states.unionByName(codes).groupBy("customer_state").agg(F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue"))
     most_orders = top_state(orders, customers).withColumnRenamed("customer_state", "leading_state")
     parts = [
-        rows("state_orders_revenue", state_orders_revenue(orders, coded, items), state=known_state),
+        rows("state_orders_revenue", states, state=known_state),
         rows("top_seller", top_seller(items), "seller_id"),
         rows("seller_count", seller_count(tables["sellers"])),
         rows("top_state", most_orders, "leading_state"),
@@ -307,11 +309,8 @@ def answer_metrics(tables: dict[str, DataFrame], segments: DataFrame | None = No
 
 
 def answer_questions(tagged: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Each tagged question with its metric rows; questions without any keep one row.
-
-    The metric side is bounded by the fixed intents and state codes, hence the broadcast.
-    """
+    """Each tagged question with its metric rows; questions without any keep one row."""
     same = tagged["intent"].eqNullSafe(metrics["intent"]) & tagged["state"].eqNullSafe(metrics["state"])
-    return tagged.join(F.broadcast(metrics), same, "left").select(
+    return tagged.join(metrics, same, "left").select(
         *[tagged[c] for c in tagged.columns], metrics["metric"], metrics["label"], metrics["value"]
     )

@@ -43,10 +43,13 @@ def fill_constant(df: DataFrame, values: Mapping[str, str]) -> DataFrame:
 
 
 def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace NULLs by the column's exact median; an all-NULL column stays as it is."""
+    """Replace NULLs by the column's exact median; an all-NULL column stays as it is.
+
+    The columns become doubles, since the median of integers may be a half.
+    """
     medians = quantile_values(df, {c: [0.5] for c in columns})
     known = {c: value for c, (value,) in medians.items() if value is not None}
-    return df.fillna(known) if known else df
+    return df.withColumns({c: F.col(c).cast("double") for c in known}).fillna(known) if known else df
 
 
 def coerce_timestamp(df: DataFrame, columns: Sequence[str]) -> DataFrame:

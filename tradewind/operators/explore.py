@@ -15,17 +15,6 @@ from tradewind.functions.shaping import unpivot_row
 from tradewind.operators.clean import FENCE_WIDTH
 from tradewind.operators.kpis import order_sums
 
-# Order states in the source data, given up front so that a pivot needs no extra pass.
-ORDER_STATUSES = [
-    "approved",
-    "canceled",
-    "created",
-    "delivered",
-    "invoiced",
-    "processing",
-    "shipped",
-    "unavailable",
-]
 CORRELATED = {
     "items": ["price", "freight_value"],
     "payments": ["payment_value", "payment_installments"],
@@ -119,16 +108,24 @@ def payment_type_stats(payments: DataFrame) -> DataFrame:
 def status_by_year_pivot(
     orders: DataFrame, items: DataFrame, statuses: Sequence[str] | None = None
 ) -> DataFrame:
-    """Years by order status, counting item lines (an order without items counts once)."""
+    """Years by order status, counting item lines (an order without items counts once).
+
+    The columns are the statuses in the data; with ``statuses`` they are given, and any
+    other status in the data is an error rather than left out.
+    """
     counted = (
         orders.select("order_id", "order_status", F.year("order_purchase_timestamp").alias("order_year"))
         .filter(F.col("order_year").isNotNull() & F.col("order_status").isNotNull())
         .join(order_sums(items).select("order_id", "lines"), "order_id", "left")
         .withColumn("lines", F.coalesce("lines", F.lit(1)))
     )
+    if statuses is not None:
+        known = F.col("order_status").isin(list(statuses))
+        refused = F.raise_error(F.concat(F.lit("unknown order status: "), F.col("order_status"))).cast("string")
+        counted = counted.withColumn("order_status", F.when(known, F.col("order_status")).otherwise(refused))
     return (
         counted.groupBy("order_year")
-        .pivot("order_status", list(statuses or ORDER_STATUSES))
+        .pivot("order_status", None if statuses is None else list(statuses))
         .agg(F.sum("lines"))
         .fillna(0)
         .orderBy("order_year")

@@ -142,15 +142,14 @@ def monthly_avg_rating(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
-def explore_items(
+def matching_items(
     items: DataFrame,
     orders: DataFrame,
     status: str = "All",
     price_lo: float | None = None,
     price_hi: float | None = None,
-    limit: int = 100,
 ) -> DataFrame:
-    """The first items (by all shown columns) in a price range, optionally of one order status.
+    """Items in a price range, optionally of one order status.
 
     An open end of the range keeps every priced item on that side.
     """
@@ -162,7 +161,26 @@ def explore_items(
     if status != "All":
         wanted = orders.filter(F.col("order_status") == status).select("order_id")
         found = found.join(wanted, "order_id", "left_semi")
-    return found.orderBy(*EXPLORE_COLUMNS).limit(limit)
+    return found
+
+
+def explore_items(
+    items: DataFrame,
+    orders: DataFrame,
+    status: str = "All",
+    price_lo: float | None = None,
+    price_hi: float | None = None,
+    limit: int = 100,
+) -> DataFrame:
+    """The first matching items, by all shown columns."""
+    return matching_items(items, orders, status, price_lo, price_hi).orderBy(*EXPLORE_COLUMNS).limit(limit)
+
+
+def explore_count(
+    items: DataFrame, orders: DataFrame, status: str = "All", price_lo: float | None = None, price_hi: float | None = None
+) -> DataFrame:
+    """Number of matching items, beside the few that are shown."""
+    return matching_items(items, orders, status, price_lo, price_hi).agg(F.count("*").alias("matching_items"))
 
 
 def explore_statuses(orders: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from tradewind.functions.days import month_label
 from tradewind.functions.rounding import percent
 
 MIN_CATEGORY_REVIEWS = 100
-SCORES = [1, 2, 3, 4, 5]
 
 
 def item_category(items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
@@ -113,8 +112,9 @@ def _score_pivot(full: DataFrame, row: Column, name: str) -> DataFrame:
     counted = full.select("order_id", "review_score", row.alias(name)).filter(
         F.col(name).isNotNull() & F.col("review_score").isNotNull()
     )
-    pivoted = counted.groupBy(name).pivot("review_score", SCORES).agg(F.count("order_id")).fillna(0)
-    return pivoted.select(name, *[F.col(f"`{s}`").alias(f"Score_{s}") for s in SCORES]).orderBy(name)
+    # the columns are the scores in the data
+    pivoted = counted.groupBy(name).pivot("review_score").agg(F.count("order_id")).fillna(0)
+    return pivoted.select(name, *[F.col(f"`{s}`").alias(f"Score_{s}") for s in pivoted.columns[1:]]).orderBy(name)
 
 
 def score_by_year_pivot(full: DataFrame) -> DataFrame:

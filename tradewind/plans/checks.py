@@ -398,6 +398,11 @@ check(
     AND order_id IN (SELECT order_id FROM ec_orders WHERE order_status = 'shipped') ORDER BY {SHOWN} LIMIT 100""",
 )
 check("explore_all_items", f"SELECT {SHOWN} FROM ec_order_items ORDER BY {SHOWN} LIMIT 100")
+check(
+    "explore_count",
+    """SELECT count(*) AS matching_items FROM ec_order_items WHERE price BETWEEN 20000 AND 60000
+    AND order_id IN (SELECT order_id FROM ec_orders WHERE order_status = 'shipped')""",
+)
 check("explore_statuses", "SELECT DISTINCT order_status FROM ec_orders")
 check("explore_bounds", "SELECT min(price) AS min_price, max(price) AS max_price FROM ec_order_items")
 
@@ -777,7 +782,10 @@ METRIC_ROWS = " UNION ALL ".join(
     [
         f"SELECT 'state_orders_revenue' AS intent, customer_state AS state, '{m}' AS metric,"
         f" CAST(NULL AS VARCHAR) AS label, CAST({m} AS DOUBLE) AS value"
-        f" FROM ({ANSWERS['state_orders_revenue']}) WHERE customer_state IN ({CODED})"
+        f" FROM ({ANSWERS['state_orders_revenue']}) WHERE customer_state IS NOT NULL"
+        f" UNION ALL SELECT 'state_orders_revenue', code, '{m}', CAST(NULL AS VARCHAR), 0.0"
+        f" FROM (SELECT unnest([{CODED}]) AS code) WHERE code NOT IN"
+        f" (SELECT customer_state FROM ec_customers WHERE customer_state IS NOT NULL)"
         for m in ("orders", "revenue")
     ]
     + [
@@ -810,5 +818,5 @@ check(
     WITH w AS (SELECT time_bucket(INTERVAL 7 DAY, {PURCHASED}, TIMESTAMP '1970-01-01') AS s, order_id FROM ec_orders),
     counted AS (SELECT s, s + INTERVAL 7 DAY AS e, count(DISTINCT order_id) AS orders FROM w GROUP BY 1)
     SELECT CAST(s AS VARCHAR) AS window_start, CAST(e AS VARCHAR) AS window_end, orders FROM counted
-    WHERE e <= (SELECT max({PURCHASED}) - INTERVAL 2 DAY FROM ec_orders)""",
+    WHERE s IS NOT NULL""",
 )

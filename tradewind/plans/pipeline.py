@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradewind.functions.shaping import ROW_ORDER
 from tradewind.operators import answers, clean, explore, forecast, insights, kpis, ratings, rfm
 from tradewind.sources.tables import scan_table, table_profile, write_replace
 
@@ -39,7 +40,8 @@ def load_stage(s: Stages, raw: Frames) -> Frames:
 
 
 def clean_stage(s: Stages, raw: Frames) -> Frames:
-    return s.save("clean", {n: clean.CLEANERS[n](df) if n in clean.CLEANERS else df for n, df in raw.items()})
+    cleaned = {n: clean.CLEANERS[n](df) if n in clean.CLEANERS else df for n, df in raw.items()}
+    return s.save("clean", {n: df.drop(ROW_ORDER) for n, df in cleaned.items()})
 
 
 def insight_stage(s: Stages, t: Frames) -> Frames:

@@ -22,8 +22,6 @@ from tradewind.sources import tables
 from tradewind.sources.star_views import StarRetail, over_star
 from tradewind.streaming import live
 
-STATUSES = ["canceled", "delivered", "shipped"]
-
 
 class Retail(StarRetail):
     """Retail tables plus the derived tables that several queries share."""
@@ -368,6 +366,11 @@ def explore_all_items(r: Retail) -> DataFrame:
     return kpis.explore_items(r["order_items"], r["orders"])
 
 
+@query
+def explore_count(r: Retail) -> DataFrame:
+    return kpis.explore_count(r["order_items"], r["orders"], status="shipped", price_lo=20000.0, price_hi=60000.0)
+
+
 @query
 def explore_statuses(r: Retail) -> DataFrame:
     return kpis.explore_statuses(r["orders"])
@@ -423,7 +426,7 @@ def payment_type_stats(r: Retail) -> DataFrame:
 
 @query
 def status_by_year_pivot(r: Retail) -> DataFrame:
-    return explore.status_by_year_pivot(r["orders"], r["order_items"], STATUSES)
+    return explore.status_by_year_pivot(r["orders"], r["order_items"])
 
 
 @query
@@ -802,7 +805,7 @@ def live_kpis(r: Retail) -> DataFrame:
     )
     folder = workspace(r.spark, "live-kpis")
     live.keep_snapshot(live.live_kpis(feed), f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
-    return rounded(tables.scan_table(r.spark, f"{folder}/state"), 4)
+    return rounded(live.snapshot(r.spark, f"{folder}/state"), 4)
 
 
 @query
@@ -811,8 +814,8 @@ def live_order_volume(r: Retail) -> DataFrame:
     orders = over_star(r.spark, "orders", orders=_stream(r, "orders"))
     volume = live.live_order_volume(orders.union(orders))
     folder = workspace(r.spark, "live-volume")
-    live.append_final(volume, f"{folder}/windows", f"{folder}/checkpoint").awaitTermination()
-    return as_text(tables.scan_table(r.spark, f"{folder}/windows"))
+    live.keep_snapshot(volume, f"{folder}/windows", f"{folder}/checkpoint").awaitTermination()
+    return as_text(live.snapshot(r.spark, f"{folder}/windows"))
 
 
 @query

@@ -15,7 +15,6 @@ from pyspark.sql import SparkSession
 
 TARGET_PARTITION_BYTES = 64 * 1024 * 1024
 SMALLEST_PARTITION_BYTES = 2 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 RUNTIME_CONF = {
     # timestamps are zone-less, so results must not depend on the machine
@@ -35,7 +34,7 @@ RUNTIME_CONF = {
 def shuffle_partitions(input_bytes: int, cores: int) -> int:
     """Shuffle width that keeps one partition near the target size."""
     wanted = math.ceil(input_bytes / TARGET_PARTITION_BYTES)
-    return max(cores, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    return max(cores, wanted)
 
 
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:

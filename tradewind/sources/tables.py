@@ -14,11 +14,19 @@ from tradewind.functions.shaping import ROW_ORDER, unpivot_row
 from tradewind.schemas import FREE_TEXT_TABLES, RAW_SCHEMAS
 
 
+# Cell texts that the usual CSV readers take as missing.
+MISSING = ["NA", "N/A", "n/a", "NaN", "nan", "-NaN", "-nan", "null", "NULL", "None", "<NA>", "#N/A", "#NA", "1.#IND",
+           "1.#QNAN", "-1.#IND", "-1.#QNAN", "#N/A N/A"]
+
+
 def _typed(name: str, kind: DataType) -> Column:
-    """Text to a type; unreadable text becomes NULL, and '5.0' is read as the integer 5."""
-    cell = F.col(name)
+    """Text to a type; unreadable text becomes NULL, and '5.0' is read as the integer 5.
+
+    The marks for missing cells are NULL in every column.
+    """
+    cell = F.when(~F.col(name).isin(MISSING), F.col(name))
     if isinstance(kind, StringType):
-        return cell
+        return cell.alias(name)
     if isinstance(kind, IntegralType):
         return F.coalesce(cell.try_cast(kind), cell.try_cast("double").try_cast(kind)).alias(name)
     return cell.try_cast(kind).alias(name)
