@@ -33,9 +33,9 @@ class Settings:
     ngrams: tuple[int, ...] = (1, 2, 3)
     sample_per_language: int = 500
     sample: int = 4000
-    epochs: int = 30
+    updates: int = 3000
     batch: int = 32
-    rate: float = 0.5
+    rate: float = 1.0
     seed: int = 7
     rejected_share: float = 0.002
 
@@ -117,8 +117,9 @@ def train(sample: DataFrame, settings: Settings) -> Model | None:
     def means(some: np.ndarray) -> np.ndarray:
         return np.array([counts[k][1] @ emb[counts[k][0]] for k in some], np.float32)
 
-    for epoch in range(settings.epochs):
-        rate = settings.rate * (1 - epoch / settings.epochs)
+    epochs = -(-settings.updates * settings.batch // len(fit))
+    for epoch in range(epochs):
+        rate = settings.rate * (1 - epoch / epochs)
         order = rng.permutation(fit)
         for at in range(0, len(order), settings.batch):
             some = order[at : at + settings.batch]
