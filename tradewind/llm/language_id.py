@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import Cache, table_batches
+from tradewind.llm.common import CACHE_ENTRIES, Cache, table_batches
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -50,11 +50,36 @@ class Model:
     least_score: float
 
 
-def subwords(word: str, settings: Settings) -> np.ndarray:
+def gram_cache(settings: Settings) -> Cache:
+    return Cache(lambda gram: zlib.crc32(gram.encode()) % settings.buckets)
+
+
+def subwords(word: str, settings: Settings, grams: Cache) -> np.ndarray:
     """Bucket numbers of a word's n-grams."""
     edged = f"<{word.lower()}>"
-    grams = [edged[k : k + n] for n in settings.ngrams for k in range(len(edged) - n + 1)]
-    return np.array([zlib.crc32(g.encode()) % settings.buckets for g in grams], np.int64)
+    return np.array([grams[edged[k : k + n]] for n in settings.ngrams for k in range(len(edged) - n + 1)], np.int64)
+
+
+class WordRows(dict):
+    """Rows of a matrix with, per word, the sum of its n-grams' embeddings and their number."""
+
+    def __init__(self, embeddings: np.ndarray, settings: Settings):
+        super().__init__()
+        self.embeddings, self.settings, self.grams = embeddings, settings, gram_cache(settings)
+        self.matrix = np.zeros((CACHE_ENTRIES, embeddings.shape[1] + 1), np.float32)
+
+    def __missing__(self, word: str) -> int:
+        buckets = subwords(word, self.settings, self.grams)
+        row = self[word] = len(self)
+        self.matrix[row, :-1], self.matrix[row, -1] = self.embeddings[buckets].sum(axis=0), len(buckets)
+        return row
+
+    def total(self, words: list[str]) -> np.ndarray:
+        """Sum of the rows of some words, far fewer than the matrix has rows."""
+        if len(self) + len(words) > len(self.matrix):
+            self.clear()
+        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.matrix[rows].sum(axis=0, dtype=np.float64)
 
 
 def text_counts(text: str, cache: Cache, buckets: int) -> np.ndarray:
@@ -75,7 +100,8 @@ def labelled_sample(docs: DataFrame, settings: Settings) -> DataFrame:
     chosen = known.join(F.broadcast(ids.select("doc_id", "rank").distinct()), "doc_id")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Cache(lambda word: subwords(word, settings))
+        grams = gram_cache(settings)
+        cache = Cache(lambda word: subwords(word, settings, grams))
         for rows in table_batches(batches):
             counts = [text_counts(text, cache, settings.buckets) for text in rows["text"]]
             used = [np.flatnonzero(c) for c in counts]
@@ -150,11 +176,7 @@ def predict(docs: DataFrame, model: Model | None, settings: Settings) -> DataFra
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def vector(word: str) -> np.ndarray:
-            buckets = subwords(word, settings)
-            return np.append(model.embeddings[buckets].sum(axis=0), len(buckets)).astype(np.float64)
-
-        vectors = Cache(vector)
+        vectors = WordRows(model.embeddings, settings) if model is not None else None
         for rows in table_batches(batches):
             preds, scores, doubts = [], [], []
             for text in rows["text"]:
@@ -164,7 +186,7 @@ def predict(docs: DataFrame, model: Model | None, settings: Settings) -> DataFra
                     continue
                 total = np.zeros(settings.dimension + 1)
                 for at in range(0, len(words), 4096):
-                    total += np.array(list(map(vectors.__getitem__, words[at : at + 4096]))).sum(axis=0)
+                    total += vectors.total(words[at : at + 4096])
                 p = softmax((total[:-1] / total[-1] @ model.weights + model.bias) / model.temperature)
                 best = int(p.argmax())
                 preds.append(model.languages[best]), scores.append(float(p[best]))
