@@ -271,6 +271,30 @@ def test_near_duplicates(docs, empty, words):
     assert near_duplicates.near_duplicates(empty).collect() == []
 
 
+def test_pairs_across_lose_no_link(spark):
+    rng = np.random.default_rng(5)
+    base = rng.integers(1, 2**62, 60)
+    sets = []
+    for _ in range(40):
+        new = base.copy()
+        at = rng.choice(60, rng.integers(1, 16), replace=False)
+        new[at] = rng.integers(1, 2**62, len(at))
+        sets.append(np.unique(new[: rng.integers(45, 61)]))
+    owners = [k // 2 if k < 4 else k for k in range(40)]  # two nodes have two sets each
+    rows = [(o, bytearray(s.astype("<i8").tobytes())) for o, s in zip(owners, sets, strict=True)]
+    rows += rows[:6]  # and some have one of theirs twice
+    stored = spark.createDataFrame(rows, "node long, items binary")
+    nodes = [(o, o % 7, len(s), 0, 0, 0) for o, s in zip(owners, sets, strict=True)]
+    nodes = spark.createDataFrame(nodes, "node long, component long, n_shingles long, s0 long, s1 long, s2 long")
+    wanted = set()
+    for (a, x), (b, y) in itertools.permutations(zip(owners, sets, strict=True), 2):
+        common = len(np.intersect1d(x, y))
+        if a % 7 < b % 7 and 100 * common >= 80 * (len(x) + len(y) - common):
+            wanted.add((a, b))
+    found = {tuple(r) for r in near_duplicates.pairs_across(nodes, stored, 80).collect()}
+    assert wanted and wanted <= found
+
+
 def test_superminhash_estimates_similarity():
     rng = np.random.default_rng(3)
     shared = rng.integers(2**63, size=800, dtype=np.uint64)

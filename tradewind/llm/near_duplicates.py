@@ -8,10 +8,11 @@ later step can lower a slot.  Equal bands make candidates; a sketch of one bit p
 drops hopeless ones; the others are confirmed on full sets.
 
 In each of a few rounds a bucket has one pivot, another one each time, and every member outside
-the pivot's component is compared with the most promising pivot of its buckets.  Where that leaves
-a bucket in several components, all pairs across them are compared as well.  So a group of
-near copies needs a few comparisons per member, and no link that could join two
-components is left untested.
+the pivot's component is compared with the most promising pivot of its buckets.  So a group of
+near copies needs a few comparisons per member.  Where that leaves a bucket in several components,
+links across them are sought by rare shingles: two sets that are similar enough share one of
+their rarest, so sets that merely resemble a linked group meet none of its members, and
+no link that could join two components is left untested.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import Cache, discard, mix, store, table_batches, word_hashes
@@ -169,6 +170,47 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int, hint: str | None
     return store(links.distinct(), "similar")
 
 
+def rare_items(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, item, place, n): each set's rarest shingles, of which similar sets share at least one.
+
+    ``place`` counts from 1 in one order of all shingles, by the number of sets that hold them.
+    Similar sets of at most n items share percent * n / 100, so at least one among the first
+    n - that + 1.  Shingles of one set alone are left out, as nothing meets there.  A node may
+    have several sets, or one of them several times, where rows share an id.
+    """
+
+    def items(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in table_batches(batches, 100):
+            found = [np.frombuffer(packed, np.int64) for packed in rows["items"]]
+            sizes = np.array([len(f) for f in found], np.int64)
+            keys = np.array([xxhash.xxh3_64_intdigest(packed) for packed in rows["items"]], np.uint64).view(np.int64)
+            owner = [np.repeat(column, sizes) for column in (np.array(rows["node"], np.int64), keys, sizes)]
+            columns = [*owner, np.concatenate(found)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "key", "n", "item"])
+
+    held = sets.join(nodes, "node", "left_semi").mapInArrow(items, "node long, key long, n long, item long")
+    counts = held.groupBy("item").agg(F.count(F.lit(1)).alias("holders"))
+    place = F.dense_rank().over(Window.partitionBy("node", "key", "n").orderBy("holders", "item"))
+    ranked = held.join(counts, "item").withColumn("place", place)
+    first = ranked.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    return store(first.filter("holders > 1").select("node", "item", "place", "n"), "rare")
+
+
+def pairs_across(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that may be similar; nodes carry component, size and sketch.
+
+    Seen from the rarest item that a similar pair shares, what follows in both sets must
+    suffice for the similarity; other items of the pair need not pass.
+    """
+    rare = rare_items(nodes.select("node"), sets, percent).join(nodes, "node")
+    names = [c for c in rare.columns if c != "item"]
+    left, right = (rare.select("item", *[F.col(c).alias(f"{s}_{c}") for c in names]) for s in "ab")
+    rest = 1 + F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
+    enough = (100 + percent) * rest >= percent * (F.col("a_n") + F.col("b_n"))
+    across = left.join(right, "item").filter((F.col("a_component") < F.col("b_component")) & likely(percent) & enough)
+    return store(across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), "pairs")
+
+
 def with_components(nodes: DataFrame, parts: DataFrame) -> DataFrame:
     return nodes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
@@ -210,17 +252,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         links = found if links is None else links.unionByName(found)
         parts = store(connected(links), "parts")
 
-    # buckets that still span several components: all pairs across them
+    # buckets that still span several components
     placed = with_components(members, parts)
     mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = placed.join(mixed.filter("low < high").select("band"), "band").join(nodes.drop("bands"), "node")
-    placed = store(placed, "mixed")
-    left, right = (
-        placed.select("band", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "component", "n_shingles", "s0", "s1", "s2")])
-        for s in "ab"
-    )
-    across = left.join(right, "band").filter((F.col("a_component") < F.col("b_component")) & likely(percent))
-    pairs = store(across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), "pairs")
+    among = placed.join(mixed.filter("low < high").select("band"), "band").select("node", "component").distinct()
+    pairs = pairs_across(store(among.join(nodes.drop("bands"), "node"), "mixed"), sets, percent)
     if not pairs.isEmpty():
         links = links.unionByName(confirmed(pairs, sets, percent))
         parts = store(connected(links), "parts")
