@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.days import floor_days
 from tradewind.functions.quantiles import quantile_values
+from tradewind.functions.shaping import materialize
 
 PERSON = "customer_unique_id"
 FEATURES = ["recency", "frequency", "monetary"]
@@ -59,6 +60,8 @@ def rfm_values(base: DataFrame) -> DataFrame:
             F.sum("payment_value").alias("monetary"),
         )
     )
+    # the joins and the grouping run once, not again for the last order of anybody
+    persons = materialize(persons, "persons")
     latest = persons.agg(F.max("last_order")).scalar()
     reference = latest + F.expr("INTERVAL '1' DAY")
     return persons.select(PERSON, floor_days(reference, F.col("last_order")).alias("recency"), "frequency", "monetary")
@@ -122,16 +125,20 @@ def standardize(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     return _z_scores(df, columns)[0]
 
 
-def feature_vectors(rfm: DataFrame) -> DataFrame:
-    """Standardized features as vectors.
+def _as_vectors(scaled: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=SCALED, outputCol="features").transform(scaled)
 
-    The layout follows the number of persons and their ids only, not the input files
-    or the cluster, because k-means starts depend on it.
-    """
-    scaled, rows = _z_scores(rfm, FEATURES)
+
+def _laid_out(scaled: DataFrame, rows: int) -> DataFrame:
+    """Rows in a layout that follows the number of persons and their ids only, not the
+    input files or the cluster, because k-means starts depend on it."""
     partitions = max(1, math.ceil(rows / PERSONS_PER_PARTITION))
-    laid_out = scaled.repartition(partitions, PERSON).sortWithinPartitions(PERSON)
-    return VectorAssembler(inputCols=SCALED, outputCol="features").transform(laid_out)
+    return scaled.repartition(partitions, PERSON).sortWithinPartitions(PERSON)
+
+
+def feature_vectors(rfm: DataFrame) -> DataFrame:
+    """Standardized features as vectors, laid out for k-means."""
+    return _as_vectors(_laid_out(*_z_scores(rfm, FEATURES)))
 
 
 def fit_kmeans(
@@ -170,12 +177,14 @@ def elbow(rfm: DataFrame, max_k: int = 10, restarts: int = RESTARTS) -> DataFram
 
 def kmeans_segments(scored: DataFrame, k: int = len(SEGMENTS), restarts: int = RESTARTS) -> DataFrame:
     """Adds the cluster number of the best of several k-means fits."""
-    vectors = feature_vectors(scored).persist(StorageLevel.MEMORY_AND_DISK)
+    scaled, rows = _z_scores(scored, FEATURES)
+    vectors = _as_vectors(_laid_out(scaled, rows)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = fit_kmeans(vectors, [k], restarts)[k]
     finally:
         vectors.unpersist()
-    return model.transform(vectors).select(*scored.columns, "cluster")
+    # only the fits need the layout; rows are scored where they are
+    return model.transform(_as_vectors(scaled)).select(*scored.columns, "cluster")
 
 
 def cluster_summary(clustered: DataFrame) -> DataFrame:
@@ -202,7 +211,9 @@ def label_segments(clustered: DataFrame, labels: Sequence[str] = SEGMENTS) -> Da
 
 def rfm_segments(rfm: DataFrame, restarts: int = RESTARTS) -> DataFrame:
     """Scores, cluster and segment per person (the derived table other jobs read)."""
-    return label_segments(kmeans_segments(rfm_scores(rfm), restarts=restarts))
+    clustered = kmeans_segments(rfm_scores(rfm), restarts=restarts)
+    # naming the clusters reads them twice
+    return label_segments(materialize(clustered, "clusters"))
 
 
 def segment_profile(segments: DataFrame) -> DataFrame:
