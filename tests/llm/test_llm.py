@@ -333,6 +333,37 @@ def test_exact_top_k(spark):
     assert topk_search.top_inner_products(frame.limit(0), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_exact_top_k_with_repeated_ids(spark):
+    rng = np.random.default_rng(2)
+    rows = [(k, [float(x) for x in rng.normal(size=6)]) for k in range(1, 400)]
+    rows += [(400, [0.9] * 6)] * 90  # more copies of a query than places in a chunk
+    rows += [(440, [2.0] + [0.0] * 5), (440, [1.0, 9.0] + [0.0] * 4)]  # the smaller vector is not the shorter one
+    rows += [(460, [-1.0] + [0.0] * 5), (460, [-90.0] + [0.0] * 5)]
+    frame = spark.createDataFrame(rows, "vec_id int, embedding array<float>").repartition(3)
+    good = [(k, tuple(np.floor(64 * np.array(v, np.float32).astype(float)).astype(int).tolist())) for k, v in rows]
+    asked = {}
+    for q, v in good:
+        if q % 20 == 0:
+            asked[q] = min(asked.get(q, v), v)
+    expected = []
+    for q, v in asked.items():
+        best = sorted((-int(np.dot(v, w)), k) for k, w in good if k != q)[:20]
+        expected += [(q, r + 1, k, -s) for r, (s, k) in enumerate(best)]
+    found = topk_search.top_inner_products(frame, F.col("vec_id") % 20 == 0)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
+
+
+def test_a_chunk_full_of_copies_of_the_query_gives_its_best():
+    own = np.full((90, 4), 9)
+    others = np.arange(1, 31)[:, None] * np.array([[0, 0, 0, 1]])
+    rows, ids = np.concatenate([own, others]), np.append(np.zeros(90, np.int64), np.arange(1, 31))
+    norms = np.sqrt((rows**2).sum(axis=1).astype(float))
+    found = topk_search.search_block(
+        np.zeros(1, np.int64), own[:1], norms[:1], np.array([-np.inf]), ids, rows, norms
+    )
+    assert {vec for _, vec, _ in found} == set(range(11, 31))
+
+
 def test_source_mixing(spark, docs, empty):
     found = mixing.mix_sources(docs).collect()
     sizes, taken, targets = Counter(), Counter(), {}

@@ -118,13 +118,12 @@ def search_block(q_ids, q_rows, q_norms, bounds, c_ids, c_rows, c_norms, k=K) ->
         if len(plain):
             products = queries[plain] @ rows[part].T
             for q, scores in zip(plain, products, strict=True):
-                some = np.flatnonzero(scores >= best.bounds[q])
+                # rows of the query's own id go first, so that they take no place among the best
+                some = np.flatnonzero((scores >= best.bounds[q]) & (c_ids[part] != q_ids[q]))
                 if len(some) > 4 * k:
-                    cut = np.partition(scores[some], len(some) - k - 1)[len(some) - k - 1]
+                    cut = np.partition(scores[some], len(some) - k)[len(some) - k]
                     some = some[scores[some] >= cut]
-                ids = c_ids[part][some]
-                mine = ids != q_ids[q]
-                best.add(q, ids[mine], scores[some][mine])
+                best.add(q, c_ids[part][some], scores[some])
     for q, (ids, scores) in enumerate(best.found):
         for vec, score in zip(ids.tolist(), scores.tolist(), strict=True):
             yield q, vec, score
@@ -139,7 +138,8 @@ def top_inner_products(
     vectors count as filled with zeros.  Rows with equal ids are candidates each, but never for
     a query of that id; a repeated query id is asked once, by its smallest vector.  Scores must fit 64 bits.
     """
-    rows = store(quantize(vectors, scale).withColumn("bucket", norm_bucket(F.col("norm"))), "vectors")
+    rows = quantize(vectors, scale).withColumn("bucket", norm_bucket(F.col("norm")))
+    rows = store(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
     width = rows.agg(F.max(F.size("ints"))).first()[0] or 0
     # one row per bucket, and there are at most a few thousand in the range of doubles
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("longest")).collect()
@@ -159,7 +159,9 @@ def top_inner_products(
                     bounds[q] = np.partition(others, len(others) - k)[len(others) - k]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bounds)], names=[*batch.schema.names, "bound"])
 
-    asked = rows.filter(is_query).groupBy("vec_id").agg(F.min("ints").alias("ints"), F.min("norm").alias("norm"))
+    # the norm belongs to the vector that is asked: a smaller one would prune true results
+    smallest = F.min(F.struct("ints", "norm")).alias("smallest")
+    asked = rows.filter(is_query).groupBy("vec_id").agg(smallest).select("vec_id", "smallest.*")
     asked = asked.mapInArrow(first_bounds, "vec_id long, ints array<long>, norm double, bound double")
     queries = store(asked, "queries")
     groups = max(1, math.ceil(queries.count() / QUERY_VECTORS))
@@ -176,7 +178,8 @@ def top_inner_products(
                            F.explode(F.sequence(F.lit(0), F.col("to.blocks") - 1)).alias("block"))
     visits = visits.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int"))
     cut = F.create_map(*[F.lit(x) for b, (n, _) in sorted(blocks.items()) for x in (b, n)])
-    block = F.pmod(F.xxhash64("vec_id", "ints"), cut[F.col("bucket")]).cast("int")
+    # by row, so that the copies of a vector are dealt over all blocks of their bucket
+    block = F.pmod(F.xxhash64("row"), cut[F.col("bucket")]).cast("int")
     candidates = rows.withColumn("block", block)
     candidates = candidates.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     key = ["bucket", "block", "part"]
