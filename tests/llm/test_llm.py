@@ -126,6 +126,21 @@ def test_distance_is_a_metric_between_zero_and_one():
     assert quality_rules.distance(p, q) == pytest.approx([0, 1])
 
 
+def test_every_language_has_a_reference(spark, monkeypatch):
+    rng, rows = random.Random(8), []
+    for k in range(70):  # the last languages are the smallest, and each has a script or words of its own
+        letters = "אבגדהוזחט" if k == 69 else "ABCDEFGHI" if k == 68 else "abcdefghi"
+        words = ["".join(rng.choice(letters) for _ in range(5)) for _ in range(12)]
+        rows += [(k, " ".join(rng.choice(words) for _ in range(300 - 2 * k)), f"l{k:02}")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    expected = quality_rules.quality_rules(frame).orderBy("doc_id").collect()
+    assert all(r.class_distance < 1e-6 and r.word_distance < 1e-6 for r in expected) and all(
+        r.kept == (not r.base_failed) for r in expected
+    )
+    monkeypatch.setattr(quality_rules, "LANGUAGES", 9)
+    assert quality_rules.quality_rules(frame).orderBy("doc_id").collect() == expected
+
+
 def test_quality_rules_keep_good_and_drop_bad(spark, small):
     verdicts = quality_rules.quality_rules(table(spark, small, "documents"))
     labels = table(spark, small, "labels").filter("quality = 1")

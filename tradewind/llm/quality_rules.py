@@ -16,6 +16,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ CLASSES = ["lower", "upper", "letter", "digit", "blank", "stop", "mark", "symbol
 #: Different words that a task counts before it sends the counts on.
 HELD_WORDS = 400_000
 STRIP = ".,;:!?()\"'"
+#: Languages that a text is compared with at a time.
+LANGUAGES = 512
 
 
 @dataclass(frozen=True)
@@ -40,7 +43,6 @@ class Rules:
     max_repeat_percent: int = 20
     repeat_window: int = 5
     common_words: int = 100
-    max_languages: int = 64
     class_min_chars: int = 200
     class_max_distance: float = 0.16
     class_slack: float = 1.5
@@ -105,7 +107,7 @@ def duplicate_lines(text: str) -> int:
 
 
 def distance(p: np.ndarray, refs: np.ndarray) -> np.ndarray:
-    """Jensen-Shannon distances of one distribution to each row of the references."""
+    """Jensen-Shannon distances of one distribution, or of one per row, to each row of the references."""
     middle = (refs + p) / 2
     with np.errstate(divide="ignore", invalid="ignore"):
         left = np.where(p > 0, p * np.log2(p / middle), 0).sum(axis=1)
@@ -150,30 +152,54 @@ def corpus_histograms(docs: DataFrame) -> DataFrame:
     return counts.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
 
 
-def language_references(docs: DataFrame, rules: Rules) -> list[tuple[str, np.ndarray, dict[str, int], np.ndarray]]:
-    """Per language: class shares, positions of its common words, and their shares (others last).
+@dataclass
+class References:
+    """A block of languages: class shares, shares of common words (others last), and where a word counts."""
 
-    At most ``max_languages`` languages with most words and ``common_words`` words each
-    reach the driver, which bounds their size.
+    classes: np.ndarray
+    words: np.ndarray
+    place: dict[str, tuple[list[int], list[int]]]  # languages that have the word among their common ones, and columns
+
+    def nearest_classes(self, counts: np.ndarray) -> float:
+        return float(distance(counts / counts.sum(), self.classes).min())
+
+    def nearest_words(self, plain: Counter) -> float:
+        total, p = sum(plain.values()), np.zeros(self.words.shape)
+        for word, n in plain.items():
+            if word in self.place:
+                p[self.place[word]] = n
+        p[:, -1] = total - p.sum(axis=1)
+        return float(distance(p / total, self.words).min())
+
+
+def language_references(docs: DataFrame, rules: Rules) -> list[References]:
+    """References of every language that has words.
+
+    They are written with ``common_words`` words a language (some 2 KB) and fetched a partition at a time.
     """
     counts = store(corpus_histograms(docs), "histograms")
     totals = counts.groupBy("lang").agg(
         F.sum(F.when(F.col("kind") == "word", F.col("n"))).alias("words"),
         *[F.coalesce(F.sum(F.when((F.col("kind") == "class") & (F.col("item") == c), F.col("n"))), F.lit(0)).alias(c) for c in CLASSES],
     )
-    languages = totals.filter("words > 0").orderBy(F.desc("words"), "lang").limit(rules.max_languages).collect()
-    kept = [row.lang for row in languages]
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "item"))
-    top = counts.filter((F.col("kind") == "word") & F.col("lang").isin(kept)).withColumn("rank", rank)
-    common: dict[str, list[tuple[str, int]]] = {lang: [] for lang in kept}
-    for row in top.filter(F.col("rank") <= rules.common_words).orderBy("lang", "rank").collect():
-        common[row.lang].append((row["item"], row.n))
+    top = counts.filter(F.col("kind") == "word").withColumn("rank", rank).filter(F.col("rank") <= rules.common_words)
+    common = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "item", "n"))).alias("common"))
+    rows = store(totals.filter("words > 0").join(common, "lang"), "references").toLocalIterator()
     out = []
-    for row in languages:
-        classes = np.array([row[c] for c in CLASSES], float)
-        found = np.array([n for _, n in common[row.lang]], float)
-        shares = np.append(found, row.words - found.sum()) / row.words
-        out.append((row.lang, classes / classes.sum(), {w: k for k, (w, _) in enumerate(common[row.lang])}, shares))
+    while some := list(islice(rows, LANGUAGES)):
+        classes = np.array([[row[c] for c in CLASSES] for row in some], float)
+        shares = np.zeros((len(some), rules.common_words + 1))
+        place: dict[str, tuple[list[int], list[int]]] = {}
+        for k, row in enumerate(some):
+            found = np.array([n for _, _, n in row.common], float)
+            shares[k, : len(found)] = found
+            shares[k, -1] = row.words - found.sum()
+            shares[k] /= row.words
+            for column, (_, word, _) in enumerate(row.common):
+                languages, columns = place.setdefault(word, ([], []))
+                languages.append(k), columns.append(column)
+        out.append(References(classes / classes.sum(axis=1, keepdims=True), shares, place))
     return out
 
 
@@ -184,7 +210,6 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa
     no reference, and the counts alone decide.  Repeated rows are judged one by one.
     """
     refs = language_references(docs, rules)
-    class_refs = np.array([r[1] for r in refs])
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = class_table()
@@ -198,7 +223,7 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa
                 by_class = by_word = None
                 if refs and len(text) >= rules.class_min_chars:
                     counts = class_counts(text, table)
-                    by_class = float(distance(counts / counts.sum(), class_refs).min())
+                    by_class = min(r.nearest_classes(counts) for r in refs)
                 if refs and len(words) >= rules.word_min_words:
                     by_word = nearest_words(Counter(words))
                 far = over(by_class, rules.class_max_distance, rules.class_slack, len(text))
@@ -214,16 +239,7 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa
         for word, n in counter.items():
             plain[plain_word(word)] += n
         plain.pop("", None)
-        total, best = sum(plain.values()), None
-        for _, _, place, shares in refs:
-            p = np.zeros(len(shares))
-            for word, k in place.items():
-                p[k] = plain.get(word, 0)
-            p[-1] = total - p.sum()
-            if total:
-                d = float(distance(p / total, shares[None, :])[0])
-                best = d if best is None else min(best, d)
-        return best
+        return min(r.nearest_words(plain) for r in refs) if plain else None
 
     longs = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     fields = [(n, pa.int64()) for n in longs] + [("base_failed", pa.bool_()), ("kept", pa.bool_())]
