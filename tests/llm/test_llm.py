@@ -18,6 +18,7 @@ from tradewind.llm import (
     importance, language_id, mixing, near_duplicates, packing, personal_data, quality_rules, substring, suffix_dedup,
     topk_search,
 )
+from tradewind.llm.exchange import keyed
 from tradewind.llm.queries import QUERIES, table, vocabulary
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -286,6 +287,31 @@ def test_near_duplicates(docs, empty, words):
     assert near_duplicates.near_duplicates(empty).collect() == []
 
 
+def test_near_duplicates_without_ids(spark):
+    rng = random.Random(6)
+
+    def prose():
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(100))
+
+    a, b, c, bridge, alone, far = prose(), prose(), prose(), prose(), prose(), prose()
+    left, right = (" ".join(bridge.split()[k : k + 90]) for k in (0, 10))  # alike to the bridge, not to each other
+    rows = [(None, a), (None, a + " x"), (None, a), (None, b), (None, b), (1, c), (None, c + " y"), (None, c)]
+    rows += [(2, left), (None, bridge), (3, right), (None, alone), (2**62 + 2**61 + 5, far), (None, far + " z"), (None, ""), (None, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = near_duplicates.judged_documents(frame, 1).collect()
+    assert len(found) == len(rows)
+    group = {t: name for name, ts in {"a": (a, a + " x"), "b": (b,), "c": (c, c + " y"), "bridge": (left, bridge, right),
+             "alone": (alone,), "far": (far, far + " z"), "": ("",)}.items() for t in ts}
+    text = {(r.doc_id, r.key): r.text for r in keyed(frame).collect()}
+    kept, names = Counter(), {}
+    for r in found:
+        name = group[text[r.doc_id, r.key]]
+        kept[name] += r.kept
+        names.setdefault(name, set()).add(r.component_id)
+    assert kept == {"a": 1, "b": 1, "c": 1, "bridge": 1, "alone": 1, "far": 1, "": 2}
+    assert names == {"a": {None}, "b": {None}, "c": {1}, "bridge": {2}, "alone": {None}, "far": {2**62 + 2**61 + 5}, "": {None}}
+
+
 def test_pairs_across_lose_no_link(spark):
     rng = np.random.default_rng(5)
     base = rng.integers(1, 2**62, 60)

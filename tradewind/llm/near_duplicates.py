@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.common import Cache, discard, mix, store, table_batches, word_hashes
 from tradewind.llm.components import connected
+from tradewind.llm.exchange import keyed
 
 BYTE_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 BANDS, ROWS = 32, 5
@@ -80,7 +81,10 @@ def superminhash(shingles: np.ndarray, owner: np.ndarray, owners: int, slots: in
 
 
 def signed_documents(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (null for no words), band keys, and the sketch in three numbers."""
+    """doc_id, key, text_key, n_shingles, set_key (null for no words), band keys, the sketch in three numbers, and row.
+
+    The key is the id, or for a null id a hash of the text; the row number tells equal rows apart.
+    """
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Cache(xxhash.xxh3_64_intdigest)
@@ -103,13 +107,20 @@ def signed_documents(docs: DataFrame, words: int) -> DataFrame:
                     bands[k] = row
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["doc_id"], pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                [*[pa.array(rows[c], pa.int64()) for c in ids], pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                  pa.array(bands, pa.list_(pa.int64())), *[pa.array(sketch[:, k]) for k in range(3)]],
-                names=["doc_id", "n_shingles", "set_key", "bands", "s0", "s1", "s2"],
+                names=[*ids, "n_shingles", "set_key", "bands", "s0", "s1", "s2"],
             )
 
-    schema = "doc_id long, n_shingles long, set_key binary, bands array<long>, s0 long, s1 long, s2 long"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, schema)
+    ids = ["doc_id", "key", "text_key"]
+    schema = "doc_id long, key long, text_key long, n_shingles long, set_key binary, bands array<long>, s0 long, s1 long, s2 long"
+    signed = keyed(docs).select("doc_id", "key", text_key().alias("text_key"), "text").mapInArrow(sign, schema)
+    return signed.withColumn("row", F.monotonically_increasing_id())
+
+
+def text_key() -> Column:
+    """With the key, tells rows of one id apart by their text."""
+    return F.xxhash64(F.lit(1), "text")
 
 
 def unequal_bits() -> Column:
@@ -144,7 +155,11 @@ def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
                 [pa.array(rows["node"], pa.int64()), pa.array(sets, pa.binary())], names=["node", "items"]
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes.hint("merge"), "node", "left_semi")
+    texts = keyed(docs).withColumnRenamed("key", "node")
+    # copies of a text without id are one node and need one set, however many they are
+    unnamed = texts.filter("doc_id IS NULL").select("node", "text").dropDuplicates(["node"])
+    texts = texts.filter("doc_id IS NOT NULL").select("node", "text").unionByName(unnamed)
+    texts = texts.join(nodes.hint("merge"), "node", "left_semi")
     return store(texts.mapInArrow(build, "node long, items binary"), "sets")
 
 
@@ -220,15 +235,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     Links join documents whose shingle sets share at least ``percent`` per cent of their union;
     component_id is the smallest id reachable.  A text without words has no shingles and no
-    links.  Rows that share an id count as one document linked with itself; a null id takes its
-    component from its copies, and is kept only if there are none.
+    links.  Rows that share an id count as one document linked with itself.  Rows with a null id are
+    documents of their own and rank last: where no id is reachable, component_id is null and one row is kept.
     """
+    return judged_documents(docs, words, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def judged_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The columns of ``near_duplicates``, and key and text_key, which tell the rows of an id apart."""
     signed = store(signed_documents(docs, words), "signed")
+    least = F.min(F.struct("key", "row", "doc_id")).alias("least")
+    classes = signed.filter("set_key IS NOT NULL").groupBy("set_key").agg(least, F.min("doc_id").alias("smallest_id"))
     classes = store(
-        signed.filter("set_key IS NOT NULL").groupBy("set_key").agg(F.min("doc_id").alias("node")), "classes"
-    )
-    # the class's row with the smallest id stands for it
-    chosen = signed.join(classes.withColumnRenamed("set_key", "key"), (F.col("set_key") == F.col("key")) & (F.col("doc_id") == F.col("node")))
+        classes.select("set_key", F.col("least.key").alias("node"), F.col("least.row").alias("first"),
+                       F.col("least.doc_id").isNull().alias("unnamed"), "smallest_id"),
+        "classes",
+    )
+    # the class's row with the smallest key stands for it
+    chosen = signed.join(classes.select("node", F.col("first").alias("row")), "row")
     nodes = store(chosen.select("node", "n_shingles", "bands", "s0", "s1", "s2"), "nodes")
     banded = nodes.select("node", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last"))
@@ -262,8 +286,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         parts = store(connected(links), "parts")
     discard(members, sets, nodes)
 
-    found = signed.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left").join(parts, "node", "left")
-    component = F.coalesce("component", "node", "doc_id")
-    return found.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
-    )
+    # components named by a text: their smallest id, if any
+    placed = with_components(classes, parts)
+    roots = placed.filter("unnamed AND node = component").select("component")
+    named = placed.join(roots, "component", "left_semi").groupBy("component").agg(F.min("smallest_id").alias("named"))
+    named = named.select(F.col("component").alias("root"), "named", F.lit(True).alias("by_text"))
+    classes = classes.select("set_key", "node", "first")
+    found = signed.select("doc_id", "key", "text_key", "row", "n_shingles", "set_key").join(classes, "set_key", "left")
+    found = with_components(found, parts)
+    found = found.join(named, F.col("component") == F.col("root"), "left")
+    component = F.when(F.col("set_key").isNull(), F.col("doc_id")).when(F.col("by_text"), F.col("named"))
+    found = found.withColumn("component_id", component.otherwise(F.col("component")))
+    first = F.col("set_key").isNull() | ((F.col("row") == F.col("first")) & (F.col("node") == F.col("component")))
+    kept = F.when(F.col("doc_id").isNull(), F.col("component_id").isNull() & first)
+    kept = kept.otherwise(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return found.select("doc_id", "key", "text_key", "n_shingles", "component_id", kept.alias("kept"))
