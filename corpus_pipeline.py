@@ -11,33 +11,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tradewind.llm.common import store
 from tradewind.llm.mixing import mixed_documents
-from tradewind.llm.near_duplicates import near_duplicates
+from tradewind.llm.near_duplicates import distinct_documents
 from tradewind.llm.packing import best_fit_packing
 from tradewind.llm.personal_data import mask_documents
-from tradewind.llm.quality_rules import quality_rules
+from tradewind.llm.quality_rules import kept_documents
 from tradewind.llm.queries import table, vocabulary
 
 ORACLE_SQL = None
 
 
-def of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose id is among ``ids``; a null id matches a null id."""
-    wanted = ids.select(F.col("doc_id").alias("wanted")).distinct()
-    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["wanted"]), "left_semi")
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return of_ids(docs, quality_rules(docs).filter("kept"))
+    return kept_documents(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (shingles of five words, similarity 0.8)."""
-    return of_ids(docs, near_duplicates(docs, words=5, percent=80).filter("kept"))
+    """One document of each group of near duplicates (shingles of five words, similarity 0.8), once."""
+    return distinct_documents(docs, words=5, percent=80)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

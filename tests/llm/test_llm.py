@@ -443,6 +443,26 @@ def test_mixing_comes_near_its_targets(spark, small):
     assert all(abs(r.t - r.n) <= r.m for r in per.collect())
 
 
+def test_stages_judge_rows_and_not_ids(spark, small):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(40)]
+    good = [" ".join(rng.choice(words) for _ in range(80)) for _ in range(40)]
+    bad = ["too short", "same " * 70]
+    rows = [(None, good[0], "en"), (None, bad[0], "en"), (None, bad[1], "en"), (5, good[1], "en"), (5, bad[0], "en"), (6, good[2], None)]
+    rows += [(6, good[2], None), (None, good[0], "en"), (7, bad[1], "en"), (None, good[3], "en"), (None, None, "en")]
+    rows += [(100 + k, good[k], "en") for k in range(4, 40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = corpus_pipeline.quality_stage(spark, frame, small)
+    assert kept.columns == frame.columns and Counter(map(tuple, kept.collect())) == Counter(r for r in rows if r[1] in good)
+    rows += [(None, good[0] + " more", "en"), (8, good[1] + " more", "en")]
+    frame = spark.createDataFrame(rows, frame.schema).repartition(3)
+    left = Counter(r.text for r in corpus_pipeline.near_duplicate_stage(spark, frame, small).collect() if r.text and len(r.text) > 10)
+    assert left.pop(good[0], 0) + left.pop(good[0] + " more", 0) == 1
+    assert left.pop(good[1], 0) + left.pop(good[1] + " more", 0) == 1
+    # rows that share an id count as one document; null ids and copies are one each
+    assert left == {**{t: 1 for t in good[2:]}, bad[1]: 1}
+
+
 def test_pipeline(spark, small):
     documents = table(spark, small, "documents")
     kept = corpus_pipeline.quality_stage(spark, documents, small)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import mix
@@ -33,9 +33,12 @@ SPAN_KINDS = ["<i8", "<i4", "<i4"]
 
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, key, text: the key orders documents; a null id ranks last, by a hash of its text."""
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), document_key(docs).alias("key"), "text")
+
+
+def document_key(docs: DataFrame) -> Column:
     by_text = F.lit(2**62).cast("long") + F.shiftrightunsigned(F.xxhash64("text"), 3)
-    doc_id = docs["doc_id"].cast("long")
-    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, by_text).alias("key"), "text")
+    return F.coalesce(docs["doc_id"].cast("long"), by_text)
 
 
 def buckets_for(docs: DataFrame, units_per_record: float) -> int:

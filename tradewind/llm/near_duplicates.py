@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.common import Cache, discard, mix, store, table_batches, word_hashes
 from tradewind.llm.components import connected
-from tradewind.llm.exchange import keyed
+from tradewind.llm.exchange import document_key, keyed
 
 BYTE_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 BANDS, ROWS = 32, 5
@@ -241,6 +241,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     return judged_documents(docs, words, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def distinct_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The documents that ``near_duplicates`` keeps; of rows equal in id and text, one stays."""
+    names = ["_key", "_text_key"]
+    kept = judged_documents(docs, words, percent).filter("kept").select(F.col("key").alias("_key"), F.col("text_key").alias("_text_key"))
+    own = docs.withColumns({"_key": document_key(docs), "_text_key": text_key()})
+    # copies meet within tasks first, so that many of them are no hot key
+    return own.dropDuplicates(names).join(kept.distinct(), names, "left_semi").select(*docs.columns)
+
+
 def judged_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The columns of ``near_duplicates``, and key and text_key, which tell the rows of an id apart."""
     signed = store(signed_documents(docs, words), "signed")

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 
@@ -33,6 +33,9 @@ HELD_WORDS = 400_000
 STRIP = ".,;:!?()\"'"
 #: Languages that a text is compared with at a time.
 LANGUAGES = 512
+LONGS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+SCHEMA = ", ".join(f"{n} long" for n in LONGS)
+SCHEMA += ", base_failed boolean, kept boolean, class_distance double, word_distance double"
 
 
 @dataclass(frozen=True)
@@ -209,6 +212,25 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa
     A null or empty text has no words and fails.  Without any language in the corpus there is
     no reference, and the counts alone decide.  Repeated rows are judged one by one.
     """
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(judgement(docs, rules), SCHEMA)
+
+
+def kept_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa: B008
+    """The documents that the rules keep: each row is judged by its own text, whatever its id."""
+    judge = judgement(docs, rules)
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            none = pa.nulls(batch.num_rows, pa.int64())
+            texts = pa.RecordBatch.from_arrays([none, batch.column("text")], names=["doc_id", "text"])
+            verdicts = [v for judged in judge([texts]) for v in judged.column("kept").to_pylist()]
+            yield batch.filter(pa.array(verdicts, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
+def judgement(docs: DataFrame, rules: Rules) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function from batches of doc_id and text to their verdicts."""
     refs = language_references(docs, rules)
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,11 +263,8 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa
         plain.pop("", None)
         return min(r.nearest_words(plain) for r in refs) if plain else None
 
-    longs = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    fields = [(n, pa.int64()) for n in longs] + [("base_failed", pa.bool_()), ("kept", pa.bool_())]
+    fields = [(n, pa.int64()) for n in LONGS] + [("base_failed", pa.bool_()), ("kept", pa.bool_())]
     fields += [("class_distance", pa.float64()), ("word_distance", pa.float64())]
     arrow, names = pa.schema(fields), [n for n, _ in fields]
-    schema = ", ".join(f"{n} long" for n in longs)
-    schema += ", base_failed boolean, kept boolean, class_distance double, word_distance double"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(judge, schema)
+    return judge
 
