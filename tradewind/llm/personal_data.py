@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -35,6 +36,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 BLANKS = " \t\n\v\f\r"
 BLANK = re.compile(r"[\x20\x09-\x0D]")
 MARK = re.compile(r"[0-9@]")
+LINE_END = re.compile(r"[\x0A-\x0D]")
+#: A word has a digit or ``@``, and no number that is cut off has more digits than this.
+PART_WORDS = 19
 
 
 def luhn(digits: str) -> bool:
@@ -222,7 +226,7 @@ def candidate_runs(text: str) -> list[Run]:
     for start, end in words:
         before, edge = neighbour(text, start - 1, -1)
         after, _ = neighbour(text, end, 1)
-        features = word_features(text[start:end][:200]) + ["before=" + cue(before), "after=" + cue(after)]
+        features = word_features(text[start:end]) + ["before=" + cue(before), "after=" + cue(after)]
         if runs and runs[-1].spans[-1][1] == edge + 1:
             runs[-1].spans.append((start, end))
             runs[-1].features.append(features)
@@ -349,8 +353,71 @@ def plausible(kind: int, text: str) -> bool:
     return 13 <= digits <= 19 and luhn(only_digits(text)) if kind == 2 else 9 <= digits <= 15
 
 
+def trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    """A span without outer punctuation."""
+    while a < b and not (text[a].isalnum() or text[a] in "+("):
+        a += 1
+    while a < b and not text[b - 1].isalnum():
+        b -= 1
+    return a, b
+
+
+def split_items(text: str, kind: int, words: list[tuple[int, int]]) -> list[Span]:
+    """Neighbouring words of one kind as one plausible span, or else as plausible parts.
+
+    Of all ways to cut, the one that covers most words, crosses fewest line ends and has fewest parts.
+    """
+    a, b = trimmed(text, words[0][0], words[-1][1])
+    if a < b and plausible(kind, text[a:b]):
+        return [(a, kind, b)]
+    best: list[tuple[tuple[int, int, int], int]] = [((0, 0, 0), 0)]  # for the words before: score, words of the last part
+    for end in range(1, len(words) + 1):
+        found = (best[-1][0], 0)
+        for size in range(1, min(end, PART_WORDS) + 1):
+            a, b = trimmed(text, words[end - size][0], words[end - 1][1])
+            if a < b and plausible(kind, text[a:b]):
+                covered, lines, parts = best[end - size][0]
+                crossed = bool(LINE_END.search(text, a, b))
+                found = max(found, ((covered + size, lines - crossed, parts - 1), size))
+        best.append(found)
+    out, end = [], len(words)
+    while end:
+        size = best[end][1]
+        if size:
+            a, b = trimmed(text, words[end - size][0], words[end - 1][1])
+            out.append((a, kind, b))
+        end -= max(size, 1)
+    return out[::-1]
+
+
+def outside(words: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """What the taken spans (apart, in order) leave of neighbouring words, in one list between two of them."""
+    out: list[list[tuple[int, int]]] = [[]]
+    k = bisect_right(taken, words[0][0], key=lambda span: span[1])
+    for a, b in words:
+        while k < len(taken) and taken[k][0] < b:
+            if a < taken[k][0]:
+                out[-1].append((a, taken[k][0]))
+            out.append([])
+            a = max(a, taken[k][1])
+            if a >= b:
+                break
+            k += 1
+        if a < b:
+            out[-1].append((a, b))
+        while k < len(taken) and taken[k][1] <= b:
+            k += 1
+    return [some for some in out if some]
+
+
 def added_spans(text: str, runs: list[Run], labels: list[list[int]], base: list[Span]) -> list[Span]:
-    """Neighbouring words of one kind as spans, without outer punctuation, that touch no base span."""
+    """Neighbouring words of one kind as spans, without outer punctuation and without what base spans cover."""
+    taken: list[tuple[int, int]] = []
+    for x, _, y in sorted(base):
+        if taken and x <= taken[-1][1]:
+            taken[-1] = taken[-1][0], max(taken[-1][1], y)
+        else:
+            taken.append((x, y))
     out: list[Span] = []
     for run, mine in zip(runs, labels, strict=True):
         t = 0
@@ -359,14 +426,8 @@ def added_spans(text: str, runs: list[Run], labels: list[list[int]], base: list[
             while end + 1 < len(mine) and mine[end + 1] == mine[t]:
                 end += 1
             if mine[t]:
-                a, b = run.spans[t][0], run.spans[end][1]
-                while a < b and not (text[a].isalnum() or text[a] in "+("):
-                    a += 1
-                while a < b and not text[b - 1].isalnum():
-                    b -= 1
-                free = all(y <= a or b <= x for x, _, y in base)
-                if a < b and free and plausible(mine[t] - 1, text[a:b]):
-                    out.append((a, mine[t] - 1, b))
+                for words in outside(run.spans[t : end + 1], taken):
+                    out += split_items(text, mine[t] - 1, words)
             t = end + 1
     return out
 
