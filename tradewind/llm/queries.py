@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import (
-    importance, language_id, mixing, near_duplicates, packing, personal_data, quality_rules,
-    substring, suffix_dedup,
-    topk_search,
+    importance, language_id, mixing, near_duplicates, packing, personal_data, quality_rules, source_divergence,
+    substring, suffix_dedup, topk_search,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +98,39 @@ def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.personal_data(table(spark, folder, "documents"))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.source_divergence(table(spark, folder, "documents"))
+
+
+SQL["op12_source_divergence"] = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), w AS (
+  SELECT lang, source, doc, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (SELECT lang, term, count(*) AS c FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+), c AS (SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), v AS (SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang
+), g AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce(any_value(v.n), 0) AS n_lang, coalesce(sum(c.c), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang) LEFT JOIN c USING (lang, source) GROUP BY lang, source, v
+), p AS (
+  SELECT lang, source, term, c.c AS c, 1 + 1000000000 * (coalesce(c.c, 0) + 1) // (g.n + g.v) AS p,
+    1 + 1000000000 * (kept.c + 1) // (g.n_lang + g.v) AS q
+  FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)
+), sums AS (
+  SELECT lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY lang, a.source, b.source
+), both_parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts)
+WHERE part = 'pair' OR rank <= 200
+"""
