@@ -7,7 +7,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tradewind.llm import source_divergence
+from tradewind.llm import lexical_search, source_divergence
 from tradewind.llm.queries import SQL
 
 SCHEMA = "doc_id long, text string, lang string, source string, term string, total long, shard int, key string, item string"
@@ -87,3 +87,67 @@ def test_shared_terms_of_many_sources(monkeypatch):
         assert dict(zip(code.tolist(), total.tolist(), strict=True)) == dict(expected)
     counts = np.array([10**13, 0, 8_999_999_999], np.int64)
     assert source_divergence.wide_share(counts, counts * 3 + 7).tolist() == [1 + 10**9 * (int(c) + 1) // (int(c) * 3 + 7) for c in counts]
+
+
+ITEMS = "item_id long, text string, term string, shard int, kind int, rows string"
+
+
+@pytest.mark.parametrize("grid_postings", [400_000, 300])
+def test_lexical_search(spark, docs, empty, grid_postings):
+    texts = [r.text for r in docs.collect() if r.text and r.text.strip()]
+    rows = [(k, t[:300], "t", 1, 2, "r") for k, t in enumerate(texts[:12])]
+    rows += [(3, texts[20], None, None, None, None), (None, texts[5], "t", 1, 2, "r"), (50, None, "t", 1, 2, "r"), (51, "", "t", 1, 2, "r")]
+    rows += [(52, "notfoundanywhere", "t", 1, 2, "r"), (53, "same", "t", 1, 2, "r"), (54, "ABC abc \u00e9", "t", 1, 2, "r")]
+    items = spark.createDataFrame(rows, ITEMS)
+    found = lexical_search.search(docs, items, grid_postings=grid_postings)
+    assert len(same(found, "op11_lexical_search", documents=docs, benchmark=items)) > 400
+    if grid_postings > 1000:
+        assert lexical_search.search(empty, items).collect() == []
+        assert lexical_search.search(docs, items.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_grid_finds_the_best_columns(seed):
+    """Exact sums and ties, through packing and back; a narrow beam gives the same as a wide one."""
+    rng = np.random.default_rng(seed)
+    rows, columns = int(rng.integers(1, 40)), int(rng.integers(1, 300))
+    cells = np.unique(rng.integers(0, rows * columns, rng.integers(1, 1500)))
+    row, column = cells // columns, cells % columns
+    _, column = np.unique(column, return_inverse=True)
+    impact = rng.integers(1, [5, 10**6][seed % 2], len(cells))
+    ids, has = rng.integers(0, 9, column.max() + 1), rng.random(column.max() + 1) < 0.8
+    payload = lexical_search.packed_grid(row * 7, column, row, impact, ids, has)
+    grid, terms, got_ids, got_has = lexical_search.unpacked_grid(payload)
+    for beam in (2, 500):
+        lexical_search.BEAM, before = beam, lexical_search.BEAM
+        for k in (1, 10, 50):
+            asked = np.unique(rng.integers(0, rows, 6))
+            mine = np.flatnonzero(np.isin(terms, asked * 7))
+            if not len(mine):
+                continue
+            at, score = grid.best_columns(mine, k)
+            sums = np.zeros(len(ids), np.int64)
+            np.add.at(sums, column[np.isin(row, asked)], impact[np.isin(row, asked)])
+            bar = max(1, np.sort(sums)[::-1][min(k, len(sums)) - 1])
+            best = np.flatnonzero(sums >= bar)
+            expected = Counter((int(sums[c]), int(ids[c]) if has[c] else None) for c in best)
+            assert Counter((int(s), int(got_ids[c]) if got_has[c] else None) for c, s in zip(at, score, strict=True)) == expected
+        lexical_search.BEAM = before
+
+
+def test_ranges_are_left_out():
+    """With impacts on a few columns only their paths are followed."""
+    n = 4096
+    impact = np.where(np.arange(n) % 1000 == 0, 1000, 1)
+    payload = lexical_search.packed_grid(np.zeros(n, np.int64), np.arange(n), np.zeros(n), impact, np.arange(n), np.ones(n, bool))
+    grid, *_ = lexical_search.unpacked_grid(payload)
+    seen, real = [], grid.maxima
+
+    class Counted(np.ndarray):
+        def __getitem__(self, at):
+            seen.append(np.size(at))
+            return np.asarray(real)[at]
+
+    grid.maxima = real.view(Counted)
+    at, score = grid.best_columns(np.zeros(1, np.int64), 5)
+    assert score.tolist() == [1000] * 5 and sum(seen) < n / 4

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import (
-    importance, language_id, mixing, near_duplicates, packing, personal_data, quality_rules, source_divergence,
+    importance, language_id, lexical_search, mixing, near_duplicates, packing, personal_data, quality_rules, source_divergence,
     substring, suffix_dedup, topk_search,
 )
 
@@ -134,3 +134,32 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts)
 WHERE part = 'pair' OR rank <= 200
 """
+
+
+@query
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+SQL["op11_lexical_search"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS doc,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), size AS (SELECT doc, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0
+), total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM size
+), tf AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM d) GROUP BY doc, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(docs) + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), scores AS (
+  SELECT item_id, doc_id, doc, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length)))) AS BIGINT) AS score
+  FROM asked JOIN w USING (term) JOIN tf USING (term) JOIN size USING (doc), total GROUP BY item_id, doc_id, doc
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0
+) WHERE rank <= 50
+"""
