@@ -1,13 +1,14 @@
 """Lexical search, source divergence and toxicity against SQL or brute force, on edge cases."""
 
 import random
+import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
 
-from tradewind.llm import lexical_search, source_divergence
+from tradewind.llm import lexical_search, source_divergence, toxicity
 from tradewind.llm.queries import SQL
 
 SCHEMA = "doc_id long, text string, lang string, source string, term string, total long, shard int, key string, item string"
@@ -151,3 +152,101 @@ def test_ranges_are_left_out():
     grid.maxima = real.view(Counted)
     at, score = grid.best_columns(np.zeros(1, np.int64), 5)
     assert score.tolist() == [1000] * 5 and sum(seen) < n / 4
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_fuzzy_lexicon_against_edit_distances():
+    """The automaton finds what comparing with every entry finds, before and after its states were thrown away."""
+    rng = random.Random(2)
+    words = {"".join(rng.choice("abc") for _ in range(rng.randint(2, 8))) for _ in range(40)}
+    entries = [(w, False) for w in sorted(words)] + [("cab", True), ("aacb", True)]
+    lexicon = toxicity.FuzzyLexicon(entries)
+    tried = ["".join(rng.choice("abcd") for _ in range(rng.randint(0, 10))) for _ in range(1500)] + sorted(words)
+    for round_ in range(2):
+        for word in tried:
+            whole = [(edit_distance(word, w), n) for n, (w, stem) in enumerate(entries) if not stem]
+            whole = [(d, n) for d, n in whole if d <= toxicity.allowed_edits(entries[n][0])]
+            stems = [(0, n) for n, (w, stem) in enumerate(entries) if stem and word.startswith(w)]
+            best, stem = min(whole, default=None), min(stems, default=None)
+            expected = best if best and (not stem or best[0] <= stem[0]) else stem
+            assert lexicon.match(word) == expected, word
+        lexicon.reset()
+
+
+def test_two_edits_in_long_entries():
+    lexicon = toxicity.FuzzyLexicon([("disgusting", False), ("idiot", False)])
+    assert lexicon.match("disgustign") == (2, 0) and lexicon.match("disgusting") == (0, 0)
+    assert lexicon.match("idlot") == (1, 1) and lexicon.match("1diot") == (1, 1) and lexicon.match("idots") is None
+
+
+def test_window_tells_quotation_from_abuse():
+    model = toxicity.Model([("idiot", False), ("worthless", False)], [1.0, 1.0], ["idiom"])
+    reader = model.reader()
+    abuse = ["you idiot and you worthless thing", "You id1ot, you w0rthless!!", "IDIOOOOT !!! you idiot-idiot"]
+    quotation = ['the report said "worthless" and quoted the term', "er schrieb das Wort „idiot“ laut Zitat", "«idiot» selon le mot cité"]
+    assert min(map(reader.score, abuse)) > max(map(reader.score, quotation))
+    assert reader.look_up("idiom") is None and reader.look_up("idio") == (1, 0)
+    assert toxicity.quoted('a "b" c', 3, 4) and not toxicity.quoted('a "x" b "c"', 6, 7)
+    assert not toxicity.quoted('"a\nb\nc"', 3, 4) and toxicity.quoted("«a b»", 3, 4)
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    """Clean prose, and prose with insults, some of them misspelled, in many surroundings."""
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choice("etaoinsr") for _ in range(rng.randint(2, 7))) for _ in range(400)]
+    insults = ["mugwump", "knucklehead", "dunderkopf"]
+    rows, labels = [], []
+    for k in range(700):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(20, 80))]
+        toxic = k % 4 == 0
+        for _ in range(4 * toxic):
+            word = rng.choice(insults)
+            if k % 8 == 0 and k % 3:  # misspelled in half of them
+                at = rng.randrange(1, len(word) - 1)
+                word = word[:at] + "*" + word[at + 1 :]
+            words.insert(rng.randrange(len(words)), word)
+        rows.append((k, " ".join(words), "en", "s", "w", 1, "t"))
+        labels.append((k, 1, int(toxic), "x"))
+    rows += [(None, None, None, None, None, None, None), (None, "you mugwump, mugwump", "en", "s", "w", 1, "t"), (7, "", "en", "s", "w", 1, "t"),
+             (5, "tea " * 30_000, "en", "s", "w", 1, "t"), rows[4], rows[4]]
+    labels += [(None, 1, 1, "x"), (3, 1, None, "x"), (9_999, 0, 1, "x"), labels[0]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, word string, half int, toxic string")
+    return docs.repartition(5), spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text string")
+
+
+def test_toxicity(labelled):
+    docs, labels = labelled
+    found = toxicity.score_toxicity(docs, labels).collect()
+    assert Counter(r.doc_id for r in found) == Counter(r.doc_id for r in docs.collect())
+    for r in found:
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
+    held = [r for r in found if r.held_out and r.doc_id < 700]
+    assert sum(r.predicted == int(r.doc_id % 4 == 0) for r in held) >= 0.97 * len(held)
+    assert len({r.score for r in found if r.doc_id == 4}) == 1
+    assert max(r.score for r in found if r.doc_id is None) >= 0.7
+
+
+def test_toxicity_reads_no_held_out_label_and_takes_a_bounded_sample(spark, labelled):
+    docs, labels = labelled
+    turned = labels.select("doc_id", toxicity.F.when(toxicity.is_held_out(toxicity.F.col("doc_id")), 1).otherwise(toxicity.F.col("toxic")).alias("toxic"))
+    a, b = (toxicity.train(docs, x) for x in (labels, turned))
+    assert a.entries == b.entries and (a.coefficients == b.coefficients).all()
+    many = spark.range(300).selectExpr("1L AS doc_id", "concat('text ', id) AS text")
+    one = spark.createDataFrame([(k, k % 2) for k in range(50)], "doc_id long, toxic int")
+    assert toxicity.examples(many, one, 20).count() <= 40
+
+
+def test_toxicity_without_labels_or_documents(labelled):
+    docs, labels = labelled
+    assert {round(r.score, 9) for r in toxicity.score_toxicity(docs.limit(5), labels.limit(0)).collect()} == {round(1 / (1 + np.e**3), 9)}
+    assert toxicity.score_toxicity(docs.limit(0), labels).collect() == []

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm import (
     importance, language_id, lexical_search, mixing, near_duplicates, packing, personal_data, quality_rules, source_divergence,
-    substring, suffix_dedup, topk_search,
+    substring, suffix_dedup, topk_search, toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,8 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0
 ) WHERE rank <= 50
 """
+
+
+@query
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
