@@ -1,10 +1,11 @@
 """Token ids of many texts at the price of their distinct words.
 
 Whole-text encoding spends most of its time on words met before.  For tokenizers that
-lower-case, drop white space and split words by the fixed pattern below, the ids of a
-text are those of its stretches between blanks, one after the other; these are kept in a
-bounded cache, and stretches not met before are encoded together.  Any other tokenizer
-encodes whole texts.
+lower-case, drop white space and split words by the fixed pattern below, the ids of a text are
+those of its words, numbers and runs of signs, one after the other; these are kept in a bounded cache, and
+those not met before are encoded together.  Texts of plain Latin characters are split at once, others
+by stretches between blanks: plain stretches are split alike, the rest goes through the tokenizer.
+Any other tokenizer encodes whole texts.
 """
 
 from __future__ import annotations
@@ -12,34 +13,55 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
-import regex
 
 TOKEN_BYTES = 4
 CHUNK = re.compile(r"[^ \t\n\r]+")
 # Fixed value: the split pattern of the public word-level vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Visible characters below U+0250 but U+0130: composed, and lower-cased one by one.
-SIMPLE = re.compile("[!-~¡-įı-ɏ]+")
-CHUNK_ENTRIES, PART_ENTRIES = 400_000, 250_000
+SIMPLE_CLASS = "!-~¡-įı-ɏ"
+SIMPLE = re.compile(f"[{SIMPLE_CLASS}]+")
+SIMPLE_TEXT = re.compile(f"[ \t\n\r{SIMPLE_CLASS}]*")
+WORD_ENTRIES, GROUP = 500_000, 64
 
 
-class TwoAges:
-    """A bounded cache: entries not used for a whole age go."""
+def plain_split() -> re.Pattern:
+    """The split pattern for lower-cased plain characters, with their letters and numbers spelled out.
+
+    Its alternatives differ in their first character or stand in their order, so the most frequent one is tried first.
+    """
+    plain = sorted({c for k in range(33, 0x250) if SIMPLE.fullmatch(chr(k)) for c in chr(k).lower()})
+    letters, numbers = ("".join(c for c in plain if unicodedata.category(c)[0] == kind) for kind in "LN")
+    rest = SPLIT.replace(r"[\p{L}]+|", "").replace(r"[\p{N}]", f"[{numbers}]").replace(r"\p{L}\p{N}", letters + numbers)
+    return re.compile(f"[{letters}]+|{rest}")
+
+
+class TwoAges(dict):
+    """A bounded cache: entries not used for a whole age go.
+
+    A key without a value stands for itself until it is learned, and is remembered in ``unknown``.
+    """
 
     def __init__(self, entries: int):
-        self.entries, self.young, self.old = entries, {}, {}
+        super().__init__()
+        self.entries, self.old, self.unknown = entries, {}, set()
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            self.unknown.add(key)
+            return key
+        self[key] = value
+        return value
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """Keys without a value; the others become young."""
-        if len(self.young) >= self.entries:
-            self.old, self.young = self.young, {}
-        unknown = keys.difference(self.young)
-        for key in unknown.intersection(self.old):
-            self.young[key] = self.old[key]
-        return list(unknown.difference(self.young))
+    def turn(self) -> None:
+        if len(self) >= self.entries:
+            self.old = dict(self)
+            self.clear()
 
 
 class WholeTexts:
@@ -51,45 +73,56 @@ class WholeTexts:
             yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-class CachedChunks(WholeTexts):
+class CachedWords(WholeTexts):
     def __init__(self, tokenizer, ends: np.ndarray):
         from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__(tokenizer)
-        self.ends, self.split = ends, regex.compile(SPLIT)
+        self.ends, self.split = ends, plain_split()
         # the same merges, without normalising what is normal already
-        self.parts_only = Tokenizer(tokenizer.model)
-        self.parts_only.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.words_only = Tokenizer(tokenizer.model)
+        self.words_only.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in visible]
         self.byte_chars = {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(others)}
-        self.chunks, self.parts = TwoAges(CHUNK_ENTRIES), TwoAges(PART_ENTRIES)
+        self.words = TwoAges(WORD_ENTRIES)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        found = [CHUNK.findall(text) for text in texts]
-        self.learn(self.chunks.missing(set().union(*found)))
-        known = self.chunks.young
-        for chunks in found:
-            yield b"".join(map(known.__getitem__, chunks))
-
-    def learn(self, chunks: list[str]) -> None:
-        simple, known = {}, self.chunks.young
-        for chunk in chunks:
+        for at in range(0, len(texts), GROUP):
+            self.words.turn()
+            group = [list(map(self.words.__getitem__, self.parts(text))) for text in texts[at : at + GROUP]]
+            learned = self.learn()
+            for ids in group:
+                yield b"".join([i if type(i) is bytes else learned[i] for i in ids] if learned else ids)
+
+    def parts(self, text: str) -> list[str | tuple[str]]:
+        """Plain words, numbers and runs of signs, and, one in a tuple each, stretches for the tokenizer."""
+        if SIMPLE_TEXT.fullmatch(text) and "<|" not in text:
+            return self.split.findall(text.lower())
+        parts: list[str | tuple[str]] = []
+        for chunk in CHUNK.findall(text):
             if SIMPLE.fullmatch(chunk) and "<|" not in chunk:
-                simple[chunk] = self.split.findall(chunk.lower())
+                parts += self.split.findall(chunk.lower())
             else:
-                known[chunk] = next(super().encode([chunk]))
-        new = self.parts.missing({part for parts in simple.values() for part in parts})
-        ids_of = self.parts.young
-        for at in range(0, len(new), 500):
-            some = new[at : at + 500]
+                parts.append((chunk,))
+        return parts
+
+    def learn(self) -> dict[str | tuple[str], bytes]:
+        """Ids of the parts met without a value, which the cache has from now on."""
+        learned: dict[str | tuple[str], bytes] = {}
+        new = [part for part in self.words.unknown if isinstance(part, str)]
+        for part in self.words.unknown.difference(new):
+            learned[part] = next(super().encode([part[0]]))
+        self.words.unknown.clear()
+        for at in range(0, len(new), 2000):
+            some = new[at : at + 2000]
             plain = [p if p.isascii() else p.encode().decode("latin-1").translate(self.byte_chars) for p in some]
-            ids = np.array(self.parts_only.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
-            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            for part, start, end in zip(some, [0, *ends], ends, strict=False):
-                ids_of[part] = ids[start:end].tobytes()
-        for chunk, parts in simple.items():
-            known[chunk] = b"".join([ids_of[part] for part in parts])
+            ids = np.array(self.words_only.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            ends = ((np.flatnonzero(self.ends[ids]) + 1) * TOKEN_BYTES).tolist()
+            raw = ids.tobytes()
+            learned.update(zip(some, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+        self.words.update(learned)
+        return learned
 
 
 _ENCODERS: dict[str, WholeTexts] = {}
@@ -110,7 +143,7 @@ def token_encoder(path: str) -> WholeTexts:
         if normal == ["NFC", "Replace", "Lowercase"] and pattern == SPLIT and spec["model"]["end_of_word_suffix"] == "</w>":
             ends = np.zeros(tokenizer.get_vocab_size() + 1, bool)
             ends[[k for token, k in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
-            _ENCODERS[path] = CachedChunks(tokenizer, ends)
+            _ENCODERS[path] = CachedWords(tokenizer, ends)
         else:
             _ENCODERS[path] = WholeTexts(tokenizer)
     return _ENCODERS[path]
