@@ -63,10 +63,10 @@ def test_runs_merge_in_order():
     for lang, source, text in [("en", "a", b"x Y x"), ("en", "b", b"x"), ("de", "a", b"x z")]:
         block.add(lang, source, text)
     runs = [run for _, run in block.runs(1)] * 3
-    merged = list(source_divergence.heap_merge(runs))
-    assert merged == [
-        (b"x\0de", 3, [("a", 3)]), (b"x\0en", 6, [("a", 6), ("b", 3)]), (b"y\0en", 3, [("a", 3)]), (b"z\0de", 3, [("a", 3)]),
-    ]
+    merged = source_divergence.heap_merge(runs)
+    assert merged.keys == [b"x\0de", b"x\0en", b"y\0en", b"z\0de"] and merged.names == ["a", "b"]
+    assert merged.documents.tolist() == [3, 6, 3, 3] and merged.sizes.tolist() == [1, 2, 1, 1]
+    assert merged.source.tolist() == [0, 0, 1, 0, 0] and merged.count.tolist() == [3, 6, 3, 3, 3]
 
 
 def test_shared_terms_of_many_sources(monkeypatch):

@@ -17,11 +17,12 @@ from __future__ import annotations
 
 import heapq
 import itertools
+import json
 import math
+import operator
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,6 @@ BUCKET_TERMS = 20_000
 PAIRS = 1_000_000  # pairs of postings computed at once
 SCALE = 1_000_000_000
 MIN_DOCUMENTS, TOP_TERMS = 3, 200
-RUN = pa.schema([("key", pa.binary()), ("documents", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 FREQUENCIES = "lang string, term string, total long, sources array<string>, counts array<long>"
 
 # Bytes of letters and of all characters from U+0080 on stay, A-Z in lower case; others become blanks.
@@ -64,51 +64,97 @@ class Block:
 
     def runs(self, shards: int) -> Iterator[tuple[int, bytes]]:
         """(shard, run): the postings of each hash shard, sorted by term and language."""
-        postings: dict[bytes, list] = defaultdict(list)
-        for (lang, source), counts in sorted(self.counts.items()):
-            tail = b"\0" + lang.encode()  # no term holds a zero byte
-            for term, n in counts.items():
-                postings[term + tail].append((source, n))
-        parts: list[list[bytes]] = [[] for _ in range(shards)]
-        for key in postings:
-            parts[zlib.crc32(key) % shards].append(key)
-        for shard, keys in enumerate(parts):
-            if keys:
-                keys.sort()
-                yield shard, packed_run((key, self.documents(key), postings[key]) for key in keys)
-
-    def documents(self, key: bytes) -> int:
-        term, lang = key.split(b"\0", 1)
-        return self.holders[lang.decode()][term]
-
-
-def packed_run(entries: Iterable[tuple[bytes, int, list[tuple[str, int]]]]) -> bytes:
-    """Entries in the order of their keys as compressed Arrow batches of bounded size."""
-    sink = pa.BufferOutputStream()
-    entries = iter(entries)
-    with pa.ipc.new_stream(sink, RUN, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        while part := list(itertools.islice(entries, 4096)):
-            keys, documents, postings = zip(*part, strict=True)
-            lists = [[[p[at] for p in entry] for entry in postings] for at in (0, 1)]
-            out.write_batch(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((keys, documents, *lists), RUN, strict=True)], schema=RUN))
-    return sink.getvalue().to_pybytes()
-
-
-def run_entries(run: bytes) -> Iterator[tuple]:
-    for batch in pa.ipc.open_stream(run):
-        yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
-
-
-def heap_merge(runs: Iterable[bytes]) -> Iterator[tuple[bytes, int, list[tuple[str, int]]]]:
-    """(key, documents, postings) of several runs in the order of the keys, each key once."""
-    merged = heapq.merge(*map(run_entries, runs), key=itemgetter(0))
-    for key, entries in itertools.groupby(merged, key=itemgetter(0)):
-        documents, totals = 0, defaultdict(int)
-        for _, n, sources, counts in entries:
-            documents += n
-            for source, count in zip(sources, counts, strict=True):
-                totals[source] += count
-        yield key, documents, sorted(totals.items())
+        names = sorted({source for _, source in self.counts})
+        place = {name: k for k, name in enumerate(names)}
+        keys: list[bytes] = []
+        documents, owners, sources, counts = [], [], [], []
+        for lang, holders in sorted(self.holders.items()):
+            tail, number = b"\0" + lang.encode(), dict(zip(holders, itertools.count(len(keys))))  # no term holds a zero byte
+            keys += [term + tail for term in holders]
+            documents.append(np.fromiter(holders.values(), np.int64, len(holders)))
+            for (of, source), found in self.counts.items():
+                if of == lang:
+                    owners.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
+                    counts.append(np.fromiter(found.values(), np.int64, len(found)))
+                    sources.append(np.full(len(found), place[source], np.int64))
+        if not keys:
+            return
+        order = np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)
+        rank = np.empty(len(keys), np.int64)
+        rank[order] = np.arange(len(keys))
+        entry, source, n = rank[np.concatenate(owners)], np.concatenate(sources), np.concatenate(counts)
+        by = np.lexsort((source, entry))
+        all_keys = [keys[k] for k in order.tolist()]
+        postings = Postings(all_keys, np.concatenate(documents)[order], np.bincount(entry, minlength=len(keys)), names, source[by], n[by])
+        shard = np.fromiter(map(zlib.crc32, all_keys), np.int64, len(keys)) % shards
+        by_shard = np.argsort(shard, kind="stable")
+        found, starts = np.unique(shard[by_shard], return_index=True)
+        for k, rows in zip(found.tolist(), np.split(by_shard, starts[1:]), strict=True):
+            yield k, postings.take(rows).packed()
+
+
+class Postings:
+    """Terms in order, each with the number of its documents and its occurrences in some sources."""
+
+    def __init__(self, keys: list[bytes], documents: np.ndarray, sizes: np.ndarray, names: list[str], source: np.ndarray, count: np.ndarray):
+        self.keys, self.documents, self.sizes = keys, documents, sizes
+        self.names, self.source, self.count = names, source, count
+
+    def entries(self, rows: np.ndarray) -> np.ndarray:
+        """Places of the postings of some terms, term after term."""
+        first, sizes = np.cumsum(self.sizes) - self.sizes, self.sizes[rows]
+        return np.repeat(first[rows] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+    def take(self, rows: np.ndarray) -> Postings:
+        at = self.entries(rows)
+        keys = [self.keys[k] for k in rows.tolist()]
+        return Postings(keys, self.documents[rows], self.sizes[rows], self.names, self.source[at], self.count[at])
+
+    def packed(self) -> bytes:
+        """As a compressed Arrow stream of one batch; the names of the sources go with the schema."""
+        edges = pa.array(np.append(0, np.cumsum(self.sizes)), pa.int32())
+        lists = [pa.ListArray.from_arrays(edges, pa.array(x, k)) for x, k in ((self.source, pa.int32()), (self.count, pa.int64()))]
+        batch = pa.RecordBatch.from_arrays([pa.array(self.keys, pa.binary()), pa.array(self.documents), *lists], names=["key", "documents", "sources", "counts"])
+        batch = batch.replace_schema_metadata({"sources": json.dumps(self.names)})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(batch)
+        return sink.getvalue().to_pybytes()
+
+    @staticmethod
+    def unpacked(run: bytes) -> Postings:
+        table = pa.ipc.open_stream(run).read_all().combine_chunks()
+        sources, counts = (table.column(c).chunk(0) for c in ("sources", "counts"))
+        return Postings(
+            table.column("key").to_pylist(), table.column("documents").to_numpy(), sources.value_lengths().to_numpy().astype(np.int64),
+            json.loads(table.schema.metadata[b"sources"]), sources.flatten().to_numpy().astype(np.int64), counts.flatten().to_numpy(),
+        )
+
+
+def heap_merge(runs: Iterable[bytes]) -> Postings:
+    """The terms of several runs in order, each once: a heap brings equal ones together, arrays add them up."""
+    parts = [Postings.unpacked(run) for run in runs]
+    names = sorted({name for part in parts for name in part.names})
+    place = {name: k for k, name in enumerate(names)}
+    first = np.cumsum([0] + [len(part.keys) for part in parts])
+    merged = heapq.merge(*(zip(part.keys, range(at, at + len(part.keys))) for part, at in zip(parts, first.tolist(), strict=False)))
+    keys, at = zip(*merged, strict=True)
+    rows = np.array(at, np.int64)
+    every = Postings(
+        [], np.concatenate([p.documents for p in parts]), np.concatenate([p.sizes for p in parts]), names,
+        np.concatenate([np.array([place[n] for n in p.names], np.int64)[p.source] for p in parts]), np.concatenate([p.count for p in parts]),
+    )
+    begins = np.append(True, np.fromiter(map(operator.ne, keys[1:], keys), bool, len(keys) - 1))
+    starts, owner = np.flatnonzero(begins), np.cumsum(begins) - 1
+    at = every.entries(rows)
+    code = np.repeat(owner, every.sizes[rows]) * len(names) + every.source[at]
+    by = np.argsort(code, kind="stable")
+    code, count = code[by], every.count[at][by]
+    heads = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    code = code[heads]
+    sizes = np.bincount(code // len(names), minlength=len(starts))
+    kept = [keys[k] for k in starts.tolist()]
+    return Postings(kept, np.add.reduceat(every.documents[rows], starts), sizes, names, code % len(names), np.add.reduceat(count, heads))
 
 
 def spilled(docs: DataFrame, shards: int, block_postings: int = BLOCK_POSTINGS) -> DataFrame:
@@ -140,19 +186,19 @@ def frequencies(docs: DataFrame, min_documents: int, fan_in: int = FAN_IN, block
     """One stored row per kept term of a language with the occurrences in each source that holds it."""
 
     def longer(table: pa.Table) -> pa.Table:
-        run = packed_run(heap_merge(table.column("run").to_pylist()))
+        run = heap_merge(table.column("run").to_pylist()).packed()
         return pa.table({"shard": pa.array(table.column("shard").to_pylist()[:1], pa.int32()), "run": pa.array([run], pa.binary())})
 
     def final(table: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], [], [], []]
-        for key, documents, postings in heap_merge(table.column("run").to_pylist()):
-            if documents >= min_documents:
-                term, lang = key.split(b"\0", 1)
-                row = (lang.decode(), term.decode("utf-8", "replace"), sum(n for _, n in postings), *map(list, zip(*postings, strict=True)))
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())]
-        return pa.table([pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)], names=["lang", "term", "total", "sources", "counts"])
+        found = heap_merge(table.column("run").to_pylist())
+        found = found.take(np.flatnonzero(found.documents >= min_documents))
+        split = [key.split(b"\0", 1) for key in found.keys]
+        terms, langs = (pa.array([x[k].decode("utf-8", "replace") for x in split], pa.string()) for k in (0, 1))
+        edges = np.append(0, np.cumsum(found.sizes))
+        totals = np.add.reduceat(found.count, edges[:-1]) if split else np.empty(0, np.int64)
+        source = pa.DictionaryArray.from_arrays(pa.array(found.source, pa.int32()), pa.array(found.names, pa.string())).cast(pa.string())
+        lists = [pa.ListArray.from_arrays(pa.array(edges, pa.int32()), x) for x in (source, pa.array(found.count))]
+        return pa.table([langs, terms, pa.array(totals), *lists], names=["lang", "term", "total", "sources", "counts"])
 
     runs = store(spilled(docs, buckets_for(docs, SHARD_CHARS), block_postings), "runs")
     while (most := runs.groupBy("shard").count().agg(F.max("count")).first()[0] or 0) > fan_in:
