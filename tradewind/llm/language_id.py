@@ -14,6 +14,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -90,14 +91,20 @@ def text_counts(text: str, cache: Cache, buckets: int) -> np.ndarray:
 def labelled_sample(docs: DataFrame, settings: Settings) -> DataFrame:
     """A bounded sample of the labelled rows, spread over languages, as n-gram counts.
 
-    Rows are taken in the order of a hash of the id, never by what they hold.
+    Rows are taken in the order of a hash of the id and the text.  A row is known by id, text and language, and
+    rows equal in all three count once, so an id that many rows share fills no more of the sample than its texts.
     """
-    order = F.xxhash64(F.lit(settings.seed), "doc_id")
-    known = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text", order.alias("draw"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
-    ids = known.select("doc_id", "lang", "draw").withColumn("rank", rank)
-    ids = ids.filter(F.col("rank") <= settings.sample_per_language).orderBy("rank", "draw", "doc_id").limit(settings.sample)
-    chosen = known.join(F.broadcast(ids.select("doc_id", "rank").distinct()), "doc_id")
+    of_text = F.xxhash64("text")
+    known = docs.filter("lang IS NOT NULL AND text IS NOT NULL")
+    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text", of_text.alias("of_text"))
+    known = known.withColumn("draw", F.xxhash64(F.lit(settings.seed), "doc_id", "of_text"))
+    row = ["draw", "doc_id", "of_text", "lang"]
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*row))
+    drawn = known.select(*row).distinct().withColumn("rank", rank).filter(F.col("rank") <= settings.sample_per_language)
+    drawn = drawn.orderBy("rank", *row).limit(settings.sample)
+    right = F.broadcast(drawn.select(*[F.col(c).alias(f"_{c}") for c in row]))  # at most ``sample`` rows
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in row])
+    chosen = known.join(right, same, "left_semi")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = gram_cache(settings)
@@ -106,13 +113,14 @@ def labelled_sample(docs: DataFrame, settings: Settings) -> DataFrame:
             counts = [text_counts(text, cache, settings.buckets) for text in rows["text"]]
             used = [np.flatnonzero(c) for c in counts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["draw"], pa.int64()), pa.array(rows["lang"], pa.string()),
+                [*(pa.array(rows[c], pa.int64()) for c in row[:3]), pa.array(rows["lang"], pa.string()),
                  pa.array([u.astype("<i4").tobytes() for u in used], pa.binary()),
                  pa.array([c[u].astype("<i8").tobytes() for c, u in zip(counts, used, strict=True)], pa.binary())],
-                names=["draw", "lang", "items", "n"],
+                names=[*row, "items", "n"],
             )
 
-    return chosen.select("draw", "lang", "text").mapInArrow(count, "draw long, lang string, items binary, n binary")
+    counted = chosen.select(*row, "text").mapInArrow(count, "draw long, doc_id long, of_text long, lang string, items binary, n binary")
+    return counted.groupBy(*row).agg(F.first("items").alias("items"), F.first("n").alias("n"))
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -122,7 +130,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 def train(sample: DataFrame, settings: Settings) -> Model | None:
     """Fit on the driver; the sample is bounded by the settings.  None without labelled text."""
-    rows = sorted(sample.collect(), key=lambda r: (r.draw, r.lang))
+    rows = sorted(sample.collect(), key=lambda r: (r.draw, r.of_text, r.lang))
     rows = [r for r in rows if len(r["items"])]
     if not rows:
         return None
