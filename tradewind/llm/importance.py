@@ -61,46 +61,40 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS, smoothing: float = SMO
 
 
 def log_weights(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """doc_id, n_ngrams and log_weight of every row; a text without words weighs 0."""
+    """doc_id, of_text (hash of the text), n_ngrams and log_weight of every row; a text without words weighs 0."""
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = hash_cache()
         for rows in table_batches(batches):
             found = [ngram_buckets(text, cache, len(ratios)) for text in rows["text"]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["doc_id"], pa.int64()), pa.array([len(f) for f in found], pa.int64()),
+                [pa.array(rows["doc_id"], pa.int64()), pa.array(rows["of_text"], pa.int64()), pa.array([len(f) for f in found], pa.int64()),
                  pa.array([float(ratios[f].sum()) for f in found], pa.float64())],
-                names=["doc_id", "n_ngrams", "log_weight"],
+                names=["doc_id", "of_text", "n_ngrams", "log_weight"],
             )
 
-    schema = "doc_id long, n_ngrams long, log_weight double"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, schema)
+    schema = "doc_id long, of_text long, n_ngrams long, log_weight double"
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("of_text"), "text").mapInArrow(score, schema)
 
 
-def gumbel(doc_id: Column, seed: int) -> Column:
-    """Seeded Gumbel noise; the same for rows that share an id."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("long"), doc_id), 11)
+def gumbel(doc_id: Column, of_text: Column, seed: int) -> Column:
+    """Seeded Gumbel noise; the same for rows equal in id and text, ids may be null or repeat."""
+    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed).cast("long"), doc_id, of_text), 11)
     uniform = (bits.cast("double") + 0.5) / F.lit(float(2**53))
     return -F.log(-F.log(uniform))
 
 
-def top_k(rows: DataFrame, key: str, k: int, rounds: int = 12, cells: int = 1024) -> DataFrame:
-    """Mark the k rows with the highest key; equal keys at the bound are all marked.
+def least_of_top(rows: DataFrame, key: str, k: int, cells: int = 1024) -> tuple[float, int]:
+    """The k-th highest key and how many rows lie above it, for 0 < k <= number of rows.
 
-    The bound is found by counting rows per cell of a narrowing range, a fixed number of
-    counts per round, so neither a sort nor one task sees all rows.
+    Found by counting rows per cell of a narrowing range, a fixed number of counts per round, so
+    neither a sort nor one task sees all rows.  A range ends at values that occur, so it shrinks to one value.
     """
-    low, high, total = rows.agg(F.min(key), F.max(key), F.count(key)).first()
-    if k >= total:
-        return rows.withColumn("selected", F.lit(True))
-    if k <= 0:
-        return rows.withColumn("selected", F.lit(False))
+    low, high = rows.agg(F.min(key), F.max(key)).first()
     above = 0  # rows with a key over ``high``
-    for _ in range(rounds):
-        if low == high:
-            break
-        width = (high - low) / cells
-        cell = F.least(F.floor((F.col(key) - low) / width), F.lit(cells - 1))
+    while low < high:
+        width = (float(high) - float(low)) / cells
+        cell = F.least(F.floor((F.col(key) - F.lit(low)).cast("double") / width), F.lit(cells - 1))
         inside = rows.filter(F.col(key).between(low, high)).groupBy(cell.alias("cell"))
         found = inside.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).collect()
         for row in sorted(found, key=lambda r: -r.cell):
@@ -108,9 +102,20 @@ def top_k(rows: DataFrame, key: str, k: int, rounds: int = 12, cells: int = 1024
                 low, high = row.low, row.high
                 break
             above += row.n
-        if above + row.n == k:
-            high = low
-    return rows.withColumn("selected", F.col(key) >= F.lit(low))
+        if above + 1 == k:  # the highest of the range
+            low = high
+    return low, above
+
+
+def top_k(rows: DataFrame, key: str, k: int, tie: str) -> DataFrame:
+    """Mark exactly k rows (all, if fewer) with the highest key; among equal keys those with the highest ``tie``, unique integers."""
+    total = rows.count()
+    if k >= total or k <= 0:
+        return rows.withColumn("selected", F.lit(k > 0))
+    bound, above = least_of_top(rows, key, k)
+    ties = rows.filter(F.col(key) == F.lit(bound))
+    last = least_of_top(ties, tie, k - above)[0]
+    return rows.withColumn("selected", (F.col(key) > F.lit(bound)) | ((F.col(key) == F.lit(bound)) & (F.col(tie) >= F.lit(last))))
 
 
 def resample(
@@ -119,16 +124,17 @@ def resample(
     """Sample ``share`` of the documents towards those in ``target_ids``.
 
     Rows: doc_id, n_ngrams, log_weight, sample_key, selected.  A null or empty text weighs 0.
-    Rows that share id and text are taken together, so repeats can add to the number taken.
+    Exactly the rounded share of all rows is selected; of rows equal in id and text any may be.
     Without target texts all weights are 0 and the sample is uniform.
     """
     ids = target_ids.select(F.col("doc_id").alias("target_id")).distinct()
     marked = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("target_id"), "left")
     counts = bucket_counts(marked.select("text", F.col("target_id").isNotNull().alias("is_target")), buckets)
     weights = log_weights(docs, log_ratios(counts, buckets))
-    noise = gumbel(F.col("doc_id"), seed)
-    keyed = store(weights.withColumn("sample_key", F.col("log_weight") + noise), "sample-keys")
-    return top_k(keyed, "sample_key", round(share * keyed.count()))
+    noise = gumbel(F.col("doc_id"), F.col("of_text"), seed)
+    keyed = weights.withColumn("sample_key", F.col("log_weight") + noise).drop("of_text")
+    keyed = store(keyed.withColumn("row", F.monotonically_increasing_id()), "sample-keys")
+    return top_k(keyed, "sample_key", round(share * keyed.count()), "row").drop("row")
 
 
 def labelled_share(labels: DataFrame) -> float:
