@@ -32,9 +32,9 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-def draw_of(doc_id: Column, seed: int) -> Column:
-    """The seeded hash that orders documents; rows with the same id share it."""
-    return F.xxhash64(F.lit(seed).cast("long"), doc_id)
+def draw_of(docs: DataFrame, seed: int) -> Column:
+    """The seeded hash that orders documents: by id and text, as ids may be null or repeat; rows equal in both share it."""
+    return F.xxhash64(F.lit(seed).cast("long"), docs["doc_id"].cast("long"), docs["text"])
 
 
 def cycle(rank: Column, weights: Sequence[int]) -> Column:
@@ -125,13 +125,13 @@ def mix_sources(
 ) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (words, repeats counted).
 
-    A null text has size 0, null sources form one source, rows that share an id are taken
+    A null text has size 0, null sources form one source, rows equal in id and text are taken
     alike, and an empty table gives no rows.  Only doc_id, source and text are read.
     """
     sized = store(
         docs.select(
             F.col("doc_id").cast("long"), "source", size_of(F.col("text")).alias("size"),
-            draw_of(F.col("doc_id"), seed).alias("draw"),
+            draw_of(docs, seed).alias("draw"),
         ),
         "mix-sizes",
     )
@@ -145,9 +145,9 @@ def mixed_documents(
 ) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken."""
     names = docs.columns
-    sized = docs.select("source", draw_of(F.col("doc_id"), seed).alias("draw"), size_of(F.col("text")).alias("size"))
+    sized = docs.select("source", draw_of(docs, seed).alias("draw"), size_of(F.col("text")).alias("size"))
     targets, cuts = mixing_plan(store(sized, "mix-sizes"), weights, max_epochs)
-    rows = docs.select("source", draw_of(F.col("doc_id"), seed).alias("draw"), F.struct(*[docs[n] for n in names]).alias("row"))
+    rows = docs.select("source", draw_of(docs, seed).alias("draw"), F.struct(*[docs[n] for n in names]).alias("row"))
     mixed = apply_plan(rows, targets, cuts).filter("times > 0")
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
     return mixed.select("row", copies.alias("copy")).select(*[F.col("row")[n].alias(n) for n in names])
