@@ -4,7 +4,9 @@ For every language the corpus gives two reference histograms, counted over all d
 of that language: character classes, and its commonest words (all other words
 form one class).  A document is compared with the references by the Jensen-Shannon
 distance (square root of the divergence in bits, 0 to 1) and judged by the nearest one.
-Short documents have noisy histograms, so each comparison has a minimum length.
+Short documents have noisy histograms, so each comparison has a minimum length.  So do references: a language needs
+a minimum of documents and words, and a document's own counts are left out of the reference of its language, so
+that no text can vouch for itself.  Documents of smaller languages are held against the others' references.
 
 Fixed counts (words, symbols, repeated lines and windows) come first; a document that
 fails them is rejected whatever its histograms say.
@@ -52,6 +54,8 @@ class Rules:
     word_min_words: int = 60
     word_max_distance: float = 0.42
     word_slack: float = 0.6
+    reference_min_documents: int = 10
+    reference_min_words: int = 1000
 
 
 def class_table() -> np.ndarray:
@@ -123,24 +127,27 @@ def over(value: float | None, limit: float, slack: float, length: int) -> bool:
 
 
 def corpus_histograms(docs: DataFrame) -> DataFrame:
-    """Counts (lang, kind, item, n) over all documents with a language; kind is class or word."""
+    """Counts (lang, kind, item, n) over all documents with a language and a text; kind is documents, class or word."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = class_table()
         words: dict[str, Counter] = {}
         classes: dict[str, np.ndarray] = {}
+        holders: Counter = Counter()
         for rows in table_batches(batches):
             for lang, text in zip(rows["lang"], rows["text"], strict=True):
                 if lang is not None and text:
                     words.setdefault(lang, Counter()).update(words_of(text))
                     classes[lang] = classes.get(lang, 0) + class_counts(text, table)
+                    holders[lang] += 1
             if sum(map(len, words.values())) > HELD_WORDS:
-                yield counted(words, classes)
-                words, classes = {}, {}
-        yield counted(words, classes)
+                yield counted(words, classes, holders)
+                words, classes, holders = {}, {}, Counter()
+        yield counted(words, classes, holders)
 
-    def counted(words: dict[str, Counter], classes: dict[str, np.ndarray]) -> pa.RecordBatch:
-        out = [(lang, "class", CLASSES[k], int(n)) for lang, c in classes.items() for k, n in enumerate(c) if n]
+    def counted(words: dict[str, Counter], classes: dict[str, np.ndarray], holders: Counter) -> pa.RecordBatch:
+        out = [(lang, "documents", "", n) for lang, n in holders.items()]
+        out += [(lang, "class", CLASSES[k], int(n)) for lang, c in classes.items() for k, n in enumerate(c) if n]
         for lang, counter in words.items():
             plain: Counter = Counter()
             for word, n in counter.items():
@@ -157,62 +164,76 @@ def corpus_histograms(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class References:
-    """A block of languages: class shares, shares of common words (others last), and where a word counts."""
+    """A block of languages: counts of classes and of common words (others last), and where a word counts."""
 
+    languages: dict[str, int]
     classes: np.ndarray
     words: np.ndarray
     place: dict[str, tuple[list[int], list[int]]]  # languages that have the word among their common ones, and columns
 
-    def nearest_classes(self, counts: np.ndarray) -> float:
-        return float(distance(counts / counts.sum(), self.classes).min())
+    def nearest_classes(self, counts: np.ndarray, lang: str | None) -> float:
+        return nearest(np.broadcast_to(counts, self.classes.shape), self.classes, self.languages.get(lang))
 
-    def nearest_words(self, plain: Counter) -> float:
-        total, p = sum(plain.values()), np.zeros(self.words.shape)
+    def nearest_words(self, plain: Counter, lang: str | None) -> float:
+        total, counts = sum(plain.values()), np.zeros(self.words.shape)
         for word, n in plain.items():
             if word in self.place:
-                p[self.place[word]] = n
-        p[:, -1] = total - p.sum(axis=1)
-        return float(distance(p / total, self.words).min())
+                counts[self.place[word]] = n
+        counts[:, -1] = total - counts.sum(axis=1)
+        return nearest(counts, self.words, self.languages.get(lang))
+
+
+def nearest(counts: np.ndarray, references: np.ndarray, own: int | None) -> float:
+    """Least distance of one document's counts, a row per reference, to the references; without itself in its ``own`` one."""
+    shares = references / references.sum(axis=1, keepdims=True)
+    if own is not None:
+        others = np.maximum(references[own] - counts[own], 0)
+        if not others.sum():
+            shares, counts = np.delete(shares, own, axis=0), np.delete(counts, own, axis=0)
+        else:
+            shares[own] = others / others.sum()
+    return float(distance(counts / counts.sum(axis=1, keepdims=True), shares).min()) if len(shares) else 1.0
 
 
 def language_references(docs: DataFrame, rules: Rules) -> list[References]:
-    """References of every language that has words.
+    """References of every language with enough documents and words.
 
     They are written with ``common_words`` words a language (some 2 KB) and fetched a partition at a time.
     """
     counts = store(corpus_histograms(docs), "histograms")
     totals = counts.groupBy("lang").agg(
         F.sum(F.when(F.col("kind") == "word", F.col("n"))).alias("words"),
+        F.sum(F.when(F.col("kind") == "documents", F.col("n"))).alias("documents"),
         *[F.coalesce(F.sum(F.when((F.col("kind") == "class") & (F.col("item") == c), F.col("n"))), F.lit(0)).alias(c) for c in CLASSES],
     )
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "item"))
     top = counts.filter(F.col("kind") == "word").withColumn("rank", rank).filter(F.col("rank") <= rules.common_words)
     common = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "item", "n"))).alias("common"))
-    rows = store(totals.filter("words > 0").join(common, "lang"), "references").toLocalIterator()
+    enough = (F.col("words") >= rules.reference_min_words) & (F.col("documents") >= rules.reference_min_documents)
+    rows = store(totals.filter(enough).join(common, "lang"), "references").toLocalIterator()
     out = []
     while some := list(islice(rows, LANGUAGES)):
         classes = np.array([[row[c] for c in CLASSES] for row in some], float)
-        shares = np.zeros((len(some), rules.common_words + 1))
+        counts = np.zeros((len(some), rules.common_words + 1))
         place: dict[str, tuple[list[int], list[int]]] = {}
         for k, row in enumerate(some):
             found = np.array([n for _, _, n in row.common], float)
-            shares[k, : len(found)] = found
-            shares[k, -1] = row.words - found.sum()
-            shares[k] /= row.words
+            counts[k, : len(found)] = found
+            counts[k, -1] = row.words - found.sum()
             for column, (_, word, _) in enumerate(row.common):
                 languages, columns = place.setdefault(word, ([], []))
                 languages.append(k), columns.append(column)
-        out.append(References(classes / classes.sum(axis=1, keepdims=True), shares, place))
+        out.append(References({row.lang: k for k, row in enumerate(some)}, classes, counts, place))
     return out
 
 
 def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa: B008
     """One row per document: doc_id, counts, distances (null below the minimum length), verdicts.
 
-    A null or empty text has no words and fails.  Without any language in the corpus there is
+    A null or empty text has no words and fails.  Without any language that is large enough there is
     no reference, and the counts alone decide.  Repeated rows are judged one by one.
     """
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(judgement(docs, rules), SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text", "lang").mapInArrow(judgement(docs, rules), SCHEMA)
 
 
 def kept_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa: B008
@@ -222,7 +243,7 @@ def kept_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noq
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             none = pa.nulls(batch.num_rows, pa.int64())
-            texts = pa.RecordBatch.from_arrays([none, batch.column("text")], names=["doc_id", "text"])
+            texts = pa.RecordBatch.from_arrays([none, batch.column("text"), batch.column("lang")], names=["doc_id", "text", "lang"])
             verdicts = [v for judged in judge([texts]) for v in judged.column("kept").to_pylist()]
             yield batch.filter(pa.array(verdicts, pa.bool_()))
 
@@ -230,14 +251,14 @@ def kept_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noq
 
 
 def judgement(docs: DataFrame, rules: Rules) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The function from batches of doc_id and text to their verdicts."""
+    """The function from batches of doc_id, text and lang to their verdicts."""
     refs = language_references(docs, rules)
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = class_table()
         for rows in table_batches(batches):
             out: dict[str, list] = {name: [] for name in names}
-            for doc_id, text in zip(rows["doc_id"], rows["text"], strict=True):
+            for doc_id, text, lang in zip(rows["doc_id"], rows["text"], rows["lang"], strict=True):
                 text = text or ""
                 words = words_of(text)
                 repeats = repeated_words(words, rules.repeat_window)
@@ -245,9 +266,9 @@ def judgement(docs: DataFrame, rules: Rules) -> Callable[[Iterable[pa.RecordBatc
                 by_class = by_word = None
                 if refs and len(text) >= rules.class_min_chars:
                     counts = class_counts(text, table)
-                    by_class = min(r.nearest_classes(counts) for r in refs)
+                    by_class = min(r.nearest_classes(counts, lang) for r in refs)
                 if refs and len(words) >= rules.word_min_words:
-                    by_word = nearest_words(Counter(words))
+                    by_word = nearest_words(Counter(words), lang)
                 far = over(by_class, rules.class_max_distance, rules.class_slack, len(text))
                 far = far or over(by_word, rules.word_max_distance, rules.word_slack, len(words))
                 values = (doc_id, len(words), sum(map(len, words)), sum(map(text.count, SYMBOLS)),
@@ -256,12 +277,12 @@ def judgement(docs: DataFrame, rules: Rules) -> Callable[[Iterable[pa.RecordBatc
                     out[name].append(value)
             yield pa.RecordBatch.from_pydict(out, schema=arrow)
 
-    def nearest_words(counter: Counter) -> float | None:
+    def nearest_words(counter: Counter, lang: str | None) -> float | None:
         plain: Counter = Counter()
         for word, n in counter.items():
             plain[plain_word(word)] += n
         plain.pop("", None)
-        return min(r.nearest_words(plain) for r in refs) if plain else None
+        return min(r.nearest_words(plain, lang) for r in refs) if plain else None
 
     fields = [(n, pa.int64()) for n in LONGS] + [("base_failed", pa.bool_()), ("kept", pa.bool_())]
     fields += [("class_distance", pa.float64()), ("word_distance", pa.float64())]
