@@ -127,15 +127,15 @@ def test_distance_is_a_metric_between_zero_and_one():
     assert quality_rules.distance(p, q) == pytest.approx([0, 1])
 
 
-def test_every_language_has_a_reference(spark, monkeypatch):
+def test_every_large_language_has_a_reference(spark, monkeypatch):
     rng, rows = random.Random(8), []
     for k in range(70):  # the last languages are the smallest, and each has a script or words of its own
         letters = "אבגדהוזחט" if k == 69 else "ABCDEFGHI" if k == 68 else "abcdefghi"
         words = ["".join(rng.choice(letters) for _ in range(5)) for _ in range(12)]
-        rows += [(k, " ".join(rng.choice(words) for _ in range(300 - 2 * k)), f"l{k:02}")]
+        rows += [(12 * k + n, " ".join(rng.choice(words) for _ in range(300 - 2 * k)), f"l{k:02}") for n in range(12)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     expected = quality_rules.quality_rules(frame).orderBy("doc_id").collect()
-    assert all(r.class_distance < 1e-6 and r.word_distance < 1e-6 for r in expected) and all(
+    assert all(r.class_distance < 0.15 and r.word_distance < 0.25 for r in expected) and all(
         r.kept == (not r.base_failed) for r in expected
     )
     monkeypatch.setattr(quality_rules, "LANGUAGES", 9)
@@ -191,9 +191,9 @@ def test_personal_data(spark, docs, empty):
 def test_top_k_by_narrowing(spark):
     frame = spark.range(1000).select("id", (F.col("id") * 7919 % 1009).cast("double").alias("key"))
     best = {r["id"] for r in frame.orderBy(F.desc("key")).limit(137).collect()}
-    marked = importance.top_k(frame, "key", 137, cells=16)
+    marked = importance.top_k(frame, "key", 137, "id")
     assert {r["id"] for r in marked.filter("selected").collect()} == best
-    assert importance.top_k(frame, "key", 0).filter("selected").count() == 0
+    assert importance.top_k(frame, "key", 0, "id").filter("selected").count() == 0
 
 
 def test_resampling(spark, docs, empty):

@@ -17,7 +17,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import mix
+from tradewind.llm.common import mix, store
 
 #: Records a task gathers before it sends them.
 LOT = 1_500_000
@@ -41,6 +41,23 @@ def document_key(docs: DataFrame) -> Column:
     return F.coalesce(docs["doc_id"].cast("long"), by_text)
 
 
+def row_keyed(docs: DataFrame) -> DataFrame:
+    """Like ``keyed``, but texts that share an id have keys of their own, in the order of a hash of the text.
+
+    Only where some id has different texts the keys are dealt anew: ids and hashes, sorted by ranges, are numbered
+    range by range, and the texts joined to them are written once.
+    """
+    plain = keyed(docs)
+    hashed = plain.select("key", F.xxhash64("text").alias("of_text"))
+    several = hashed.groupBy("key").agg((F.min("of_text") != F.max("of_text")).alias("several")).filter("several")
+    if several.isEmpty():
+        return plain
+    ranges = hashed.distinct().repartitionByRange("key", "of_text").sortWithinPartitions("key", "of_text")
+    numbers = store(ranges.withColumn("number", F.monotonically_increasing_id()), "keys")
+    own = plain.withColumn("of_text", F.xxhash64("text")).join(numbers, ["key", "of_text"])
+    return store(own.select("doc_id", F.col("number").alias("key"), "text"), "keyed")
+
+
 def buckets_for(docs: DataFrame, units_per_record: float) -> int:
     """Number of buckets for one record per so many characters."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tradewind.llm.common import hash_cache, mix, store, table_batches, word_hashes, words_of
 from tradewind.llm.exchange import (
     KINDED_SCHEMA, LOT, MEET, PLACE, SPAN, anchored, buckets_for, by_key, covered, dealt, first_of, first_windows, fold,
-    keyed, kinded, later, lists_per_key, meet, merged, of_kind, repeated_anchors, sent_windows, sizes_of, spans_per_key,
+    kinded, later, lists_per_key, meet, merged, of_kind, repeated_anchors, row_keyed, sent_windows, sizes_of, spans_per_key,
 )
 
 WINDOW = 20
@@ -142,11 +142,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def substring_dedup(docs: DataFrame, window: int = WINDOW, *, with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (and the kept words as a text).
 
-    A null or empty text has no words.  Rows that share an id count as one document, so they do
-    not remove each other; where their texts differ they share what is removed.  A null id ranks after
-    all others and is told apart by its text.
+    A null or empty text has no words.  Rows equal in id and text count as one document, so they
+    do not remove each other; texts that share an id are documents of their own, in the order of a hash of the text.  A
+    null id ranks after all others and is told apart by its text.
     """
-    docs = keyed(docs)
+    docs = row_keyed(docs)
     spans = spans_per_key(remove_repeats(docs, window))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm.common import discard, store, table_batches
 from tradewind.llm.exchange import (
-    DEALT_SCHEMA, KINDED_SCHEMA, LOT, MEET, SPAN, anchored, buckets_for, by_key, covered, first_windows, keyed, merged,
+    DEALT_SCHEMA, KINDED_SCHEMA, LOT, MEET, SPAN, anchored, buckets_for, by_key, covered, first_windows, merged, row_keyed,
     of_kind, packed, repeated_anchors, sent_windows, spans_per_key,
 )
 
@@ -377,11 +377,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, *, with_bytes: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and the kept bytes).
 
-    A null or empty text has no bytes.  Rows that share an id count as one document, so they do
-    not remove each other; where their texts differ they share what is removed.  A null id ranks after
-    all others and is told apart by its text.
+    A null or empty text has no bytes.  Rows equal in id and text count as one document, so they
+    do not remove each other; texts that share an id are documents of their own, in the order of a hash of the text.  A
+    null id ranks after all others and is told apart by its text.
     """
-    docs = keyed(docs)
+    docs = row_keyed(docs)
     spans = spans_per_key(remove_repeats(docs, length))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
