@@ -810,12 +810,12 @@ def live_kpis(r: Retail) -> DataFrame:
 
 @query
 def live_order_volume(r: Retail) -> DataFrame:
-    """Every order arrives twice; the repeated delivery must not count."""
-    orders = over_star(r.spark, "orders", orders=_stream(r, "orders"))
-    volume = live.live_order_volume(orders.union(orders))
+    """Every order arrives twice; the repeated delivery must not count, and rows behind the watermark must."""
+    orders = _stream(r, "orders")
     folder = workspace(r.spark, "live-volume")
-    live.keep_snapshot(volume, f"{folder}/windows", f"{folder}/checkpoint").awaitTermination()
-    return as_text(live.snapshot(r.spark, f"{folder}/windows"))
+    live.keep_order_volume(orders.union(orders), f"{folder}/volume", f"{folder}/checkpoint").awaitTermination()
+    live.merge_late_orders(r.spark, f"{folder}/volume")
+    return as_text(live.order_volume(r.spark, f"{folder}/volume"))
 
 
 @query

@@ -12,6 +12,7 @@ from pyspark.sql.types import DataType, IntegralType, StringType, StructType
 
 from tradewind.functions.shaping import ROW_ORDER, unpivot_row
 from tradewind.schemas import FREE_TEXT_TABLES, RAW_SCHEMAS
+from tradewind.sources.quoted_csv import read_quoted_csv
 
 
 # Cell texts that the usual CSV readers take as missing.
@@ -42,20 +43,24 @@ def load_csv(
     """A headered CSV file or folder; columns are found by name and typed by the schema.
 
     Columns the schema does not know stay text.  ``multi_line`` accepts line breaks in
-    quoted text, at the price that a file cannot be split over tasks.  With
+    quoted text; such a file is split over tasks too (``quoted_csv``).  With
     ``row_order`` each row remembers its place in the files, for "first row" rules.
     """
-    reader = spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
-    # headers of further files must agree with the first instead of being skipped
-    lines = reader.option("enforceSchema", False).csv(path)
-    kinds = {f.name: f.dataType for f in (StructType.fromDDL(schema) if isinstance(schema, str) else schema)}
-    cells = [_typed(c, kinds[c]) if c in kinds else F.col(c) for c in lines.columns]
-    if row_order:
+    if multi_line:
+        lines = read_quoted_csv(spark, path)
+        place = F.struct("_place.file", "_place.block", F.col("_place.line").alias("row"))
+    else:
+        reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+        # headers of further files must agree with the first instead of being skipped
+        lines = reader.option("enforceSchema", False).csv(path)
         place = F.struct(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         )
+    kinds = {f.name: f.dataType for f in (StructType.fromDDL(schema) if isinstance(schema, str) else schema)}
+    cells = [_typed(c, kinds[c]) if c in kinds else F.col(c) for c in lines.columns if not (multi_line and c == "_place")]
+    if row_order:
         cells.append(place.alias(ROW_ORDER))
     return lines.select(*cells)
 
