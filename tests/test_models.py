@@ -82,7 +82,7 @@ def test_pipeline_writes_every_stage(spark, r, tmp_path, monkeypatch):
     report = pipeline.run_pipeline(spark, {**r.all(), **r.all("raw_")}, str(tmp_path / "out")).collect()
     rows = {row["table_name"]: row["row_count"] for row in report}
     assert {name.split("/")[0] for name in rows} == {
-        "raw", "clean", "insights", "explore", "segments", "forecast", "ratings",
+        "raw", "reports", "clean", "insights", "explore", "segments", "forecast", "ratings",
     }
     assert rows["raw/customers"] == 2 * rows["clean/customers"] > 0
     assert rows["segments/clusters"] == 3 and rows["explore/correlation"] == 10

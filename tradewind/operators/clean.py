@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import itertools
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tradewind.functions.quantiles import exact_quantiles, quantile_values
@@ -91,7 +92,11 @@ def iqr_filter(df: DataFrame, column: str) -> DataFrame:
 
     The fences are two numbers, so the filter reaches the Parquet scan as literals.
     """
-    fences = iqr_fences(df, column)
+    return inside(df, column, iqr_fences(df, column))
+
+
+def inside(df: DataFrame, column: str, fences: tuple[float, float] | None) -> DataFrame:
+    """Rows between two fences, ends included; none where there are no fences."""
     return df.filter(F.lit(False)) if fences is None else df.filter(F.col(column).between(*fences))
 
 
@@ -100,45 +105,62 @@ def iqr_filter_chain(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return reduce(iqr_filter, columns, df)
 
 
-def clean_customers(customers: DataFrame) -> DataFrame:
+#: Called with the name of a step and its rows; returns the rows to go on with.  The first step is "rows".
+Seen = Callable[[str, DataFrame], DataFrame]
+
+
+def _unseen(step: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def clean_customers(customers: DataFrame, seen: Seen = _unseen) -> DataFrame:
     """One row per customer_id; missing city and state become 'Unknown'."""
-    unique = dedup_by_key(customers, ["customer_id"]).drop(ROW_ORDER)
+    unique = seen("duplicates", dedup_by_key(seen("rows", customers), ["customer_id"])).drop(ROW_ORDER)
     return fill_constant(unique, {"customer_city": "Unknown", "customer_state": "Unknown"})
 
 
-def clean_orders(orders: DataFrame) -> DataFrame:
+def clean_orders(orders: DataFrame, seen: Seen = _unseen) -> DataFrame:
     """Timestamps read, one row per order_id, purchase time required."""
-    unique = dedup_by_key(coerce_timestamp(orders, ORDER_DATES), ["order_id"]).drop(ROW_ORDER)
-    return require_not_null(unique, ["order_purchase_timestamp"])
+    dated = coerce_timestamp(seen("rows", orders), ORDER_DATES)
+    unique = seen("duplicates", dedup_by_key(dated, ["order_id"])).drop(ROW_ORDER)
+    return seen("no purchase time", require_not_null(unique, ["order_purchase_timestamp"]))
 
 
-def clean_order_items(items: DataFrame) -> DataFrame:
+def clean_order_items(items: DataFrame, seen: Seen = _unseen) -> DataFrame:
     """Identical rows dropped, then price and freight outliers.
 
     The distinct rows are written out once because the two fences read them several
     times, each time only one or two narrow columns.
     """
-    unique = materialize(dedup_full_row(items), "distinct-items")
-    return iqr_filter_chain(unique, ["price", "freight_value"])
+    unique = materialize(seen("duplicates", dedup_full_row(seen("rows", items))), "distinct-items")
+    price = iqr_fences(unique, "price")
+    freight = iqr_fences(inside(unique, "price", price), "freight_value")
+    fair = seen("price outliers", inside(unique, "price", price))
+    return seen("freight outliers", inside(fair, "freight_value", freight))
 
 
-def clean_reviews(reviews: DataFrame) -> DataFrame:
+def clean_reviews(reviews: DataFrame, seen: Seen = _unseen) -> DataFrame:
     """Missing comments become '', timestamps read, one row per (review_id, order_id)."""
-    filled = fill_constant(reviews, {"review_comment_title": "", "review_comment_message": ""})
-    return dedup_by_key(coerce_timestamp(filled, REVIEW_DATES), ["review_id", "order_id"]).drop(ROW_ORDER)
+    filled = fill_constant(seen("rows", reviews), {"review_comment_title": "", "review_comment_message": ""})
+    unique = dedup_by_key(coerce_timestamp(filled, REVIEW_DATES), ["review_id", "order_id"])
+    return seen("duplicates", unique).drop(ROW_ORDER)
 
 
-def clean_products(products: DataFrame) -> DataFrame:
+def clean_products(products: DataFrame, seen: Seen = _unseen) -> DataFrame:
     """Missing category becomes 'unknown', missing measures the median over all rows
-    (duplicates included), then one row per product_id."""
-    filled = fill_constant(products, {"product_category_name": "unknown"})
+    (duplicates included), then one row per product_id.
+
+    The rows are written out once because the medians read them several times.
+    """
+    filled = materialize(fill_constant(seen("rows", products), {"product_category_name": "unknown"}), "products")
     measures = [c for c in PRODUCT_MEASURES if c in products.columns]
-    return dedup_by_key(fill_median(filled, measures), ["product_id"]).drop(ROW_ORDER)
+    return seen("duplicates", dedup_by_key(fill_median(filled, measures), ["product_id"])).drop(ROW_ORDER)
 
 
-def clean_payments(payments: DataFrame) -> DataFrame:
+def clean_payments(payments: DataFrame, seen: Seen = _unseen) -> DataFrame:
     """Payments above zero, identical rows dropped."""
-    return dedup_full_row(positive_only(payments, "payment_value"))
+    paid = seen("zero or negative", positive_only(seen("rows", payments), "payment_value"))
+    return seen("duplicates", dedup_full_row(paid))
 
 
 CLEANERS = {
@@ -151,49 +173,49 @@ CLEANERS = {
 }
 
 
-def _step(table: str, step: str, before: DataFrame, after: DataFrame) -> DataFrame:
-    rows = [
-        df.agg(F.count("*").alias("rows")).select(F.lit(side).alias("side"), "rows")
-        for side, df in (("before", before), ("after", after))
-    ]
-    sides = rows[0].unionByName(rows[1]).agg(
-        F.max(F.when(F.col("side") == "before", F.col("rows"))).alias("rows_before"),
-        F.max(F.when(F.col("side") == "after", F.col("rows"))).alias("rows_after"),
-    )
-    return sides.select(
-        F.lit(table).alias("table_name"),
-        F.lit(step).alias("step"),
-        "rows_before",
-        "rows_after",
-        (F.col("rows_before") - F.col("rows_after")).alias("rows_removed"),
-    )
+class StepCounts:
+    """Row counts of the steps of one table, taken in flight by the job that writes it."""
+
+    def __init__(self, table: str):
+        self.table, self.steps = table, []
+
+    def seen(self, step: str, df: DataFrame) -> DataFrame:
+        observation = Observation(f"{self.table} {step}")
+        self.steps.append((step, observation))
+        return df.observe(observation, F.count(F.lit(1)).alias("rows"))
+
+    def rows(self) -> list[tuple[str, str, int, int]]:
+        """(table, step, rows before, rows after), once the job is done."""
+        counts = [(step, observation.get["rows"]) for step, observation in self.steps]
+        return [(self.table, step, before, after) for (_, before), (step, after) in itertools.pairwise(counts)]
+
+
+def clean_tables(raw: Mapping[str, DataFrame], attempts: int = 3) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Every known table cleaned and written, and the report of rows before and after each step that removes rows.
+
+    One chain of steps per table, so each raw table is read once; the counts are observed on the way.  A stage that
+    runs again after a lost executor may be counted twice, so the last count must equal the written rows, else
+    the chain runs again.
+    """
+    cleaned, report = {}, []
+    for name in [n for n in CLEANERS if n in raw]:
+        for _ in range(attempts):
+            counts = StepCounts(name)
+            cleaned[name] = materialize(CLEANERS[name](raw[name], counts.seen), f"clean-{name}")
+            rows = counts.rows()
+            if rows[-1][3] == cleaned[name].count() and all(before >= after for *_, before, after in rows):
+                break
+        else:
+            raise RuntimeError(f"the steps of {name} could not be counted: stages ran again in {attempts} attempts")
+        report += [(*row, row[2] - row[3]) for row in rows]
+    spark = next(iter(raw.values())).sparkSession
+    columns = "table_name string, step string, rows_before bigint, rows_after bigint, rows_removed bigint"
+    return cleaned, spark.createDataFrame(report, columns)
 
 
 def clean_report(raw: Mapping[str, DataFrame]) -> DataFrame:
     """Rows before and after each cleaning step that removes rows."""
-    customers, orders, items = raw["customers"], raw["orders"], raw["order_items"]
-    reviews, products, payments = raw["order_reviews"], raw["products"], raw["order_payments"]
-
-    dated = coerce_timestamp(orders, ORDER_DATES)
-    unique_orders = dedup_by_key(dated, ["order_id"])
-    unique_items = materialize(dedup_full_row(items), "distinct-items")
-    fair_price = iqr_filter(unique_items, "price")
-    fair_freight = iqr_filter(fair_price, "freight_value")
-    paid = positive_only(payments, "payment_value")
-
-    steps = [
-        ("customers", "duplicates", customers, dedup_by_key(customers, ["customer_id"])),
-        ("orders", "duplicates", orders, unique_orders),
-        ("orders", "no purchase time", unique_orders, require_not_null(unique_orders, ["order_purchase_timestamp"])),
-        ("order_items", "duplicates", items, unique_items),
-        ("order_items", "price outliers", unique_items, fair_price),
-        ("order_items", "freight outliers", fair_price, fair_freight),
-        ("order_reviews", "duplicates", reviews, dedup_by_key(reviews, ["review_id", "order_id"])),
-        ("products", "duplicates", products, dedup_by_key(products, ["product_id"])),
-        ("order_payments", "zero or negative", payments, paid),
-        ("order_payments", "duplicates", paid, dedup_full_row(paid)),
-    ]
-    return reduce(DataFrame.unionByName, [_step(*s) for s in steps])
+    return clean_tables(raw)[1]
 
 
 def clean_summary(cleaned: Mapping[str, DataFrame]) -> DataFrame:

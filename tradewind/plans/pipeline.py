@@ -40,8 +40,9 @@ def load_stage(s: Stages, raw: Frames) -> Frames:
 
 
 def clean_stage(s: Stages, raw: Frames) -> Frames:
-    cleaned = {n: clean.CLEANERS[n](df) if n in clean.CLEANERS else df for n, df in raw.items()}
-    return s.save("clean", {n: df.drop(ROW_ORDER) for n, df in cleaned.items()})
+    cleaned, report = clean.clean_tables(raw)
+    s.save("reports", {"cleaning": report})
+    return s.save("clean", {n: cleaned.get(n, df).drop(ROW_ORDER) for n, df in raw.items()})
 
 
 def insight_stage(s: Stages, t: Frames) -> Frames:
