@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +25,8 @@ QUINTILES = [0.2, 0.4, 0.6, 0.8]
 SEED = 42
 RESTARTS = 10
 MAX_ITERATIONS = 300
-CONCURRENT_FITS = 8
-PERSONS_PER_PARTITION = 250_000
+TOLERANCE = 1e-4  # a fit has settled when no coordinate of a center moves further
+SAMPLE = 5_000  # persons that the starting centers are chosen from
 
 
 def order_value(payments: DataFrame) -> DataFrame:
@@ -125,66 +125,131 @@ def standardize(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     return _z_scores(df, columns)[0]
 
 
-def _as_vectors(scaled: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=SCALED, outputCol="features").transform(scaled)
+Starts = dict[tuple[int, int], np.ndarray]  # (k, restart) -> k centers
 
 
-def _laid_out(scaled: DataFrame, rows: int) -> DataFrame:
-    """Rows in a layout that follows the number of persons and their ids only, not the
-    input files or the cluster, because k-means starts depend on it."""
-    partitions = max(1, math.ceil(rows / PERSONS_PER_PARTITION))
-    return scaled.repartition(partitions, PERSON).sortWithinPartitions(PERSON)
+def _points(scaled: DataFrame) -> DataFrame:
+    return scaled.select(*[F.col(c).cast("double").alias(c) for c in SCALED])
 
 
-def feature_vectors(rfm: DataFrame) -> DataFrame:
-    """Standardized features as vectors, laid out for k-means."""
-    return _as_vectors(_laid_out(*_z_scores(rfm, FEATURES)))
+def spread_starts(scaled: DataFrame, ks: Sequence[int], restarts: int, seed: int) -> Starts:
+    """Starting centers by k-means++ on a sample of at most ``SAMPLE`` persons, drawn by a hash of the id.
+
+    Neither the input files nor the cluster decide on the sample, and each next center is the best of a few drawn ones.
+    """
+    drawn = scaled.orderBy(F.xxhash64(PERSON, F.lit(seed)), PERSON).limit(SAMPLE).select(*SCALED).collect()
+    sample = np.array([tuple(row) for row in drawn], float).reshape(-1, len(SCALED))
+    starts: Starts = {}
+    for k in ks if len(sample) else ():
+        for restart in range(restarts):
+            rng = np.random.default_rng([seed, k, restart])
+            centers = sample[[rng.integers(len(sample))]]
+            nearest = ((sample - centers[0]) ** 2).sum(axis=1)
+            while len(centers) < k:
+                p = nearest / nearest.sum() if nearest.sum() > 0 else None
+                tried = sample[rng.choice(len(sample), 2 + int(math.log(k)), p=p)]
+                left = np.minimum(nearest, ((sample[None] - tried[:, None]) ** 2).sum(axis=2))
+                best = int(left.sum(axis=1).argmin())
+                centers, nearest = np.vstack([centers, tried[best]]), left[best]
+            starts[k, restart] = centers
+    return starts
+
+
+def lloyd_pass(points: DataFrame, centers: Starts) -> dict[tuple[int, int], tuple[np.ndarray, float]]:
+    """For all sets of centers from one scan: the means of the points nearest to each, and the cost of the set.
+
+    A task sends one row per center, however many points it has read; an empty cluster keeps its center.
+    """
+    keys = sorted(centers)
+    every = np.vstack([centers[key] for key in keys])
+    edges = np.cumsum([0] + [len(centers[key]) for key in keys])
+    squares = (every**2).sum(axis=1)
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, cost = np.zeros((len(every), every.shape[1] + 1)), np.zeros(len(keys))
+        for batch in batches:
+            whole = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            for at in range(0, len(whole), 4096):
+                x = whole[at : at + 4096]
+                distance = (x**2).sum(axis=1)[:, None] - 2 * x @ every.T + squares
+                for n, (a, b) in enumerate(itertools.pairwise(edges)):
+                    nearest = distance[:, a:b].argmin(axis=1)
+                    cost[n] += np.maximum(distance[np.arange(len(x)), a + nearest], 0).sum()
+                    for column in range(x.shape[1]):
+                        sums[a:b, column] += np.bincount(nearest, x[:, column], b - a)
+                    sums[a:b, -1] += np.bincount(nearest, minlength=b - a)
+        places = np.append(np.arange(len(every)), -1 - np.arange(len(keys)))  # costs have negative numbers
+        values = np.vstack([sums, np.column_stack([cost, np.zeros((len(keys), every.shape[1]))])])
+        yield pa.RecordBatch.from_arrays([pa.array(places), *map(pa.array, values.T)], names=names)
+
+    names = ["place", *[f"v{k}" for k in range(every.shape[1] + 1)]]
+    parts = points.mapInArrow(work, ", ".join(f"{n} {'long' if n == 'place' else 'double'}" for n in names))
+    found = {row[0]: row[1:] for row in parts.groupBy("place").agg(*[F.sum(n).alias(n) for n in names[1:]]).collect()}
+    moved = {}
+    for n, (key, (a, b)) in enumerate(zip(keys, itertools.pairwise(edges), strict=True)):
+        sums = np.array([found[k] for k in range(a, b)])
+        held = sums[:, -1:] > 0
+        moved[key] = np.where(held, sums[:, :-1] / np.maximum(sums[:, -1:], 1), centers[key]), float(found[-1 - n][0])
+    return moved
 
 
 def fit_kmeans(
-    vectors: DataFrame, ks: Sequence[int], restarts: int = RESTARTS, seed: int = SEED
-) -> dict[int, KMeansModel]:
-    """Per k the cheapest of several k-means fits with different starts.
+    scaled: DataFrame, ks: Sequence[int], restarts: int = RESTARTS, seed: int = SEED
+) -> dict[int, tuple[np.ndarray, float]]:
+    """Per k the centers and the cost of the cheapest of several k-means fits with different starts.
 
-    The fits are independent Spark jobs, so a few are submitted at a time.
+    All fits move together: one scan of the points is one iteration for every k and restart that has not settled, so there are
+    at most ``MAX_ITERATIONS`` scans.  Centers come sorted, so that equal fits have equal cluster numbers.
     """
-
-    def fit(k: int, start: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + start, maxIter=MAX_ITERATIONS, predictionCol="cluster").fit(vectors)
-
-    with ThreadPool(CONCURRENT_FITS) as pool:
-        starts = [(k, i) for k in ks for i in range(restarts)]
-        fits = pool.starmap(inheritable_thread_target(vectors.sparkSession)(fit), starts)
-    best: dict[int, KMeansModel] = {}
-    for (k, _), model in zip(starts, fits):
-        if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
-            best[k] = model
+    points = _points(scaled).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        open_ = spread_starts(scaled, ks, restarts, seed)
+        done: dict[tuple[int, int], tuple[np.ndarray, float]] = {}
+        for _ in range(MAX_ITERATIONS):
+            if not open_:
+                break
+            for key, (centers, cost) in lloyd_pass(points, open_).items():
+                settled = np.abs(centers - open_[key]).max() <= TOLERANCE
+                done[key], open_[key] = (centers, cost), centers
+                if settled:
+                    del open_[key]
+    finally:
+        points.unpersist()
+    best: dict[int, tuple[np.ndarray, float]] = {}
+    for (k, _), (centers, cost) in sorted(done.items(), key=lambda x: x[0]):
+        if k not in best or cost < best[k][1] * (1 - 1e-9):
+            order = np.lexsort(np.round(centers, 6).T)
+            best[k] = centers[order], cost
     return best
 
 
 def elbow(rfm: DataFrame, max_k: int = 10, restarts: int = RESTARTS) -> DataFrame:
-    """Within-cluster sum of squares for k = 1 .. max_k."""
-    vectors = feature_vectors(rfm).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        squares = sum(F.col(z) * F.col(z) for z in SCALED)
-        costs = [(1, vectors.agg(F.sum(squares)).first()[0])]
-        models = fit_kmeans(vectors, range(2, max_k + 1), restarts)
-        costs += [(k, float(model.summary.trainingCost)) for k, model in models.items()]
-    finally:
-        vectors.unpersist()
+    """Within-cluster sum of squares for k = 1 .. max_k; no rows without persons."""
+    scaled, rows = _z_scores(rfm, FEATURES)
+    if not rows:
+        return rfm.sparkSession.createDataFrame([], "k int, inertia double")
+    squares = sum(F.col(z) * F.col(z) for z in SCALED)
+    costs = [(1, scaled.agg(F.sum(squares)).first()[0])]
+    costs += [(k, cost) for k, (_, cost) in sorted(fit_kmeans(scaled, range(2, max_k + 1), restarts).items())]
     return rfm.sparkSession.createDataFrame(costs, "k int, inertia double")
 
 
+def nearest_center(centers: np.ndarray) -> Column:
+    """Number of the nearest center, the smaller one on ties."""
+    distances = [
+        F.struct(sum((F.col(z) - F.lit(float(v))) * (F.col(z) - F.lit(float(v))) for z, v in zip(SCALED, center, strict=True)).alias("d"), F.lit(n).alias("n"))
+        for n, center in enumerate(centers)
+    ]
+    return F.array_min(F.array(*distances))["n"]
+
+
 def kmeans_segments(scored: DataFrame, k: int = len(SEGMENTS), restarts: int = RESTARTS) -> DataFrame:
     """Adds the cluster number of the best of several k-means fits."""
     scaled, rows = _z_scores(scored, FEATURES)
-    vectors = _as_vectors(_laid_out(scaled, rows)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = fit_kmeans(vectors, [k], restarts)[k]
-    finally:
-        vectors.unpersist()
-    # only the fits need the layout; rows are scored where they are
-    return model.transform(_as_vectors(scaled)).select(*scored.columns, "cluster")
+    if not rows:
+        return scored.withColumn("cluster", F.lit(0))
+    centers, _ = fit_kmeans(scaled, [k], restarts)[k]
+    return scaled.select(*scored.columns, nearest_center(centers).alias("cluster"))
 
 
 def cluster_summary(clustered: DataFrame) -> DataFrame:
