@@ -20,10 +20,19 @@ def item_category(items: DataFrame, products: DataFrame, translation: DataFrame)
     )
 
 
+def first_lines(items: DataFrame) -> DataFrame:
+    """The first item line of each order, by line number and product: one row per order, before any join.
+
+    An aggregate instead of a window, so an order with many lines is merged map-side.
+    """
+    first = items.groupBy("order_id").agg(F.min(F.struct("order_item_id", "product_id")).alias("first"))
+    return first.select("order_id", "first.*")
+
+
 def order_category(categorised: DataFrame) -> DataFrame:
     """One category per order: that of its first item line.
 
-    An aggregate instead of a window, so an order with many lines is merged map-side.
+    Pass ``item_category(first_lines(items), ...)``, so that only one line per order meets the products.
     """
     return (
         categorised.groupBy("order_id")

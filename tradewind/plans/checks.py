@@ -70,6 +70,17 @@ check("write_replace", "SELECT * FROM ec_order_items")
 check("write_partitioned", "SELECT order_id, customer_id, order_status FROM ec_orders")
 
 INFO = {
+    "customers": {
+        "customer_id": "bigint", "customer_unique_id": "bigint", "customer_city": "string", "customer_state": "string",
+    },
+    "geolocation": {"geolocation_zip_code_prefix": "int", "geolocation_city": "string", "geolocation_state": "string"},
+    "order_payments": {
+        "order_id": "bigint", "payment_sequential": "int", "payment_type": "string", "payment_installments": "bigint",
+        "payment_value": "double",
+    },
+    "orders": {"order_id": "bigint", "customer_id": "bigint", "order_status": "string"} | dict.fromkeys(ORDER_DATES, "timestamp_ntz"),
+    "product_category_translation": {"product_category_name": "string", "product_category_name_english": "string"},
+    "sellers": {"seller_id": "bigint", "seller_city": "string", "seller_state": "string"},
     "order_items": {
         "order_id": "bigint", "order_item_id": "int", "product_id": "bigint", "seller_id": "bigint",
         "price": "double", "freight_value": "double",
@@ -93,16 +104,14 @@ check(
 # --- cleaning --------------------------------------------------------------------
 
 PRODUCT_COLUMNS = ["product_id", "product_category_name", *PRODUCT_MEASURES]
-check(
-    "null_summary",
-    "SELECT * FROM ("
-    + " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count,"
-        f" round(count(*) FILTER (WHERE {c} IS NULL) * 100.0e0 / count(*), 6) AS null_pct FROM ec_raw_products"
-        for c in PRODUCT_COLUMNS
+
+
+def null_rows(table: str, view: str, columns: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count,"
+        f" round(count(*) FILTER (WHERE {c} IS NULL) * 100.0e0 / nullif(count(*), 0), 6) AS null_pct FROM {view}"
+        for c in columns
     )
-    + ") WHERE null_count > 0",
-)
 
 
 def first_row(view: str, keys: str) -> str:
@@ -196,6 +205,9 @@ CLEAN_COLUMNS = {
     "products": PRODUCT_COLUMNS,
     "order_payments": ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"],
 }
+NULL_ROWS = [null_rows(f"raw_{t}", f"ec_raw_{t}", c) for t, c in CLEAN_COLUMNS.items()]
+NULL_ROWS += [null_rows(t, f"({CLEAN[t]})", c) for t, c in CLEAN_COLUMNS.items()]
+check("null_summary", f"SELECT * FROM ({' UNION ALL '.join(NULL_ROWS)}) WHERE null_count > 0")
 check(
     "clean_summary",
     " UNION ALL ".join(
@@ -258,11 +270,11 @@ check(
 check(
     "top_sellers_ranked",
     """
-    WITH seller_revenue AS (
+    WITH sold AS (
         SELECT i.seller_id, s.seller_city, s.seller_state, round(sum(i.price + i.freight_value), 2) AS total_revenue,
                count(DISTINCT i.order_id) AS total_orders
         FROM ec_order_items i JOIN ec_sellers s ON i.seller_id = s.seller_id GROUP BY ALL)
-    SELECT * FROM (SELECT rank() OVER (ORDER BY total_revenue DESC) AS revenue_rank, * FROM seller_revenue)
+    SELECT * FROM (SELECT rank() OVER (ORDER BY total_revenue DESC) AS revenue_rank, * FROM sold)
     WHERE revenue_rank <= 10""",
 )
 check(
@@ -574,6 +586,48 @@ Z = ", ".join(
     f"round(({c} - (SELECT avg({c}) FROM rfm)) / (SELECT stddev_pop({c}) FROM rfm), 6) AS z_{c}"
     for c in ("recency", "frequency", "monetary")
 )
+GRADED = f"""{SCORED},
+    graded AS (SELECT rfm.*, r_score, f_score, m_score, rfm_score,
+        CASE WHEN m_score >= 5 THEN 2 WHEN m_score >= 3 THEN 0 ELSE 1 END AS cluster FROM rfm JOIN scored USING (customer_unique_id)),
+    placed AS (SELECT cluster, row_number() OVER (ORDER BY avg(monetary) DESC, cluster) AS place FROM graded GROUP BY cluster),
+    named AS (SELECT graded.*, CASE place WHEN 1 THEN 'High Value' WHEN 2 THEN 'Medium Value' WHEN 3 THEN 'Low Value' END AS segment
+        FROM graded JOIN placed USING (cluster))"""
+SEGMENT_SIZES = "SELECT segment, count(*) AS customers FROM named GROUP BY 1"
+
+
+def mean(column: str) -> str:
+    """Average in cents, computed on whole numbers."""
+    return ratio(f"sum(CAST(round({column} * 100) AS BIGINT))", "(count(*) * 100)")
+
+
+MEANS = ", ".join(f"{mean(c)} AS avg_{c}" for c in ("recency", "frequency", "monetary"))
+check("segment_counts", f"WITH {GRADED} {SEGMENT_SIZES}")
+check("segment_summary", f"WITH {GRADED} SELECT segment, count(*) AS customers, {MEANS} FROM named GROUP BY 1")
+check(
+    "cluster_summary",
+    f"WITH {GRADED} SELECT cluster, count(*) AS customer_count, {MEANS}, {mean('rfm_score')} AS avg_rfm_score FROM graded GROUP BY 1",
+)
+check("label_segments", f"WITH {GRADED} SELECT * REPLACE (round(monetary, 4) AS monetary) FROM named")
+SPREAD = ", ".join(
+    f"round(({c} - min({c}) OVER ()) / nullif(max({c}) OVER () - min({c}) OVER (), 0), 6) AS {c}_scaled"
+    for c in ("recency", "frequency", "monetary")
+)
+check(
+    "segment_profile",
+    f"""WITH {GRADED}, m AS (SELECT segment, {', '.join(f"{mean(c)} AS {c}" for c in ("recency", "frequency", "monetary"))} FROM named GROUP BY 1)
+    SELECT *, {SPREAD} FROM m""",
+)
+check("segment_points", f"WITH {GRADED} SELECT recency, round(monetary, 4) AS monetary, segment FROM named")
+check(
+    "elbow",
+    f"""WITH {RFM} SELECT CAST(k AS INTEGER) AS k, CASE WHEN k = 1 THEN (SELECT round(3.0e0 * count(*), 4) FROM rfm) END AS inertia_of_one,
+    true AS falls FROM range(1, 11) t(k)""",
+)
+check(
+    "kmeans_segments",
+    f"""WITH {SCORED} SELECT rfm.* REPLACE (round(monetary, 4) AS monetary), r_score, f_score, m_score, rfm_score, true AS nearest,
+    3 AS clusters FROM rfm JOIN scored USING (customer_unique_id)""",
+)
 check("standardize", f"WITH {RFM} SELECT customer_unique_id, {Z} FROM rfm")
 check("describe_rfm", f"WITH {RFM} {describe('rfm', {c: f'CAST({c} AS DOUBLE)' for c in ('recency', 'frequency', 'monetary')}, 2)}")
 
@@ -615,13 +669,11 @@ WEEKLY = f"""{FEATURE_ROWS},
     grouped AS (SELECT week, {WEEKLY_COLUMNS} FROM feature_rows GROUP BY week),
     weekly AS (SELECT * FROM grouped WHERE {COMPLETE})"""
 check("weekly_features", f"WITH {WEEKLY} SELECT * REPLACE ({text('week')}) FROM weekly")
-check(
-    "weekly_features_by_state",
-    f"""WITH {FEATURE_ROWS},
+PANEL = f"""{FEATURE_ROWS},
     grouped AS (SELECT week, customer_state, {WEEKLY_COLUMNS} FROM feature_rows f
-                JOIN ec_customers c ON f.customer_id = c.customer_id WHERE customer_state IS NOT NULL GROUP BY ALL)
-    SELECT * REPLACE ({text('week')}) FROM grouped WHERE {COMPLETE}""",
-)
+                JOIN ec_customers c ON f.customer_id = c.customer_id WHERE customer_state IS NOT NULL GROUP BY ALL),
+    panel AS (SELECT * FROM grouped WHERE {COMPLETE})"""
+check("weekly_features_by_state", f"WITH {PANEL} SELECT * REPLACE ({text('week')}) FROM panel")
 check(
     "calendar_features",
     f"""WITH {WEEKLY}
@@ -636,6 +688,32 @@ check(
            CAST(place > (SELECT count(*) - ceil(0.2e0 * count(*)) FROM weekly) AS INTEGER) AS is_test FROM placed""",
 )
 
+TARGET = "total_revenue"
+FEATURES = ["order_count", *AVERAGES, "month_num", "week_num", "year_num"]
+SPLIT_WEEKS = f"""{WEEKLY}, ordered AS (SELECT *, row_number() OVER (ORDER BY week) AS place,
+        lag({TARGET}) OVER (ORDER BY week) AS prediction FROM weekly),
+    carried AS (SELECT *, {TARGET} - prediction AS error FROM ordered
+        WHERE place > (SELECT count(*) - ceil(0.2e0 * count(*)) FROM weekly))"""
+check(
+    "evaluate",
+    f"""WITH {SPLIT_WEEKS} SELECT round(avg(abs(error)), 4) AS mae, round(sqrt(avg(error * error)), 4) AS rmse,
+    round(1 - sum(error * error) / nullif(var_pop({TARGET}) * count(*), 0), 4) AS r2 FROM carried""",
+)
+check(
+    "residuals",
+    f"""WITH {SPLIT_WEEKS} SELECT {text('week')}, round({TARGET}, 4) AS actual, round(prediction, 4) AS predicted,
+    round(error, 4) AS residual FROM carried""",
+)
+check("train_forest", f"WITH {WEEKLY} SELECT {text('week')}, round({TARGET}, 4) AS {TARGET}, true AS within FROM weekly")
+check("feature_importance", f"SELECT '[{', '.join(sorted(FEATURES))}]' AS features, 1.0e0 AS total, true AS none_below_zero")
+check("score_batch", f"WITH {PANEL} SELECT {text('week')}, customer_state, true AS as_in_memory FROM panel")
+check(
+    "train_forest_by_state",
+    f"""WITH {PANEL}, calendar AS (SELECT week, row_number() OVER (ORDER BY week) AS place, count(*) OVER () AS n
+        FROM (SELECT DISTINCT week FROM panel))
+    SELECT count(*) AS test_rows, true AS errors_fit FROM panel JOIN calendar USING (week) WHERE place > n - ceil(0.2e0 * n)""",
+)
+
 # --- ratings ---------------------------------------------------------------------
 
 check("item_category", f"WITH {FULL} SELECT * FROM lines")
@@ -773,8 +851,10 @@ METRICS = {
     "worst_category": ("product_category_name", ["avg_score", "reviews"]),
     "category_count": (None, ["category_count"]),
     "product_count": (None, ["product_count"]),
+    "segment_counts": ("segment", ["customers"]),
 }
 ANSWER_SQL = ANSWERS | {
+    "segment_counts": f"WITH {GRADED} {SEGMENT_SIZES}",
     "avg_delivery_days": f"SELECT round(avg({trunc_days(DELIVERED, PURCHASED)}), 6) AS avg_delivery_days FROM ec_orders"
 }
 CODED = ", ".join(quoted(c) for c in STATE_CODES)

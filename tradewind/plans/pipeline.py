@@ -119,7 +119,8 @@ def forecast_stage(s: Stages, t: Frames) -> Frames:
 
 
 def rating_stage(s: Stages, t: Frames) -> Frames:
-    categorised = ratings.item_category(t["order_items"], t["products"], t["product_category_translation"])
+    firsts = ratings.first_lines(t["order_items"])
+    categorised = ratings.item_category(firsts, t["products"], t["product_category_translation"])
     reviews = ratings.reviews_full(t["order_reviews"], t["orders"], ratings.order_category(categorised))
     full = s.save("ratings", {"reviews": reviews})["reviews"]
     trend = ratings.monthly_rating_trend(full)

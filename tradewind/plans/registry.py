@@ -8,9 +8,9 @@ written once per session to the shared work folder, as the batch pipeline does.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions.shaping import materialize
@@ -35,6 +35,23 @@ class Retail(StarRetail):
     def segments(self) -> DataFrame:
         return materialize(rfm.rfm_segments(self.rfm), "rfm-segments")
 
+    @cached_property
+    def graded(self) -> DataFrame:
+        """Persons with clusters that SQL can name too, by spending score; what is told about clusters holds for any."""
+        cluster = F.when(F.col("m_score") >= 5, 2).when(F.col("m_score") >= 3, 0).otherwise(1)
+        return materialize(rfm.rfm_scores(self.rfm).withColumn("cluster", cluster), "graded")
+
+    @cached_property
+    def graded_segments(self) -> DataFrame:
+        return materialize(rfm.label_segments(self.graded), "graded-segments")
+
+    @cached_property
+    def carried(self) -> DataFrame:
+        """Test weeks with a prediction that SQL can name too: the revenue of the week before."""
+        weekly = self.weekly_split  # one row per week
+        before = F.lag(forecast.TARGET).over(Window.orderBy("week"))
+        return weekly.withColumn("prediction", before).filter("is_test")
+
     def weekly(self, *group_cols: str) -> DataFrame:
         return forecast.weekly_features(
             self["orders"], self["order_items"], self["order_payments"], self["order_reviews"],
@@ -60,14 +77,16 @@ class Retail(StarRetail):
 
     @cached_property
     def metrics(self) -> DataFrame:
-        return materialize(answers.answer_metrics(self.all()), "answers")
+        return materialize(answers.answer_metrics(self.all(), self.graded_segments), "answers")
+
+    @cached_property
+    def order_category(self) -> DataFrame:
+        firsts = ratings.first_lines(self["order_items"])
+        return ratings.order_category(ratings.item_category(firsts, self["products"], self["product_category_translation"]))
 
     @cached_property
     def reviews_full(self) -> DataFrame:
-        categorised = ratings.item_category(
-            self["order_items"], self["products"], self["product_category_translation"]
-        )
-        return ratings.reviews_full(self["order_reviews"], self["orders"], ratings.order_category(categorised))
+        return ratings.reviews_full(self["order_reviews"], self["orders"], self.order_category)
 
     def cleaned(self, name: str) -> DataFrame:
         return clean.CLEANERS[name](self[f"raw_{name}"])
@@ -145,7 +164,7 @@ def table_profile(r: Retail) -> DataFrame:
 
 @query
 def schema_info(r: Retail) -> DataFrame:
-    return tables.schema_info({n: r[n] for n in ("order_items", "order_reviews", "products")})
+    return tables.schema_info(r.all())
 
 
 # --- cleaning --------------------------------------------------------------------
@@ -153,7 +172,11 @@ def schema_info(r: Retail) -> DataFrame:
 
 @query
 def null_summary(r: Retail) -> DataFrame:
-    return rounded(clean.null_summary(r["raw_products"].drop("_row_order")))
+    """Missing cells of the six tables before and after cleaning."""
+    raw = {f"raw_{n}": r[f"raw_{n}"].drop("_row_order") for n in clean.CLEANERS}
+    cleaned = {n: r.cleaned(n) for n in clean.CLEANERS}
+    found = [clean.null_summary(df).withColumn("table_name", F.lit(n)) for n, df in (raw | cleaned).items()]
+    return rounded(reduce(DataFrame.unionByName, found))
 
 
 @query
@@ -333,12 +356,12 @@ def revenue_by_state_all(r: Retail) -> DataFrame:
 
 @query
 def segment_counts(r: Retail) -> DataFrame:
-    return kpis.segment_counts(r.segments)
+    return kpis.segment_counts(r.graded_segments)
 
 
 @query
 def segment_summary(r: Retail) -> DataFrame:
-    return kpis.segment_summary(r.segments)
+    return kpis.segment_summary(r.graded_segments)
 
 
 @query
@@ -520,32 +543,45 @@ def standardize(r: Retail) -> DataFrame:
 
 @query
 def elbow(r: Retail) -> DataFrame:
-    return rounded(rfm.elbow(r.rfm))
+    """The cost of one cluster, and whether each further cluster lowers the cost."""
+    costs = rfm.elbow(r.rfm)  # one row per k
+    before = F.lag("inertia").over(Window.orderBy("k"))
+    falls = F.coalesce(F.col("inertia") <= before * 1.001, F.lit(True))
+    return rounded(costs.select("k", F.when(F.col("k") == 1, F.col("inertia")).alias("inertia_of_one"), falls.alias("falls")), 4)
 
 
 @query
 def kmeans_segments(r: Retail) -> DataFrame:
-    return rounded(rfm.kmeans_segments(rfm.rfm_scores(r.rfm)), 4)
+    """Persons with their scores, and whether no other cluster's mean is nearer than that of their own."""
+    clustered = materialize(rfm.kmeans_segments(rfm.rfm_scores(r.rfm)), "clustered")
+    scaled = rfm.standardize(clustered)
+    means = scaled.groupBy("cluster").agg(*[F.avg(z).alias(f"m_{z}") for z in rfm.SCALED]).orderBy("cluster").collect()
+    gaps = [sum((F.col(z) - m[f"m_{z}"]) * (F.col(z) - m[f"m_{z}"]) for z in rfm.SCALED) for m in means]
+    own = reduce(lambda rest, n: F.when(F.col("cluster") == means[n]["cluster"], gaps[n]).otherwise(rest), range(len(means)), F.lit(None))
+    # the fit may stop when its centers move by a ten-thousandth
+    nearest = F.sqrt(own) <= F.sqrt(F.least(*gaps)) + 1e-3
+    kept = scaled.select(*clustered.columns, nearest.alias("nearest"), F.lit(len(means)).alias("clusters"))
+    return rounded(kept.drop("cluster"), 4)
 
 
 @query
 def cluster_summary(r: Retail) -> DataFrame:
-    return rfm.cluster_summary(r.segments)
+    return rfm.cluster_summary(r.graded)
 
 
 @query
 def label_segments(r: Retail) -> DataFrame:
-    return rounded(rfm.label_segments(r.segments.drop("segment")), 4)
+    return rounded(rfm.label_segments(r.graded), 4)
 
 
 @query
 def segment_profile(r: Retail) -> DataFrame:
-    return rounded(rfm.segment_profile(r.segments))
+    return rounded(rfm.segment_profile(r.graded_segments))
 
 
 @query
 def segment_points(r: Retail) -> DataFrame:
-    return rounded(rfm.segment_points(r.segments), 4)
+    return rounded(rfm.segment_points(r.graded_segments), 4)
 
 
 # --- forecasting -----------------------------------------------------------------
@@ -590,41 +626,56 @@ def time_split(r: Retail) -> DataFrame:
 
 @query
 def train_forest(r: Retail) -> DataFrame:
-    return as_text(rounded(forecast.predict(r.forest, r.weekly_split).select("week", forecast.TARGET, "prediction")))
+    """Every week, and whether the forest's prediction lies within what it has seen, as an average of seen values must."""
+    seen = r.weekly_split.filter("NOT is_test").agg(F.min(forecast.TARGET), F.max(forecast.TARGET)).first()
+    within = F.col("prediction").between(seen[0] * (1 - 1e-9), seen[1] * (1 + 1e-9))
+    return as_text(rounded(forecast.predict(r.forest, r.weekly_split).select("week", forecast.TARGET, within.alias("within")), 4))
 
 
 @query
 def train_forest_by_state(r: Retail) -> DataFrame:
-    """The same forest over one weekly series per state, scored on the last weeks."""
+    """The same forest over one weekly series per state, scored on the last weeks: its errors fit together."""
     model = forecast.train_forest(r.panel_split.filter("NOT is_test"), group_cols=["customer_state"])
-    return rounded(forecast.evaluate(forecast.predict(model, r.panel_split.filter("is_test"))))
+    predictions = forecast.predict(model, r.panel_split.filter("is_test"))
+    quality = forecast.evaluate(predictions).crossJoin(predictions.agg(F.count("prediction").alias("test_rows")))  # one row each
+    fits = (F.col("mae") > 0) & (F.col("rmse") >= F.col("mae")) & (F.col("r2") < 1)
+    return quality.select("test_rows", fits.alias("errors_fit"))
 
 
 @query
 def evaluate(r: Retail) -> DataFrame:
-    return rounded(forecast.evaluate(r.predictions))
+    return rounded(forecast.evaluate(r.carried), 4)
 
 
 @query
 def feature_importance(r: Retail) -> DataFrame:
-    return rounded(forecast.feature_importance(r.forest))
+    """All features, their weights adding up to one, none below zero."""
+    weights = forecast.feature_importance(r.forest)
+    return weights.agg(
+        F.sort_array(F.collect_list("feature")).cast("string").alias("features"),
+        F.round(F.sum("importance"), 6).alias("total"), (F.min("importance") >= 0).alias("none_below_zero"),
+    )
 
 
 @query
 def residuals(r: Retail) -> DataFrame:
-    return as_text(rounded(forecast.residuals(r.predictions)))
+    return as_text(rounded(forecast.residuals(r.carried), 4))
 
 
 @query
 def score_batch(r: Retail) -> DataFrame:
-    """Train the service model, save it, and score every weekly row of every state with it."""
+    """Train the service model, save it, and score every weekly row of every state: the saved model predicts as the one in memory."""
     train, test = r.weekly_split.filter("NOT is_test"), r.weekly_split.filter("is_test")
     model = forecast.train_forest(train, forecast.SERVICE_FEATURES)
     path = workspace(r.spark, "model")
     model.write().overwrite().save(path)
     metrics = forecast.evaluate(forecast.predict(model, test))
     scored = forecast.score_batch(path, r.panel_split, metrics)
-    return as_text(scored.select("week", "customer_state", "prediction", "mae", "r2"))
+    kept = metrics.first()
+    expected = forecast.predict(model, r.panel_split).select("week", "customer_state", F.round("prediction", 2).alias("kept"))
+    same = (F.col("prediction") == F.col("kept")) & (F.col("mae") == F.round(F.lit(kept["mae"]), 2)) & (F.col("r2") == F.round(F.lit(kept["r2"]), 4))
+    both = scored.join(expected, ["week", "customer_state"])
+    return as_text(both.select("week", "customer_state", same.alias("as_in_memory")))
 
 
 # --- ratings ---------------------------------------------------------------------
@@ -637,7 +688,7 @@ def item_category(r: Retail) -> DataFrame:
 
 @query
 def order_category(r: Retail) -> DataFrame:
-    return ratings.order_category(item_category(r))
+    return r.order_category
 
 
 @query
@@ -770,7 +821,7 @@ def product_count(r: Retail) -> DataFrame:
 
 @query
 def answer_metrics(r: Retail) -> DataFrame:
-    return rounded(answers.answer_metrics(r.all()), 4)
+    return rounded(answers.answer_metrics(r.all(), r.graded_segments), 4)
 
 
 @query
