@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradewind.functions import quantiles
-from tradewind.functions.quantiles import quantile_values
+from tradewind.functions.quantiles import grouped_quantiles, quantile_values
 
 PROBS = [0.0, 0.2, 0.25, 0.5, 0.75, 0.8, 1.0]
 
@@ -47,3 +47,26 @@ def test_nulls_and_empty_columns(spark):
     df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None)], "a double, b double")
     assert quantile_values(df, {"a": [0.5], "b": [0.5]}) == {"a": [2.0], "b": [None]}
     assert quantile_values(df.limit(0), {"a": [0.25, 0.75]}) == {"a": [None, None]}
+
+
+@pytest.mark.parametrize("cells", [4, 1024])
+def test_groups_match_pandas(spark, cells):
+    """Many groups of all sizes, one with most of the rows and one value in a third of them; ranges of their own."""
+    rows = [(f"g{k % 7}", float((k * 7919) % 97) * 10.0 ** (k % 7) + k / 1000) for k in range(400)]
+    rows += [("hot", 5.0 if k % 3 == 0 else float((k * 31) % 1009)) for k in range(4000)]
+    rows += [("one", 3.5), ("none", None), (None, 1.0), ("odd", float("nan")), ("odd", 2.0), ("odd", float("inf")), ("odd", float("-inf"))]
+    frame = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    found = {r["g"]: list(r["quantiles"]) for r in grouped_quantiles(frame, ["g"], "v", PROBS[:-1] + [1.0], cells).collect()}
+    plain = pd.DataFrame([r for r in rows if r[0] and r[1] is not None and abs(r[1]) < 1e300], columns=["g", "v"])
+    expected = plain[plain.g != "odd"].groupby("g").v.quantile(PROBS).unstack()
+    assert set(found) == set(expected.index) | {"odd"}
+    for g, row in expected.iterrows():
+        assert found[g] == pytest.approx(row.tolist(), rel=1e-9)
+    assert found["odd"][3] == 2.0 and found["odd"][0] == float("-inf")
+
+
+def test_groups_of_several_keys_and_no_rows(spark):
+    frame = spark.createDataFrame([(1, "a", 1.0), (1, "a", 2.0), (1, "b", 7.0), (2, None, 9.0)], "x int, y string, v double")
+    found = grouped_quantiles(frame, ["x", "y"], "v", [0.5]).collect()
+    assert sorted((r.x, r.y, r.quantiles[0]) for r in found) == [(1, "a", 1.5), (1, "b", 7.0)]
+    assert grouped_quantiles(frame.limit(0), ["x"], "v", [0.5]).collect() == []

@@ -15,9 +15,11 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind.functions.shaping import materialize
+
 CELLS = 1024
 
 
@@ -112,3 +114,56 @@ def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], cells:
     found = quantile_values(df, wanted, cells)
     rows = [(c, float(p), v) for c, probs in wanted.items() for p, v in zip(probs, found[c], strict=True) if v is not None]
     return df.sparkSession.createDataFrame(rows, "column string, probability double, value double")
+
+
+def _cell_between(value: Column, low: Column, high: Column, cells: int) -> Column:
+    """Number of the cell of a value in a range given by columns; the two bounds have cells of their own."""
+    width = high / 2 - low / 2
+    share = (value / 2 - low / 2) / width
+    inner = F.least(F.greatest(F.floor(share * (cells - 2)) + 1, F.lit(1).cast("long")), F.lit(cells - 2).cast("long"))
+    usable = (width > 0) & (width < float("inf"))
+    return F.when(value == low, 0).when(value == high, cells - 1).when(usable, inner).otherwise(1).cast("int")
+
+
+def grouped_quantiles(
+    df: DataFrame, keys: Sequence[str], column: str, probabilities: Sequence[float], cells: int = CELLS
+) -> DataFrame:
+    """Linearly interpolated quantiles per group: the keys and an array ``quantiles`` in the order of ``probabilities``.
+
+    The ranges of all groups are a table that each round joins to the values and replaces by a narrower one, so groups
+    may be many, and one group may hold most of the rows: a task sends at most one row per group, range and cell,
+    and adaptive execution splits a hot group's join.  NULL and NaN are skipped; rows with a NULL key
+    and groups without values have no result.
+    """
+    keys = list(keys)
+    v = F.col(column).cast("double")
+    values = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v")).dropna(subset=keys)
+    ends = values.groupBy(*keys).agg(F.count("_v").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    ends = materialize(ends, "quantile-ends")
+    last = F.col("_n") - 1
+    lower = {p: F.floor(F.lit(float(p)) * last) for p in probabilities}
+    wanted = F.array_distinct(F.array(*[F.least(k + step, last) for k in lower.values() for step in (0, 1)]))
+    none = F.lit(0).cast("long")
+    state = materialize(ends.select(*keys, F.explode(wanted).alias("_rank"), "_low", "_high", none.alias("_below")), "quantile-ranges")
+    place = Window.partitionBy(*keys, "_rank").orderBy("_cell")  # at most ``cells`` rows
+    while not (open_ := state.filter("_low < _high")).isEmpty():
+        ranges = open_.select(*keys, "_low", "_high").distinct()
+        inside = values.join(ranges, keys).filter("_v BETWEEN _low AND _high")
+        cell = _cell_between(F.col("_v"), F.col("_low"), F.col("_high"), cells)
+        counted = inside.groupBy(*keys, "_low", "_high", cell.alias("_cell")).agg(
+            F.count("_v").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
+        )
+        found = open_.join(counted, [*keys, "_low", "_high"]).withColumn("_before", F.col("_below") + F.sum("_n").over(place) - F.col("_n"))
+        found = found.filter("_rank >= _before AND _rank < _before + _n")
+        narrower = found.select(*keys, "_rank", F.col("_least").alias("_low"), F.col("_most").alias("_high"), F.col("_before").alias("_below"))
+        state = materialize(state.filter("_low = _high").unionByName(narrower), "quantile-ranges")
+    solved = state.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_low"))).alias("_at"))
+    at = F.col("_at")
+
+    def between(p: float, k: Column) -> Column:
+        low, high = at[k], at[F.least(k + 1, last)]
+        part = F.lit(float(p)) * last - k
+        return F.when((low == high) | (part == 0), low).otherwise(low + (high - low) * part)
+
+    quantiles = F.array(*[between(p, k) for p, k in lower.items()])
+    return ends.join(solved, keys).select(*keys, quantiles.alias("quantiles"))

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions.days import epoch_seconds
-from tradewind.functions.quantiles import exact_quantiles, quantile_values
-from tradewind.functions.shaping import unpivot_row
+from tradewind.functions.quantiles import exact_quantiles, grouped_quantiles, quantile_values
+from tradewind.functions.shaping import materialize, unpivot_row
 from tradewind.operators.clean import FENCE_WIDTH
 from tradewind.operators.kpis import order_sums
 
@@ -233,30 +233,34 @@ def box_stats(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def score_box_by_year(reviews_full: DataFrame) -> DataFrame:
-    """Box statistics of review scores per purchase year.
+def box_stats_by(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """Box statistics of a column per group; groups without values or with a NULL key have none.
 
-    Works on the handful of distinct scores per year with their counts.
+    Reads ``df`` once per round of the quantiles, so pass a plain scan or a written table.
     """
-    counted = (
-        reviews_full.filter("review_score IS NOT NULL AND order_purchase_timestamp IS NOT NULL")
-        .groupBy(F.year("order_purchase_timestamp").alias("year"), F.col("review_score").cast("double").alias("score"))
-        .agg(F.count("*").alias("n"))
-    )
-    quartiles = counted.groupBy("year").agg(F.percentile("score", [0.25, 0.5, 0.75], F.col("n")).alias("q"))
-    q1, q3 = F.col("q")[0], F.col("q")[2]
-    reach = (q3 - q1) * FENCE_WIDTH
-    inside = F.col("score").between(q1 - reach, q3 + reach)
-    return (
-        counted.join(quartiles, "year")
-        .groupBy("year", q1.alias("q1"), F.col("q")[1].alias("median"), q3.alias("q3"))
-        .agg(
-            F.min(F.when(inside, F.col("score"))).alias("whisker_low"),
-            F.max(F.when(inside, F.col("score"))).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
-        )
-        .orderBy("year")
-    )
+    quartiles = grouped_quantiles(df, keys, column, [0.25, 0.5, 0.75])
+    q1, median, q3 = (F.col("quantiles")[k] for k in range(3))
+    reach, v = (q3 - q1) * FENCE_WIDTH, F.col(column).cast("double")
+    inside = v.between(q1 - reach, q3 + reach)
+    per_group = df.select(*keys, column).join(quartiles, list(keys)).groupBy(*keys, q1.alias("q1"), median.alias("median"), q3.alias("q3"))
+    return per_group.agg(
+        F.min(F.when(inside, v)).alias("whisker_low"),
+        F.max(F.when(inside, v)).alias("whisker_high"),
+        F.count_if(~inside & ~F.isnan(v)).alias("outliers"),
+    ).orderBy(*keys)
+
+
+def score_box_by_year(reviews_full: DataFrame) -> DataFrame:
+    """Box statistics of review scores per purchase year."""
+    scores = reviews_full.select(F.year("order_purchase_timestamp").alias("year"), "review_score")
+    return box_stats_by(materialize(scores, "scores-by-year"), ["year"], "review_score")
+
+
+def price_box_by_state(orders: DataFrame, customers: DataFrame, items: DataFrame) -> DataFrame:
+    """Box statistics of item prices per customer state."""
+    placed = orders.select("order_id", "customer_id").join(customers.select("customer_id", "customer_state"), "customer_id")
+    prices = items.select("order_id", "price").join(placed, "order_id").select("customer_state", "price")
+    return box_stats_by(materialize(prices, "prices-by-state"), ["customer_state"], "price")
 
 
 def lag_pairs(monthly: DataFrame) -> DataFrame:

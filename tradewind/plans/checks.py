@@ -511,6 +511,20 @@ for query_name, column in (("box_stats", "freight_value"), ("price_box_stats", "
     FROM ec_order_items, f, m""",
     )
 
+check(
+    "price_box_by_state",
+    f"""
+    WITH x AS (SELECT customer_state, price AS v FROM ec_order_items i JOIN ec_orders o ON i.order_id = o.order_id
+               JOIN ec_customers c ON o.customer_id = c.customer_id WHERE customer_state IS NOT NULL AND price IS NOT NULL),
+    q AS (SELECT customer_state, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3,
+                 q1 - 1.5e0 * (q3 - q1) AS low, q3 + 1.5e0 * (q3 - q1) AS high FROM x GROUP BY 1)
+    SELECT customer_state, {settled('q1', 6)} AS q1, {settled('median', 6)} AS median, {settled('q3', 6)} AS q3,
+           {settled('(min(v) FILTER (WHERE v BETWEEN low AND high))', 6)} AS whisker_low,
+           {settled('(max(v) FILTER (WHERE v BETWEEN low AND high))', 6)} AS whisker_high,
+           count(*) FILTER (WHERE v NOT BETWEEN low AND high) AS outliers
+    FROM x JOIN q USING (customer_state) GROUP BY customer_state, q.q1, q.median, q.q3""",
+)
+
 FULL = f"""lines AS (
         SELECT i.order_id, i.order_item_id, i.product_id,
                coalesce(t.product_category_name_english, p.product_category_name, 'unknown') AS category

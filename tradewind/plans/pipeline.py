@@ -135,6 +135,7 @@ def rating_stage(s: Stages, t: Frames) -> Frames:
             "by_year": ratings.score_by_year_pivot(full),
             "by_month": ratings.score_by_month_pivot(full),
             "box_by_year": explore.score_box_by_year(full),
+            "price_box_by_state": explore.price_box_by_state(t["orders"], t["customers"], t["order_items"]),
         },
     )
 

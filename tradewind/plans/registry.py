@@ -482,6 +482,11 @@ def price_box_stats(r: Retail) -> DataFrame:
     return settled(explore.box_stats(r["order_items"], "price"), 6)
 
 
+@query
+def price_box_by_state(r: Retail) -> DataFrame:
+    return settled(explore.price_box_by_state(r["orders"], r["customers"], r["order_items"]), 6)
+
+
 @query
 def score_box_by_year(r: Retail) -> DataFrame:
     return rounded(explore.score_box_by_year(r.reviews_full))
