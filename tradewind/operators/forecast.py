@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -30,6 +31,7 @@ TEST_SHARE = 0.2
 SEED = 42
 # Enough bins that a split point of a weekly series is found almost exactly.
 MAX_BINS = 256
+ROWS_PER_PARTITION = 100_000
 
 
 def order_delivery_features(orders: DataFrame) -> DataFrame:
@@ -164,8 +166,8 @@ def train_forest(
 ) -> PipelineModel:
     """A random forest that considers every feature at each split.
 
-    Rows are laid out by week (and group) so that the bootstrap does not depend on the
-    input files.
+    Rows are laid out by week (and group) in a number of partitions that follows from their number, so that the
+    bootstrap depends neither on the input files nor on the shuffle width of the session.
     """
     forest = RandomForestRegressor(
         labelCol=TARGET,
@@ -179,7 +181,8 @@ def train_forest(
     )
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     keys = ["week", *group_cols]
-    laid_out = train.select(*keys, *features, TARGET).repartition(*keys).sortWithinPartitions(*keys)
+    partitions = max(1, math.ceil(train.count() / ROWS_PER_PARTITION))
+    laid_out = train.select(*keys, *features, TARGET).repartition(partitions, *keys).sortWithinPartitions(*keys)
     return Pipeline(stages=[assembler, forest]).fit(laid_out)
 
 

@@ -880,15 +880,26 @@ def pipeline_report(r: Retail) -> DataFrame:
     return run_pipeline(r.spark, raw, workspace(r.spark, "pipeline"))
 
 
-_RETAILS: dict[tuple[str, str], Retail] = {}
+_RETAILS: dict[str, tuple[tuple, Retail]] = {}
+
+
+def stamp(spark: SparkSession, folder: str) -> tuple:
+    """Application, and names, sizes and times of the files: tables derived from other files are built anew."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        file = files.next()
+        found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return spark.sparkContext.applicationId, tuple(sorted(found))
 
 
 def retail(spark: SparkSession, folder: str) -> Retail:
-    """The retail tables of a folder; derived tables live as long as the session."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _RETAILS:
-        _RETAILS[key] = Retail(configure(spark), folder)
-    return _RETAILS[key]
+    """The retail tables of a folder; derived tables live as long as the session and the files they come from."""
+    known = stamp(spark, folder)
+    if folder not in _RETAILS or _RETAILS[folder][0] != known:
+        _RETAILS[folder] = known, Retail(configure(spark), folder)
+    return _RETAILS[folder][1]
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tradewind.functions.days import floor_days
+from tradewind.sources.versions import current, publish
 
 KPI_FEED = "is_order boolean, price double, review_score bigint, delivery_days bigint"
 
@@ -146,15 +147,14 @@ def order_volume(spark: SparkSession, path: str, window: str = "7 days") -> Data
 
 
 def keep_snapshot(result: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what has arrived; every batch writes the full result to a folder of its own.
+    """Process what has arrived; every batch publishes the full result as a new version and drops old ones.
 
-    Readers use ``snapshot``.  A batch that is run again replaces its own folder only, so
-    the last complete one is there at any time.
+    Readers use ``snapshot``.  A batch that is run again replaces its own version only, so
+    a complete one is there at any time.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        # a small table: one file, which appears at once
-        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        publish(batch.coalesce(1), path, number)  # a small table: one file
 
     return (
         result.writeStream.outputMode("complete")
@@ -167,6 +167,4 @@ def keep_snapshot(result: DataFrame, path: str, checkpoint: str) -> StreamingQue
 
 def snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete result of ``keep_snapshot``."""
-    results = spark.read.parquet(path)
-    newest = results.agg(F.max("batch")).first()[0]
-    return results.filter(F.col("batch") == newest).drop("batch")
+    return current(spark, path)
