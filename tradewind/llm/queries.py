@@ -11,6 +11,7 @@ from tradewind.llm import (
     importance, language_id, lexical_search, mixing, near_duplicates, packing, personal_data, quality_rules, source_divergence,
     substring, suffix_dedup, topk_search, toxicity,
 )
+from tradewind.session import input_files, widen
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,7 +23,10 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table of the folder; the session's shuffles are wide enough for it from now on."""
+    path = f"{folder}/{name}.parquet"
+    widen(spark, sum(size for _, size, _ in input_files(spark, path)))
+    return spark.read.parquet(path)
 
 
 def vocabulary() -> str:
