@@ -42,7 +42,7 @@ def test_costs_are_near_those_of_the_library(r):
     """Batched fits cost at most one in a hundred more than the best of as many separate ones."""
     scaled = rfm.standardize(r.rfm)
     vectors = VectorAssembler(inputCols=rfm.SCALED, outputCol="features").transform(scaled).persist()
-    ours = rfm.fit_kmeans(scaled, [2, 3, 5])
+    ours = rfm.fit_kmeans(scaled, [2, 3, 5], cost_tolerance=1e-5)
     for k, (_, cost) in ours.items():
         theirs = min(KMeans(k=k, seed=n, maxIter=100).fit(vectors).summary.trainingCost for n in range(4))
         assert cost <= 1.01 * theirs

@@ -4,6 +4,7 @@ import pytest
 
 from tradewind.operators import answers, explore, insights, kpis, rfm
 from tradewind.plans import registry
+from tradewind import session
 from tradewind.plans.registry import QUERIES, retail
 
 # Only these run eager jobs (models, streams, written tables); the rest are plain plans.
@@ -109,3 +110,17 @@ def test_a_hot_key_gives_the_same_answer(spark):
     for category, group in local.groupby("category"):
         assert rates[category]["total_orders"] == len(group)
         assert rates[category]["cancelled"] == (group.order_id % 2 == 0).sum()
+
+
+def test_shuffles_widen_with_the_input_and_never_narrow(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        assert session.widen(spark, 1000).conf.get(key, None) is None
+        session.widen(spark, 10 * 2**30)
+        assert spark.conf.get(key) == "640"
+        session.widen(spark, 2**30)
+        assert spark.conf.get(key) == "640"
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)

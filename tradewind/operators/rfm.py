@@ -194,10 +194,12 @@ def lloyd_pass(points: DataFrame, centers: Starts) -> dict[tuple[int, int], tupl
 
 
 def fit_kmeans(
-    scaled: DataFrame, ks: Sequence[int], restarts: int = RESTARTS, seed: int = SEED
+    scaled: DataFrame, ks: Sequence[int], restarts: int = RESTARTS, seed: int = SEED, cost_tolerance: float = 0.0
 ) -> dict[int, tuple[np.ndarray, float]]:
     """Per k the centers and the cost of the cheapest of several k-means fits with different starts.
 
+    A fit has settled when its centers hardly move, or when a pass lowers its cost by no more than a share of ``cost_tolerance``.
+
     All fits move together: one scan of the points is one iteration for every k and restart that has not settled, so there are
     at most ``MAX_ITERATIONS`` scans.  Centers come sorted, so that equal fits have equal cluster numbers.
     """
@@ -209,7 +211,8 @@ def fit_kmeans(
             if not open_:
                 break
             for key, (centers, cost) in lloyd_pass(points, open_).items():
-                settled = np.abs(centers - open_[key]).max() <= TOLERANCE
+                before = done[key][1] if key in done else math.inf
+                settled = np.abs(centers - open_[key]).max() <= TOLERANCE or before - cost <= cost_tolerance * cost
                 done[key], open_[key] = (centers, cost), centers
                 if settled:
                     del open_[key]
@@ -230,7 +233,8 @@ def elbow(rfm: DataFrame, max_k: int = 10, restarts: int = RESTARTS) -> DataFram
         return rfm.sparkSession.createDataFrame([], "k int, inertia double")
     squares = sum(F.col(z) * F.col(z) for z in SCALED)
     costs = [(1, scaled.agg(F.sum(squares)).first()[0])]
-    costs += [(k, cost) for k, (_, cost) in sorted(fit_kmeans(scaled, range(2, max_k + 1), restarts).items())]
+    fits = fit_kmeans(scaled, range(2, max_k + 1), restarts, cost_tolerance=1e-5)
+    costs += [(k, cost) for k, (_, cost) in sorted(fits.items())]
     return rfm.sparkSession.createDataFrame(costs, "k int, inertia double")
 
 

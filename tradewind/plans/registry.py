@@ -17,7 +17,7 @@ from tradewind.functions.shaping import materialize
 from tradewind.operators import answers, clean, explore, forecast, insights, kpis, ratings, rfm
 from tradewind.plans.pipeline import run_pipeline
 from tradewind.schemas import ORDER_DATES, PRODUCT_MEASURES
-from tradewind.session import configure, workspace
+from tradewind.session import configure, input_files, widen, workspace
 from tradewind.sources import tables
 from tradewind.sources.star_views import StarRetail, over_star
 from tradewind.streaming import live
@@ -883,25 +883,21 @@ def pipeline_report(r: Retail) -> DataFrame:
 _RETAILS: dict[str, tuple[tuple, Retail]] = {}
 
 
-def stamp(spark: SparkSession, folder: str) -> tuple:
-    """Application, and names, sizes and times of the files: tables derived from other files are built anew."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
-    found = []
-    while files.hasNext():
-        file = files.next()
-        found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
-    return spark.sparkContext.applicationId, tuple(sorted(found))
-
-
 def retail(spark: SparkSession, folder: str) -> Retail:
     """The retail tables of a folder; derived tables live as long as the session and the files they come from."""
-    known = stamp(spark, folder)
+    files = input_files(spark, folder)
+    known = spark.sparkContext.applicationId, tuple(files)
     if folder not in _RETAILS or _RETAILS[folder][0] != known:
-        _RETAILS[folder] = known, Retail(configure(spark), folder)
+        widen(configure(spark), sum(size for _, size, _ in files))
+        _RETAILS[folder] = known, Retail(spark, folder)
     return _RETAILS[folder][1]
 
 
+def forget() -> None:
+    """Drop what earlier queries have derived, so that the next one builds its own."""
+    _RETAILS.clear()
+
+
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     """One registered query over a folder of star-schema tables."""
     return QUERIES[name](retail(spark, folder))

@@ -55,6 +55,30 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
     return spark
 
 
+def widen(spark: SparkSession, input_bytes: int, spread: int = 4) -> SparkSession:
+    """Raise the initial shuffle width, never lower it, to what an input of this size needs.
+
+    ``spread`` is how many bytes a job shuffles for a byte of compressed input.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    width = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = math.ceil(input_bytes * spread / TARGET_PARTITION_BYTES)
+    if wanted > width:
+        spark.conf.set(key, str(wanted))
+    return spark
+
+
+def input_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, time) of the files below a path, wherever Spark can read them."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+    found = []
+    while files.hasNext():
+        file = files.next()
+        found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return sorted(found)
+
+
 def get_session(app_name: str = "tradewind", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or reuse) a session with the runtime settings applied."""
     builder = SparkSession.builder.appName(app_name)
