@@ -474,4 +474,4 @@ def test_pipeline(spark, small):
     for r in found:
         fill[r.sequence_id] += r.length
     assert max(fill.values()) <= 2048 and len(fill) <= sum(fill.values()) / 2048 * 1.05 + 4
-    assert [f.__name__ for _, f in corpus_pipeline.STAGES[:1]] == ["quality_stage"] and len(QUERIES) == 10
+    assert [f.__name__ for _, f in corpus_pipeline.STAGES[:1]] == ["quality_stage"] and len(QUERIES) == 13

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -29,28 +30,33 @@ def distance(p, q):
     return math.sqrt(max(0.0, sum(kl) / 2))
 
 
+def quality_distances(rows):
+    """For rows (text, lang) their distances by characters and by words to the nearest language, themselves left out."""
+    table = quality_rules.class_table()
+    plain = [Counter(w for x in re.findall(r"[^\x20\x09-\x0D]+", t or "") if (w := quality_rules.plain_word(x))) for t, _ in rows]
+    classes = [quality_rules.class_counts(t or "", table) for t, _ in rows]
+    total = {lang: sum((c for c, (_, of) in zip(plain, rows, strict=True) if of == lang), Counter()) for _, lang in rows if lang}
+    common = {lang: [w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:100]] for lang, c in total.items()}
+    kinds = {lang: sum(c for c, (_, of) in zip(classes, rows, strict=True) if of == lang) for lang in total}
+    out = []
+    for words, chars, (_, own) in zip(plain, classes, rows, strict=True):
+        best = []
+        for lang in total:
+            others = total[lang] - words if lang == own else total[lang]
+            shares = [[c[w] / max(1, c.total()) for w in common[lang]] for c in (words, others)]
+            rest = kinds[lang] - chars * (lang == own)
+            best.append((distance(*[(c / max(1, c.sum())).tolist() for c in (chars, rest)]), distance(*[x + [1 - sum(x)] for x in shares])))
+        out.append(tuple(min(b[k] for b in best) for k in (0, 1)))
+    return out
+
+
 def test_quality_distances_by_brute_force(spark, words):
     """Both distances of every document against references that leave it out; all lie between 0 and 1."""
     rng = random.Random(5)
     rows = [(k, prose(rng, words[:40] if k % 2 else words[20:], 80 + k) + ". A-1", ["en", "de"][k % 2], "s") for k in range(40)]
-    found = quality_rules.quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()
-    table = quality_rules.class_table()
-    plain = [Counter(quality_rules.plain_word(w) for w in t.split()) for _, t, _, _ in rows]
-    common = {}
-    for lang in ("en", "de"):
-        total = sum((c for c, r in zip(plain, rows, strict=True) if r[2] == lang), Counter())
-        common[lang] = [w for w, _ in sorted(total.items(), key=lambda x: (-x[1], x[0]))[:100]]
-    for r in found:
-        best = []
-        for lang in ("en", "de"):
-            others = [k for k, row in enumerate(rows) if row[2] == lang and k != r.doc_id]
-            total = sum((plain[k] for k in others), Counter())
-            shares = [[c[w] / c.total() for w in common[lang]] for c in (plain[r.doc_id], total)]
-            of_words = distance(*[s + [1 - sum(s)] for s in shares])
-            classes = [quality_rules.class_counts(rows[r.doc_id][1], table), sum(quality_rules.class_counts(rows[k][1], table) for k in others)]
-            best.append((distance(*[(c / c.sum()).tolist() for c in classes]), of_words))
-        assert r.class_distance == pytest.approx(min(b[0] for b in best), abs=1e-6)
-        assert r.word_distance == pytest.approx(min(b[1] for b in best), abs=1e-6)
+    expected = quality_distances([(t, lang) for _, t, lang, _ in rows])
+    for r in quality_rules.quality_rules(spark.createDataFrame(rows, SCHEMA)).collect():
+        assert (r.class_distance, r.word_distance) == pytest.approx(expected[r.doc_id], abs=1e-6)
         assert 0 < r.word_distance < 1 and 0 < r.class_distance < 1
 
 

@@ -245,9 +245,11 @@ def distinct_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     """The documents that ``near_duplicates`` keeps; of rows equal in id and text, one stays."""
     names = ["_key", "_text_key"]
     kept = judged_documents(docs, words, percent).filter("kept").select(F.col("key").alias("_key"), F.col("text_key").alias("_text_key"))
-    own = docs.withColumns({"_key": document_key(docs), "_text_key": text_key()})
+    # the rows as structs, so that columns of any name can come along
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    own = docs.select(whole, document_key(docs).alias("_key"), text_key().alias("_text_key"))
     # copies meet within tasks first, so that many of them are no hot key
-    return own.dropDuplicates(names).join(kept.distinct(), names, "left_semi").select(*docs.columns)
+    return own.dropDuplicates(names).join(kept.distinct(), names, "left_semi").select("row.*")
 
 
 def judged_documents(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
