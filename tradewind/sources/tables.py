@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -92,14 +93,30 @@ def scan_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace the table at ``path``.
+    """Replace the table at ``path``, which the rows may come from.
 
-    Partitioned output is first rebalanced by the partition columns, which splits a
-    hot partition over several files instead of one task.
+    The new rows are written in full beside the old ones and then take their place by renaming, so a job that
+    fails leaves the old table as it was.  Partitioned output is first rebalanced by the partition columns,
+    which splits a hot partition over several files instead of one task.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    spark, path = df.sparkSession, path.rstrip("/")
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fresh, old = (f"{path}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    try:
+        df.write.partitionBy(*partition_by).parquet(fresh)
+    except Exception:
+        files.delete(at(fresh), True)
+        raise
+    if files.exists(at(path)) and not files.rename(at(path), at(old)):
+        raise OSError(f"{path} could not be replaced; the new rows are in {fresh}")
+    if not files.rename(at(fresh), at(path)):
+        files.rename(at(old), at(path))
+        raise OSError(f"{path} could not be replaced; the new rows are in {fresh}")
+    files.delete(at(old), True)
+    spark.catalog.refreshByPath(path)
 
 
 def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
