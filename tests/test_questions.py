@@ -1,8 +1,10 @@
 """Question rules against literal answers."""
 
+import duckdb
 import pytest
 
 from tradewind.operators import answers
+from tradewind.plans.checks import TAGGED
 from tradewind.plans.registry import retail
 
 QUESTIONS = [
@@ -47,6 +49,16 @@ def test_first_matching_rule_wins(tagged):
     assert found == QUESTIONS
 
 
+def test_the_checks_have_the_same_rules():
+    """The SQL states the rules on its own; both reach every branch alike."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id INT, turn INT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, 1, 'user', ?)", [[n, q] for n, (q, *_) in enumerate(QUESTIONS)])
+    found = con.execute(f"WITH {TAGGED} SELECT intent, state FROM tagged ORDER BY conv_id").fetchall()
+    assert found == [(intent, state) for _, intent, state in QUESTIONS]
+    assert len({intent for intent, _ in found}) == 21
+
+
 def test_whole_word_state(spark):
     asked = spark.createDataFrame([("how many orders",), ("orders in SP",)], "text string")
     found = {r["text"]: (r["intent"], r["state"]) for r in answers.tag_questions(asked, whole_word=True).collect()}

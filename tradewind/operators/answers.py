@@ -42,6 +42,7 @@ INTENT_RULES: list[tuple[str, list[list[list[str]]]]] = [
     ("product_count", [[["product"], COUNTING]]),
     ("dataset", [[["csv", "dataset", "how many files", "about this project", "about the project"]]]),
 ]
+# Words that make a question with a state code one about that state, and greetings.
 STATE_WORDS = ["order", "revenue", "sales"]
 GREETINGS = ["hi", "hello", "hey", "hi there", "hello there"]
 

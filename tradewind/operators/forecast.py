@@ -16,6 +16,7 @@ from tradewind.functions.shaping import left_join_fanout
 from tradewind.operators.kpis import order_sums
 
 TARGET = "total_revenue"
+# What the models are trained on.
 SERVICE_FEATURES = [
     "order_count",
     "avg_price",

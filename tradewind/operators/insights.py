@@ -14,6 +14,7 @@ from tradewind.functions.days import month_label, trunc_days
 from tradewind.functions.rounding import percent, ratio
 
 MIN_CATEGORY_ORDERS = 50
+# Names of the buyer classes.
 BUYER_CLASSES = {1: "One-Time Buyer", 2: "Repeat Buyer (2x)", 3: "Loyal Buyer (3x+)"}
 
 

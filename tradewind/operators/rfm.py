@@ -19,6 +19,7 @@ from tradewind.functions.shaping import materialize
 PERSON = "customer_unique_id"
 FEATURES = ["recency", "frequency", "monetary"]
 SCALED = [f"z_{c}" for c in FEATURES]
+# Names of the segments by spend, edges of the frequency score.
 SEGMENTS = ["High Value", "Medium Value", "Low Value"]
 FREQUENCY_EDGES = [1, 2, 3, 5]
 QUINTILES = [0.2, 0.4, 0.6, 0.8]

@@ -7,7 +7,6 @@ full joins where the jobs sum per order first, one CASE for the question rules.
 
 from __future__ import annotations
 
-from tradewind.operators.answers import GREETINGS, INTENT_RULES, STATE_CODES, STATE_WORDS
 from tradewind.schemas import ORDER_DATES, PRODUCT_MEASURES, REVIEW_DATES
 from tradewind.sources.star_views import with_views
 
@@ -821,28 +820,40 @@ for answer_name, answer in ANSWERS.items():
     check(answer_name, answer)
 
 
-def quoted(word: str) -> str:
-    return "'" + word.replace("'", "''") + "'"
-
-
-def any_word(words: list[str]) -> str:
-    return "(" + " OR ".join(f"contains(q, {quoted(w)})" for w in words) + ")"
-
-
-STATE_CASE = "CASE " + " ".join(
-    f"WHEN contains(' ' || upper(q) || ' ', ' {c} ') OR ends_with(upper(q), '{c}') THEN '{c}'" for c in STATE_CODES
-) + " END"
-INTENT_CASE = f"CASE WHEN s IS NOT NULL AND {any_word(STATE_WORDS)} THEN 'state_orders_revenue' " + " ".join(
-    "WHEN " + " OR ".join("(" + " AND ".join(any_word(g) for g in groups) + ")" for groups in rule) + f" THEN '{name}'"
-    for name, rule in INTENT_RULES
-) + (
-    f" WHEN regexp_replace(q, '^\\s+|\\s+$', '', 'g') IN ({', '.join(quoted(g) for g in GREETINGS)}) THEN 'greeting'"
-    " ELSE 'fallback' END"
-)
+# The question rules as the answers define them, written out here on their own.
+CODED = (
+    "'SP', 'RJ', 'MG', 'RS', 'PR', 'SC', 'BA', 'DF', 'ES', 'GO', 'PE', 'CE', 'PA', 'MT', "
+    "'MA', 'MS', 'PB', 'PI', 'RN', 'AL', 'SE', 'TO', 'RO', 'AM', 'AC', 'AP', 'RR'"
+)
+STATE_OF = f"""list_filter([{CODED}], lambda c:
+    contains(' ' || upper(q) || ' ', ' ' || c || ' ') OR ends_with(upper(q), c))[1]"""
+ABOUT_STATE = "regexp_matches(q, 'order|revenue|sales')"
+MANY = "regexp_matches(q, 'how many|total|number of')"
+INTENT_CASE = f"""CASE
+    WHEN s IS NOT NULL AND {ABOUT_STATE} THEN 'state_orders_revenue'
+    WHEN contains(q, 'top') AND contains(q, 'seller') THEN 'top_seller'
+    WHEN contains(q, 'seller') AND {MANY} THEN 'seller_count'
+    WHEN contains(q, 'state') AND regexp_matches(q, 'most|top|highest') THEN 'top_state'
+    WHEN regexp_matches(q, 'total revenue|how much revenue') OR contains(q, 'revenue') AND contains(q, 'total') THEN 'total_revenue'
+    WHEN regexp_matches(q, 'average order|avg order value') THEN 'avg_item_value'
+    WHEN regexp_matches(q, 'rating|review') THEN 'rating_overview'
+    WHEN contains(q, 'order') AND contains(q, 'how many') OR regexp_matches(q, 'total orders|number of orders') THEN 'order_count'
+    WHEN contains(q, 'repeat') AND contains(q, 'customer') THEN 'repeat_customer_share'
+    WHEN contains(q, 'customer') AND {MANY} THEN 'customer_count'
+    WHEN regexp_matches(q, 'delivery|delay|shipping time') THEN 'avg_delivery_days'
+    WHEN contains(q, 'cancel') THEN 'cancellation_share'
+    WHEN contains(q, 'payment') THEN 'top_payment_type'
+    WHEN contains(q, 'category') AND regexp_matches(q, 'best|top|highest rated') THEN 'best_category'
+    WHEN contains(q, 'category') AND regexp_matches(q, 'worst|lowest') THEN 'worst_category'
+    WHEN contains(q, 'category') AND regexp_matches(q, 'how many|number of') THEN 'category_count'
+    WHEN regexp_matches(q, 'high value|segment|rfm') THEN 'segment_counts'
+    WHEN contains(q, 'product') AND {MANY} THEN 'product_count'
+    WHEN regexp_matches(q, 'csv|dataset|how many files|about this project|about the project') THEN 'dataset'
+    WHEN regexp_replace(q, '^\\s+|\\s+$', '', 'g') IN ('hi', 'hello', 'hey', 'hi there', 'hello there') THEN 'greeting'
+    ELSE 'fallback' END"""
 TAGGED = f"""asked AS (SELECT conv_id, turn, lower(coalesce(text, '')) AS q FROM conversations WHERE role = 'user'),
-    located AS (SELECT *, {STATE_CASE} AS s FROM asked),
-    tagged AS (SELECT conv_id, turn, {INTENT_CASE} AS intent,
-                      CASE WHEN {any_word(STATE_WORDS)} THEN s END AS state FROM located)"""
+    located AS (SELECT *, {STATE_OF} AS s FROM asked),
+    tagged AS (SELECT conv_id, turn, {INTENT_CASE} AS intent, CASE WHEN {ABOUT_STATE} THEN s END AS state FROM located)"""
 check("tag_questions", f"WITH {TAGGED} SELECT intent, state, count(*) AS questions FROM tagged GROUP BY ALL")
 
 METRICS = {
@@ -871,7 +882,6 @@ ANSWER_SQL = ANSWERS | {
     "segment_counts": f"WITH {GRADED} {SEGMENT_SIZES}",
     "avg_delivery_days": f"SELECT round(avg({trunc_days(DELIVERED, PURCHASED)}), 6) AS avg_delivery_days FROM ec_orders"
 }
-CODED = ", ".join(quoted(c) for c in STATE_CODES)
 METRIC_ROWS = " UNION ALL ".join(
     [
         f"SELECT 'state_orders_revenue' AS intent, customer_state AS state, '{m}' AS metric,"

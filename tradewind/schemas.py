@@ -15,6 +15,7 @@ ORDER_DATES = [
 ]
 REVIEW_DATES = ["review_creation_date", "review_answer_timestamp"]
 # the first two keep the spelling of the source files
+# Column names of the source, spelled as there.
 PRODUCT_MEASURES = [
     "product_name_lenght",
     "product_description_lenght",
