@@ -64,7 +64,7 @@ def test_keep_first_uses_the_file_order(spark):
 def test_left_join_fanout_keeps_lonely_rows(spark):
     left = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k int, l string")
     right = spark.createDataFrame([(1, 10.0), (1, 11.0), (None, 12.0)], "k int, r double")
-    assert rows(left_join_fanout(left, right, "k")) == rows(left.join(right, "k", "left"))
+    assert rows(left_join_fanout(left, left, "k", right)) == rows(left.join(right, "k", "left"))
 
 
 def test_null_summary_and_fills(spark):

@@ -2,7 +2,7 @@
 
 import pytest
 
-from tradewind.operators import answers, explore, insights, kpis, rfm
+from tradewind.operators import answers, explore, forecast, insights, kpis, rfm
 from tradewind.plans import registry
 from tradewind import session
 from tradewind.plans.registry import QUERIES, retail
@@ -53,6 +53,17 @@ def test_first_row_rules_merge_on_the_map_side(spark, small):
     assert "Window" not in text and "partial_min" in text
 
 
+def test_fan_out_sides_do_not_nest(spark, small):
+    """Inner joins only, beside the per-order payments; each side is scanned for its rows and for its keys."""
+    r = retail(spark, small)
+    tables = {n: r[n] for n in ("orders", "order_items", "order_payments", "order_reviews")}
+    text = plan(forecast.order_feature_rows(*tables.values()))
+    whole = text[: text.index("== Initial Plan ==")] if "== Initial Plan ==" in text else text
+    joins = [line for line in whole.splitlines() if "Join" in line]
+    assert sum("LeftOuter" in line for line in joins) <= 2 and sum("LeftAnti" in line for line in joins) == 2
+    assert whole.count("FileScan parquet") <= 12 and not any("FullOuter" in line for line in joins)
+
+
 def test_fan_out_is_never_joined_for_correlations(spark, small):
     r = retail(spark, small)
     text = plan(explore.correlation_matrix(r["order_items"], r["order_payments"], r["order_reviews"]))

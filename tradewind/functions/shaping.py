@@ -31,16 +31,22 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | Non
     return first.select(*[F.col(c) if c in keys else F.col("first")[c].alias(c) for c in df.columns])
 
 
-def left_join_fanout(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join whose right side may hold many rows per key.
+def left_join_fanout(left: DataFrame, keys: DataFrame, key: str, *sides: DataFrame) -> DataFrame:
+    """Left join of one row per key with several sides that may each hold many rows per key.
 
-    Adaptive execution can split a hot key of the right side in an inner join but
-    not in a left join, so the unmatched rows come from a separate anti join.
+    Adaptive execution can split a hot key of any side in an inner join, but not the right side of a left join.  So each
+    side gets one row of NULLs for every key of ``keys``, the keys of ``left``, that it lacks, and all joins are inner ones.  The sides
+    do not nest: each is read once for its rows and once for its keys, a narrow scan.  Rows of ``left`` without
+    key come with NULLs.
     """
-    matched = left.join(right, key, "inner")
-    lonely = left.join(right.select(key).distinct(), key, "left_anti")
-    filler = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema if f.name != key]
-    return matched.unionByName(lonely.select("*", *filler))
+    known = keys.select(key).filter(F.col(key).isNotNull()).distinct()
+    joined, bare = left, left.filter(F.col(key).isNull())
+    for side in sides:
+        missing = known.join(side.select(key), key, "left_anti")
+        filler = {f.name: F.lit(None).cast(f.dataType) for f in side.schema if f.name != key}
+        joined = joined.join(side.unionByName(missing.select(key, *[v.alias(n) for n, v in filler.items()])), key)
+        bare = bare.withColumns(filler)
+    return joined.unionByName(bare)
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:

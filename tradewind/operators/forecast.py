@@ -66,9 +66,9 @@ def order_feature_rows(
     ``weekly_features`` gives the same averages without building these rows.
     """
     featured = order_delivery_features(orders).withColumn("week", week_start(F.col("order_purchase_timestamp")))
-    with_items = left_join_fanout(featured, items.select("order_id", "price", "freight_value"), "order_id")
-    with_payments = with_items.join(payment_per_order(payments), "order_id", "left")
-    return left_join_fanout(with_payments, reviews.select("order_id", "review_score"), "order_id")
+    paid = featured.join(payment_per_order(payments), "order_id", "left")
+    lines = items.select("order_id", "price", "freight_value")
+    return left_join_fanout(paid, orders, "order_id", lines, reviews.select("order_id", "review_score"))
 
 
 def weekly_features(
