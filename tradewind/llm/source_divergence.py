@@ -22,7 +22,7 @@ import math
 import operator
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,7 @@ from tradewind.llm.exchange import buckets_for
 #: Postings (term, language, source) a task holds before it spills; some 100 MB of Python objects.
 BLOCK_POSTINGS = 400_000
 FAN_IN = 512  # runs of a shard that one merge reads
+FIRST_SHARDS, SPLIT = 512, 64  # shards of a block, and into how many a merge may split one
 SHARD_CHARS = 13.3  # characters of text per record, see ``buckets_for``: about 10 MB of text a shard
 BUCKET_TERMS = 20_000
 PAIRS = 1_000_000  # pairs of postings computed at once
@@ -68,15 +69,17 @@ class Block:
         place = {name: k for k, name in enumerate(names)}
         keys: list[bytes] = []
         documents, owners, sources, counts = [], [], [], []
+        of_lang: dict[str, list[tuple[str, Counter]]] = defaultdict(list)
+        for (lang, source), found in self.counts.items():
+            of_lang[lang].append((source, found))
         for lang, holders in sorted(self.holders.items()):
             tail, number = b"\0" + lang.encode(), dict(zip(holders, itertools.count(len(keys))))  # no term holds a zero byte
             keys += [term + tail for term in holders]
             documents.append(np.fromiter(holders.values(), np.int64, len(holders)))
-            for (of, source), found in self.counts.items():
-                if of == lang:
-                    owners.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
-                    counts.append(np.fromiter(found.values(), np.int64, len(found)))
-                    sources.append(np.full(len(found), place[source], np.int64))
+            for source, found in of_lang[lang]:
+                owners.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
+                counts.append(np.fromiter(found.values(), np.int64, len(found)))
+                sources.append(np.full(len(found), place[source], np.int64))
         if not keys:
             return
         order = np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)
@@ -86,11 +89,7 @@ class Block:
         by = np.lexsort((source, entry))
         all_keys = [keys[k] for k in order.tolist()]
         postings = Postings(all_keys, np.concatenate(documents)[order], np.bincount(entry, minlength=len(keys)), names, source[by], n[by])
-        shard = np.fromiter(map(zlib.crc32, all_keys), np.int64, len(keys)) % shards
-        by_shard = np.argsort(shard, kind="stable")
-        found, starts = np.unique(shard[by_shard], return_index=True)
-        for k, rows in zip(found.tolist(), np.split(by_shard, starts[1:]), strict=True):
-            yield k, postings.take(rows).packed()
+        yield from postings.sharded(shards)
 
 
 class Postings:
@@ -100,16 +99,26 @@ class Postings:
         self.keys, self.documents, self.sizes = keys, documents, sizes
         self.names, self.source, self.count = names, source, count
 
+        self.first = np.cumsum(sizes) - sizes
+
     def entries(self, rows: np.ndarray) -> np.ndarray:
         """Places of the postings of some terms, term after term."""
-        first, sizes = np.cumsum(self.sizes) - self.sizes, self.sizes[rows]
-        return np.repeat(first[rows] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        sizes = self.sizes[rows]
+        return np.repeat(self.first[rows] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
     def take(self, rows: np.ndarray) -> Postings:
         at = self.entries(rows)
         keys = [self.keys[k] for k in rows.tolist()]
         return Postings(keys, self.documents[rows], self.sizes[rows], self.names, self.source[at], self.count[at])
 
+    def sharded(self, shards: int) -> Iterator[tuple[int, bytes]]:
+        """(shard, run) for every hash shard that has terms."""
+        shard = np.fromiter(map(zlib.crc32, self.keys), np.int64, len(self.keys)) % shards
+        by_shard = np.argsort(shard, kind="stable")
+        found, starts = np.unique(shard[by_shard], return_index=True)
+        for k, rows in zip(found.tolist(), np.split(by_shard, starts[1:]), strict=True):
+            yield k, self.take(rows).packed()
+
     def packed(self) -> bytes:
         """As a compressed Arrow stream of one batch; the names of the sources go with the schema."""
         edges = pa.array(np.append(0, np.cumsum(self.sizes)), pa.int32())
@@ -185,9 +194,12 @@ def spilled(docs: DataFrame, shards: int, block_postings: int = BLOCK_POSTINGS)
 def frequencies(docs: DataFrame, min_documents: int, fan_in: int = FAN_IN, block_postings: int = BLOCK_POSTINGS) -> DataFrame:
     """One stored row per kept term of a language with the occurrences in each source that holds it."""
 
-    def longer(table: pa.Table) -> pa.Table:
-        run = heap_merge(table.column("run").to_pylist()).packed()
-        return pa.table({"shard": pa.array(table.column("shard").to_pylist()[:1], pa.int32()), "run": pa.array([run], pa.binary())})
+    def longer(shards: int) -> Callable[[pa.Table], pa.Table]:
+        def work(table: pa.Table) -> pa.Table:
+            found = list(heap_merge(table.column("run").to_pylist()).sharded(shards))
+            return pa.table({"shard": pa.array([k for k, _ in found], pa.int32()), "run": pa.array([run for _, run in found], pa.binary())})
+
+        return work
 
     def final(table: pa.Table) -> pa.Table:
         found = heap_merge(table.column("run").to_pylist())
@@ -200,10 +212,14 @@ def frequencies(docs: DataFrame, min_documents: int, fan_in: int = FAN_IN, block
         lists = [pa.ListArray.from_arrays(pa.array(edges, pa.int32()), x) for x in (source, pa.array(found.count))]
         return pa.table([langs, terms, pa.array(totals), *lists], names=["lang", "term", "total", "sources", "counts"])
 
-    runs = store(spilled(docs, buckets_for(docs, SHARD_CHARS), block_postings), "runs")
+    # a block spills to a bounded number of shards; where the text needs more, the first merges split them
+    wanted = buckets_for(docs, SHARD_CHARS)
+    shards = min(wanted, FIRST_SHARDS)
+    runs = store(spilled(docs, shards, block_postings), "runs")
     while (most := runs.groupBy("shard").count().agg(F.max("count")).first()[0] or 0) > fan_in:
+        shards *= min(SPLIT, math.ceil(wanted / shards))
         lot = F.pmod(F.xxhash64("run"), F.lit(math.ceil(most / fan_in)))
-        shorter, runs = runs, store(runs.groupBy("shard", lot.alias("lot")).applyInArrow(longer, "shard int, run binary"), "runs")
+        shorter, runs = runs, store(runs.groupBy("shard", lot.alias("lot")).applyInArrow(longer(shards), "shard int, run binary"), "runs")
         discard(shorter)
     kept = store(runs.groupBy("shard").applyInArrow(final, FREQUENCIES), "frequencies")
     discard(runs)
