@@ -91,6 +91,48 @@ def test_resampling_by_brute_force(spark, words):
     assert all(r.selected for r in found if r.sample_key > bar) and not any(r.selected for r in found if r.sample_key < bar)
 
 
+@pytest.mark.parametrize("cells", [1, 7, 1000, None])
+def test_marks_of_targets(spark, words, cells):
+    """Every row once with the right mark, whether cells of hashed ids are shared by all, some or none."""
+    rng = random.Random(8)
+    rows = [(rng.choice([k, -k, 2**62 + k, None, 5]), f"{prose(rng, words, 3)} {k}", "en", "s") for k in range(400)] + [(9, None, "en", "s")]
+    target = [(d,) for d, *_ in rows if d is None or d % 3 == 0] + [(5,), (5,), (777_777,), (None,)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    found = importance.marked_texts(docs, spark.createDataFrame(target, "doc_id long"), cells).collect()
+    aims = {d for (d,) in target} - {None}
+    assert Counter((r.text, r.is_target) for r in found) == Counter((t, d in aims) for d, t, *_ in rows)
+
+
+def shuffled_bytes(plan):
+    """Bytes that the shuffles of an executed plan sent."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return shuffled_bytes(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return shuffled_bytes(plan.plan())
+    sent = plan.metrics().get("shuffleBytesWritten").get().value() if plan.nodeName() == "Exchange" else 0
+    return sent + sum(shuffled_bytes(plan.children().apply(k)) for k in range(plan.children().size()))
+
+
+def test_resampling_leaves_texts_in_place(spark, monkeypatch):
+    """The models are counted without a shuffle of all texts, also where the target ids are too many to broadcast."""
+    rng = random.Random(6)
+    rows = [(k, " ".join(str(rng.randrange(300)) for _ in range(400)), "en", "s") for k in range(3000)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4).persist()
+    ids = docs.filter("doc_id % 3 = 0").select("doc_id")
+    seen = []
+    monkeypatch.setattr(importance, "log_ratios", lambda counts, n, real=importance.log_ratios: seen.append(counts) or real(counts, n))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert docs.count() == importance.resample(docs, ids, 0.3, buckets=64).count()
+        plain = docs.select("text").repartition(4)
+        plain.collect()
+        sent, whole = (shuffled_bytes(df._jdf.queryExecution().executedPlan()) for df in (seen[0], plain))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        docs.unpersist()
+    assert 0 < sent < whole / 8, (sent, whole)
+
+
 def test_top_k_of_equal_keys(spark):
     frame = spark.range(500).select("id", F.when(F.col("id") < 300, 1.0).otherwise(2.0).alias("key"))
     chosen = {r["id"] for r in importance.top_k(frame, "key", 350, "id").filter("selected").collect()}

@@ -5,6 +5,9 @@ the target texts, one of all texts.  A document's log weight is the sum over its
 the logarithm of the ratio of both.  Adding seeded Gumbel noise and keeping the highest
 keys samples documents without replacement in proportion to their weights.  The counts of both
 models are sums over all documents, made by tasks and added up per bucket.
+
+Which documents are targets is settled by ids alone and kept as bits per cell of hashed ids, so
+texts stay where they are read; only those whose cell holds ids of both kinds meet the ids.
 """
 
 from __future__ import annotations
@@ -20,6 +23,9 @@ from tradewind.llm.common import hash_cache, mix, store, table_batches, word_has
 
 BUCKETS = 10_000
 SMOOTHING = 1.0
+#: Cells of hashed ids: so many a row, and in all; two bits a cell reach every executor, 32 MB at most.
+CELLS_PER_ROW = 16
+MOST_CELLS = 2**27
 
 
 def ngram_buckets(text: str | None, cache, buckets: int) -> np.ndarray:
@@ -29,6 +35,45 @@ def ngram_buckets(text: str | None, cache, buckets: int) -> np.ndarray:
     return (np.concatenate([words, pairs]) % np.uint64(buckets)).astype(np.int64)
 
 
+def cells_of_targets(docs: DataFrame, ids: DataFrame, cells: int) -> DataFrame:
+    """Bitmaps (block, targets, others) of the cells that hold ids of target rows and of other rows; null ids are in none."""
+    known = docs.select("doc_id").filter("doc_id IS NOT NULL").join(ids, F.col("doc_id") == F.col("target_id"), "left")
+    cell, is_target = F.pmod(F.xxhash64("doc_id"), F.lit(cells)), F.col("target_id").isNotNull()
+    bits = known.select(
+        F.bitmap_bucket_number(cell).alias("block"),
+        F.when(is_target, F.bitmap_bit_position(cell)).alias("target"),
+        F.when(~is_target, F.bitmap_bit_position(cell)).alias("other"),
+    )
+    # dealt by block first: a bitmap is made once, not in every task that has rows for it
+    return bits.repartition("block").groupBy("block").agg(
+        F.bitmap_construct_agg("target").alias("targets"), F.bitmap_construct_agg("other").alias("others")
+    )
+
+
+def marked_texts(docs: DataFrame, target_ids: DataFrame, cells: int | None = None) -> DataFrame:
+    """text and is_target of every row.
+
+    A cell with ids of one kind settles its rows where they are read; rows of cells with both kinds, about
+    one in thirty with the usual number of cells, are joined to the ids, so more rows a cell cost only more shuffle.
+    """
+    ids = target_ids.select(F.col("doc_id").cast("long").alias("target_id")).distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    cells = cells or min(MOST_CELLS, CELLS_PER_ROW * max(1, rows.count()))
+    bitmaps = F.broadcast(store(cells_of_targets(rows, ids, cells), "target-cells"))
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(cells))
+    at = F.bitmap_bit_position(cell).cast("int")
+
+    def has(bitmap: str) -> Column:
+        byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+        return F.coalesce(F.getbit(byte, at.bitwiseAND(7)) == 1, F.lit(False))
+
+    placed = rows.withColumn("block", F.bitmap_bucket_number(cell)).join(bitmaps, "block", "left")
+    placed = placed.select("doc_id", "text", has("targets").alias("target"), has("others").alias("other"))
+    settled = placed.filter("NOT (target AND other)").select("text", F.col("target").alias("is_target"))
+    unsettled = placed.filter("target AND other").join(ids, F.col("doc_id") == F.col("target_id"), "left")
+    return settled.unionByName(unsettled.select("text", F.col("target_id").isNotNull().alias("is_target")))
+
+
 def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Counts (bucket, raw, target) over all rows of (text, is_target)."""
 
@@ -40,8 +85,9 @@ def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
                 sums[0] += found
                 if target:
                     sums[1] += found
+        seen = np.flatnonzero(sums[0])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(buckets)), pa.array(sums[0]), pa.array(sums[1])], names=["bucket", "raw", "target"]
+            [pa.array(seen), pa.array(sums[0][seen]), pa.array(sums[1][seen])], names=["bucket", "raw", "target"]
         )
 
     parts = docs.select("text", "is_target").mapInArrow(count, "bucket long, raw long, target long")
@@ -127,9 +173,7 @@ def resample(
     Exactly the rounded share of all rows is selected; of rows equal in id and text any may be.
     Without target texts all weights are 0 and the sample is uniform.
     """
-    ids = target_ids.select(F.col("doc_id").alias("target_id")).distinct()
-    marked = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("target_id"), "left")
-    counts = bucket_counts(marked.select("text", F.col("target_id").isNotNull().alias("is_target")), buckets)
+    counts = bucket_counts(marked_texts(docs, target_ids), buckets)
     weights = log_weights(docs, log_ratios(counts, buckets))
     noise = gumbel(F.col("doc_id"), F.col("of_text"), seed)
     keyed = weights.withColumn("sample_key", F.col("log_weight") + noise).drop("of_text")
