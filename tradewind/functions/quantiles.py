@@ -51,7 +51,8 @@ def _counts(values: DataFrame, ranges: Sequence[Range], cells: int) -> dict[int,
     ]
     counted = (
         values.filter(reduce(Column.__or__, inside))
-        .select(F.inline(F.array_compact(F.array(*hits))))
+        .select(F.inline(F.array(*hits)))  # a filter of the array would run outside the generated code
+        .filter("slot IS NOT NULL")
         .groupBy("slot", "cell")
         .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     )

@@ -190,9 +190,17 @@ class StepCounts:
         return [(self.table, step, before, after) for (_, before), (step, after) in itertools.pairwise(counts)]
 
 
-def clean_tables(raw: Mapping[str, DataFrame], attempts: int = 3) -> tuple[dict[str, DataFrame], DataFrame]:
+def _write(name: str, df: DataFrame) -> DataFrame:
+    return materialize(df, f"clean-{name}")
+
+
+def clean_tables(
+    raw: Mapping[str, DataFrame], attempts: int = 3, write: Callable[[str, DataFrame], DataFrame] = _write
+) -> tuple[dict[str, DataFrame], DataFrame]:
     """Every known table cleaned and written, and the report of rows before and after each step that removes rows.
 
+    ``write`` stores the rows of a table in place of earlier ones, and returns what it has stored.
+
     One chain of steps per table, so each raw table is read once; the counts are observed on the way.  A stage that
     runs again after a lost executor may be counted twice, so the last count must equal the written rows, else
     the chain runs again.
@@ -201,7 +209,7 @@ def clean_tables(raw: Mapping[str, DataFrame], attempts: int = 3) -> tuple[dict[
     for name in [n for n in CLEANERS if n in raw]:
         for _ in range(attempts):
             counts = StepCounts(name)
-            cleaned[name] = materialize(CLEANERS[name](raw[name], counts.seen), f"clean-{name}")
+            cleaned[name] = write(name, CLEANERS[name](raw[name], counts.seen))
             rows = counts.rows()
             if rows[-1][3] == cleaned[name].count() and all(before >= after for *_, before, after in rows):
                 break

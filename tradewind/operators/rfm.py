@@ -28,6 +28,7 @@ RESTARTS = 10
 MAX_ITERATIONS = 300
 TOLERANCE = 1e-4  # a fit has settled when no coordinate of a center moves further
 SAMPLE = 5_000  # persons that the starting centers are chosen from
+POINTS_PER_TASK = 131_072  # a pass costs much per person and few bytes, so file sizes do not decide on its tasks
 
 
 def order_value(payments: DataFrame) -> DataFrame:
@@ -133,6 +134,11 @@ def _points(scaled: DataFrame) -> DataFrame:
     return scaled.select(*[F.col(c).cast("double").alias(c) for c in SCALED])
 
 
+def _dealt(points: DataFrame) -> DataFrame:
+    """The points in as many even parts as their number asks for, however few files they come from."""
+    return points.repartition(max(1, math.ceil(points.count() / POINTS_PER_TASK)))
+
+
 def spread_starts(scaled: DataFrame, ks: Sequence[int], restarts: int, seed: int) -> Starts:
     """Starting centers by k-means++ on a sample of at most ``SAMPLE`` persons, drawn by a hash of the id.
 
@@ -169,16 +175,23 @@ def lloyd_pass(points: DataFrame, centers: Starts) -> dict[tuple[int, int], tupl
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, cost = np.zeros((len(every), every.shape[1] + 1)), np.zeros(len(keys))
         for batch in batches:
-            whole = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            for at in range(0, len(whole), 4096):
-                x = whole[at : at + 4096]
-                distance = (x**2).sum(axis=1)[:, None] - 2 * x @ every.T + squares
+            whole = np.column_stack([*[c.to_numpy(zero_copy_only=False) for c in batch.columns], np.ones(batch.num_rows)])
+            for at in range(0, len(whole), 2048):
+                x = whole[at : at + 2048]
+                # a row per center: the squared distance without that of the point itself, which decides nothing
+                distance = -2 * every @ x[:, :-1].T + squares[:, None]
+                norm = (x[:, :-1] ** 2).sum(axis=1)
+                nearest = np.empty(distance.shape, bool)
                 for n, (a, b) in enumerate(itertools.pairwise(edges)):
-                    nearest = distance[:, a:b].argmin(axis=1)
-                    cost[n] += np.maximum(distance[np.arange(len(x)), a + nearest], 0).sum()
-                    for column in range(x.shape[1]):
-                        sums[a:b, column] += np.bincount(nearest, x[:, column], b - a)
-                    sums[a:b, -1] += np.bincount(nearest, minlength=b - a)
+                    least = distance[a:b].min(axis=0)
+                    cost[n] += np.maximum(least + norm, 0).sum()
+                    np.equal(distance[a:b], least, out=nearest[a:b])
+                found = nearest.astype(float) @ x
+                for n in np.flatnonzero(np.add.reduceat(found[:, -1], edges[:-1]) != len(x)):  # ties go to the first one
+                    a, b = edges[n : n + 2]
+                    first = distance[a:b].argmin(axis=0)
+                    found[a:b] = np.column_stack([np.bincount(first, column, b - a) for column in x.T])
+                sums += found
         places = np.append(np.arange(len(every)), -1 - np.arange(len(keys)))  # costs have negative numbers
         values = np.vstack([sums, np.column_stack([cost, np.zeros((len(keys), every.shape[1]))])])
         yield pa.RecordBatch.from_arrays([pa.array(places), *map(pa.array, values.T)], names=names)
@@ -204,7 +217,7 @@ def fit_kmeans(
     All fits move together: one scan of the points is one iteration for every k and restart that has not settled, so there are
     at most ``MAX_ITERATIONS`` scans.  Centers come sorted, so that equal fits have equal cluster numbers.
     """
-    points = _points(scaled).persist(StorageLevel.MEMORY_AND_DISK)
+    points = _dealt(_points(scaled)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         open_ = spread_starts(scaled, ks, restarts, seed)
         done: dict[tuple[int, int], tuple[np.ndarray, float]] = {}

@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.functions.shaping import ROW_ORDER
+from tradewind.functions.shaping import ROW_ORDER, materialize
 from tradewind.operators import answers, clean, explore, forecast, insights, kpis, ratings, rfm
 from tradewind.sources.tables import scan_table, table_profile, write_replace
 
@@ -40,9 +40,9 @@ def load_stage(s: Stages, raw: Frames) -> Frames:
 
 
 def clean_stage(s: Stages, raw: Frames) -> Frames:
-    cleaned, report = clean.clean_tables(raw)
+    cleaned, report = clean.clean_tables(raw, write=lambda name, df: s.save("clean", {name: df})[name])
     s.save("reports", {"cleaning": report})
-    return s.save("clean", {n: cleaned.get(n, df).drop(ROW_ORDER) for n, df in raw.items()})
+    return cleaned | s.save("clean", {n: df.drop(ROW_ORDER) for n, df in raw.items() if n not in cleaned})
 
 
 def insight_stage(s: Stages, t: Frames) -> Frames:
@@ -103,7 +103,8 @@ def segment_stage(s: Stages, t: Frames) -> Frames:
 
 def forecast_stage(s: Stages, t: Frames) -> Frames:
     weekly = forecast.weekly_features(t["orders"], t["order_items"], t["order_payments"], t["order_reviews"])
-    split = forecast.time_split(forecast.calendar_features(weekly))
+    # written first: the split reads the weeks twice
+    split = forecast.time_split(forecast.calendar_features(materialize(weekly, "weekly-features")))
     rows = s.save("forecast", {"weekly": split})["weekly"]
     model = forecast.train_forest(rows.filter("NOT is_test"))
     model.write().overwrite().save(f"{s.folder}/forecast/model")
