@@ -92,6 +92,30 @@ def test_batch_size_does_not_change_the_volume(spark, small, tmp_path):
     assert totals[0] == totals[1] and sum(t[2] for t in totals[0]) == orders.count()
 
 
+def test_ids_are_dealt_by_window(spark, tmp_path):
+    """A window has few files, however many tasks hold the state, and one with most of the rows has several."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    first, tasks = datetime(2017, 1, 1, 12), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = [(d * 1000 + k, first + timedelta(days=d)) for d in range(40) for k in range(20)]
+    rows += [(100_000 + k, first + timedelta(days=20)) for k in range(1000)]
+    rows += [(None, first), (None, first), (100, None)]
+    spark.createDataFrame(rows * 2, ORDERS).repartition(3).write.parquet(folder)
+    volume(spark, folder, out, str(tmp_path / "state"), files=None)
+    expected = {(first + timedelta(days=d)).date().isoformat(): 20 + 1000 * (d == 20) + (d == 0) for d in range(40)}
+    assert live.merge_late_orders(spark, out) == 0 and dict(days_of(spark, out)) == expected
+    assert {p.parent.name for p in tmp_path.glob("out/*/batch=*/*.parquet")} | {"batch=0"} == {"batch=0"}, "a batch without rows writes nothing"
+    files = [p.parent.name for p in tmp_path.glob("out/ids/batch=*/*/*.parquet")]
+    assert len(files) <= 40 + tasks
+    assert 1 < sum("2017-01-21" in name for name in files) <= tasks
+
+
+def test_no_rows_at_all(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    write(spark, folder, [(1, None), (None, None)])
+    volume(spark, folder, out, str(tmp_path / "state"))
+    assert live.merge_late_orders(spark, out) == 0 and days_of(spark, out) == []
+
+
 def test_running_kpis_equal_the_batch(spark, small, tmp_path):
     r = retail(spark, small)
     names = ("orders", "order_items", "order_reviews")
