@@ -37,6 +37,33 @@ def test_a_round_counts_on_the_map_side_and_filters_the_scan(spark, tmp_path):
     assert 1 < len(seen) <= 4 and all(r.high - r.low < 100 for r in seen[1])
 
 
+@pytest.mark.parametrize("bounds", [None, (0.0, 1e6)])
+def test_few_rows_left_end_it_and_known_bounds_save_a_pass(spark, bounds):
+    """20,000 values in 1,024 cells: a round narrows to some 20 rows, the next counts them by value."""
+    read = spark.sparkContext.accumulator(0)
+
+    def work(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    # values in pairs that are nearer to each other than a cell of the second round is wide
+    values = [float(k // 2 * 10) + 1e-7 * (k % 2) for k in range(20_000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3).mapInArrow(work, "v double")
+    found = quantile_values(df, {"v": PROBS}, bounds=None if bounds is None else {"v": bounds})["v"]
+    assert found == pytest.approx(pd.Series(values).quantile(PROBS).tolist(), abs=1e-12)
+    assert read.value == (3 if bounds is None else 2) * len(values)
+
+
+def test_known_bounds_of_odd_columns(spark):
+    rows = [(None, -0.0, None), (None, 0.0, float("nan")), (None, None, 7.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    wanted = {c: [0.25, 0.75] for c in "abc"}
+    for bounds in (None, {"a": None, "b": (-1.0, 5.0), "c": (7.0, 7.0)}, {"a": (1.0, 1.0), "b": (0.0, 0.0), "c": (float("-inf"), float("inf"))}):
+        assert quantile_values(df, wanted, bounds=bounds) == {"a": [None, None], "b": [0.0, 0.0], "c": [7.0, 7.0]}
+        assert quantile_values(df.limit(0), wanted, bounds=bounds) == {c: [None, None] for c in "abc"}
+
+
 def test_infinite_and_missing_values(spark):
     rows = [(float("-inf"),), (1.0,), (2.0,), (1e308,), (-1e308,), (float("inf"),), (float("nan"),), (None,)]
     found = quantile_values(spark.createDataFrame(rows, "v double"), {"v": [0.4, 0.6]})["v"]

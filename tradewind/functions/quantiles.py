@@ -5,30 +5,40 @@ all tasks meet in one reducer.  Here every wanted order statistic has a range th
 A round counts the values of each range in a fixed number of cells, with a hash
 aggregation whose partial results have at most that many rows a task, and keeps the cell that
 holds the rank.  Cells remember their least and greatest value, so the ranges shrink to one
-value.  Every size of input takes the same path.
+value.  A range with no more rows than cells is counted by value, which ends it.  Every size of input takes the same path.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions.shaping import materialize
 
 CELLS = 1024
 
+#: Per column a least and a greatest value, or None for a column without values.
+Bounds = Mapping[str, tuple[float, float] | None]
+
 
 class Range(NamedTuple):
-    """Values of a column between two bounds, both included."""
+    """Values of a column between two bounds, both included, and the number of rows that hold them, once it is known."""
 
     column: str
     low: float
     high: float
+    rows: int | None = None
+
+
+def _number(column: str) -> Column:
+    """A column as doubles, NaN as NULL."""
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
 
 
 def _cell(value: Column, low: float, high: float, cells: int) -> Column:
@@ -42,10 +52,13 @@ def _cell(value: Column, low: float, high: float, cells: int) -> Column:
 
 
 def _counts(values: DataFrame, ranges: Sequence[Range], cells: int) -> dict[int, list]:
-    """Per range the filled cells in order: rows of (cell, n, low, high)."""
+    """Per range the filled cells in order: rows with n, low and high."""
     inside = [F.col(r.column).between(F.lit(r.low), F.lit(r.high)) for r in ranges]
+    few = [r.rows is not None and r.rows <= cells for r in ranges]
     hits = [
-        F.when(hit, F.struct(F.lit(i).alias("slot"), _cell(F.col(r.column), r.low, r.high, cells).alias("cell"),
+        F.when(hit, F.struct(F.lit(i).alias("slot"),
+                             (F.lit(None).cast("int") if few[i] else _cell(F.col(r.column), r.low, r.high, cells)).alias("cell"),
+                             (F.col(r.column) if few[i] else F.lit(None).cast("double")).alias("value"),
                              F.col(r.column).alias("v")))
         for i, (r, hit) in enumerate(zip(ranges, inside, strict=True))
     ]
@@ -53,54 +66,71 @@ def _counts(values: DataFrame, ranges: Sequence[Range], cells: int) -> dict[int,
         values.filter(reduce(Column.__or__, inside))
         .select(F.inline(F.array(*hits)))  # a filter of the array would run outside the generated code
         .filter("slot IS NOT NULL")
-        .groupBy("slot", "cell")
+        .groupBy("slot", "cell", "value")
         .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
     found: dict[int, list] = {i: [] for i in range(len(ranges))}
-    for row in sorted(counted.collect()):
+    for row in sorted(counted.collect(), key=lambda row: (row["slot"], row["low"])):
         found[row["slot"]].append(row)
     return found
 
 
+def observed_bounds(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Callable[[], Bounds]]:
+    """The same rows, and what gives the bounds of some columns once a job has written them all.
+
+    Bounds are taken by the job itself, without a pass of their own, and stay right when tasks run again.  Only a job that has
+    rows tells them: an empty result may be left out of its plan.
+    """
+    ends = Observation()
+    lows = [F.min(_number(c)).alias(f"low {c}") for c in columns]
+    highs = [F.max(_number(c)).alias(f"high {c}") for c in columns]
+
+    def bounds() -> Bounds:
+        seen = ends.get
+        return {c: None if seen[f"low {c}"] is None else (seen[f"low {c}"], seen[f"high {c}"]) for c in columns}
+
+    return df.observe(ends, *lows, *highs), bounds
+
+
 def quantile_values(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], cells: int = CELLS
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], cells: int = CELLS, bounds: Bounds | None = None
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles, one per wanted probability; NULL and NaN are skipped.
 
     A column without values has None.  A round reads the input once, with the ranges as filters
-    that reach a Parquet scan, and brings at most ``cells`` rows per range to the driver.
+    that reach a Parquet scan, and brings at most ``cells`` rows per range to the driver.  ``bounds`` between which all values
+    lie, also those of more rows, save the pass that looks for them.
     """
-    doubles = {c: F.col(c).cast("double") for c in wanted}
-    values = df.select(*[F.when(~F.isnan(v), v).alias(c) for c, v in doubles.items()])
-    ends = values.agg(
-        *[F.struct(F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in wanted]
-    ).first()
+    values = df.select(*[_number(c).alias(c) for c in wanted])
+    if bounds is None:
+        ends = values.agg(*[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in wanted]).first()
+        bounds = {c: None if ends[c]["low"] is None else tuple(ends[c]) for c in wanted}
+    whole = [Range(c, *bounds[c]) for c in wanted if bounds[c] is not None]
+    counts = dict(zip(whole, _counts(values, whole, cells).values(), strict=True)) if whole else {}
+    rows = {c: 0 for c in wanted} | {r.column: sum(row["n"] for row in cells_) for r, cells_ in counts.items()}
     open_: dict[tuple[str, int], tuple[Range, int]] = {}  # order statistic -> its range, and the rows below it
-    for c, probs in wanted.items():
-        n = ends[c]["n"]
-        for p in probs if n else ():
+    for r in whole:
+        n = rows[r.column]
+        for p in wanted[r.column] if n else ():
             rank = math.floor(p * (n - 1))
-            for k in {rank, min(rank + 1, n - 1)}:
-                open_[c, k] = Range(c, ends[c]["low"], ends[c]["high"]), 0
+            open_ |= {(r.column, k): (r, 0) for k in {rank, min(rank + 1, n - 1)}}
     solved: dict[tuple[str, int], float] = {}
-    while True:
-        solved |= {key: r.low for key, (r, _) in open_.items() if r.low == r.high}
-        open_ = {key: state for key, state in open_.items() if key not in solved}
-        if not open_:
-            break
-        ranges = sorted({r for r, _ in open_.values()})
-        counts = _counts(values, ranges, cells)
+    while open_:
         for (c, k), (r, below) in list(open_.items()):
-            for row in counts[ranges.index(r)]:
+            for row in counts[r]:
                 if k < below + row["n"]:
-                    open_[c, k] = Range(c, row["low"], row["high"]), below
+                    open_[c, k] = Range(c, row["low"], row["high"], row["n"]), below
                     break
                 below += row["n"]
             else:
                 raise RuntimeError("the input changed between two rounds")
+        solved |= {key: r.low for key, (r, _) in open_.items() if r.low == r.high}
+        open_ = {key: state for key, state in open_.items() if key not in solved}
+        if ranges := sorted({r for r, _ in open_.values()}):
+            counts = dict(zip(ranges, _counts(values, ranges, cells).values(), strict=True))
 
     def at(c: str, p: float) -> float | None:
-        n = ends[c]["n"]
+        n = rows[c]
         if not n:
             return None
         rank = math.floor(p * (n - 1))
@@ -110,9 +140,11 @@ def quantile_values(
     return {c: [at(c, float(p)) for p in probs] for c, probs in wanted.items()}
 
 
-def exact_quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], cells: int = CELLS) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], cells: int = CELLS, bounds: Bounds | None = None
+) -> DataFrame:
     """The same quantiles as rows (column, probability, value); a column without values has none."""
-    found = quantile_values(df, wanted, cells)
+    found = quantile_values(df, wanted, cells, bounds)
     rows = [(c, float(p), v) for c, probs in wanted.items() for p, v in zip(probs, found[c], strict=True) if v is not None]
     return df.sparkSession.createDataFrame(rows, "column string, probability double, value double")
 

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tradewind.functions.quantiles import exact_quantiles, quantile_values
+from tradewind.functions.quantiles import Bounds, exact_quantiles, observed_bounds, quantile_values
 from tradewind.functions.shaping import ROW_ORDER, keep_first, materialize, unpivot_row
 from tradewind.schemas import ORDER_DATES, PRODUCT_MEASURES, REVIEW_DATES
 
@@ -68,12 +68,12 @@ def positive_only(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column) > 0)
 
 
-def iqr_fence_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Quartiles and fences per column, as rows."""
+def iqr_fence_table(df: DataFrame, columns: Sequence[str], bounds: Bounds | None = None) -> DataFrame:
+    """Quartiles and fences per column, as rows; ``bounds`` of the values, if known, save a pass."""
     q1 = F.max(F.when(F.col("probability") == 0.25, F.col("value")))
     q3 = F.max(F.when(F.col("probability") == 0.75, F.col("value")))
     quartiles = (
-        exact_quantiles(df, {c: [0.25, 0.75] for c in columns})
+        exact_quantiles(df, {c: [0.25, 0.75] for c in columns}, bounds=bounds)
         .groupBy(F.col("column").alias("column_name"))
         .agg(q1.alias("q1"), q3.alias("q3"))
     )
@@ -81,9 +81,9 @@ def iqr_fence_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return quartiles.withColumns({"lower_fence": F.col("q1") - reach, "upper_fence": F.col("q3") + reach})
 
 
-def iqr_fences(df: DataFrame, column: str) -> tuple[float, float] | None:
+def iqr_fences(df: DataFrame, column: str, bounds: Bounds | None = None) -> tuple[float, float] | None:
     """Lower and upper fence of a column as numbers, or None when it has no values."""
-    row = iqr_fence_table(df, [column]).first()
+    row = iqr_fence_table(df, [column], bounds).first()
     return None if row is None else (row["lower_fence"], row["upper_fence"])
 
 
@@ -130,11 +130,13 @@ def clean_order_items(items: DataFrame, seen: Seen = _unseen) -> DataFrame:
     """Identical rows dropped, then price and freight outliers.
 
     The distinct rows are written out once because the two fences read them several
-    times, each time only one or two narrow columns.
+    times, each time only one or two narrow columns.  The job that writes them takes the bounds of both columns.
     """
-    unique = materialize(seen("duplicates", dedup_full_row(seen("rows", items))), "distinct-items")
-    price = iqr_fences(unique, "price")
-    freight = iqr_fences(inside(unique, "price", price), "freight_value")
+    unique, observed = observed_bounds(seen("duplicates", dedup_full_row(seen("rows", items))), ["price", "freight_value"])
+    unique = materialize(unique, "distinct-items")
+    bounds = None if unique.isEmpty() else observed()
+    price = iqr_fences(unique, "price", bounds)
+    freight = iqr_fences(inside(unique, "price", price), "freight_value", bounds)
     fair = seen("price outliers", inside(unique, "price", price))
     return seen("freight outliers", inside(fair, "freight_value", freight))
 
